@@ -183,6 +183,12 @@ def top_values(df: DataFrame, columns=None) -> DataFrame:
                        F.col("b.value").alias("top"), F.col("b.freq").cast("bigint").alias("freq"))
 
 
+def pandas_round(c, decimals: int) -> F.Column:
+    """Round like pandas/numpy: half-to-even on ``x * 10**d`` (``rint``), not Spark's HALF_UP."""
+    f = 10.0 ** decimals
+    return F.rint(F.col(c) * f) / f if isinstance(c, str) else F.rint(c * f) / f
+
+
 def prepare_display(df: DataFrame) -> DataFrame:
     """Round numeric columns by name: *eta*/*time* -> 1 dp, else *score*/*ratio* -> 3 dp."""
     numeric = {c for c, t in df.dtypes if t in ("double", "float", "int", "bigint") or t.startswith("decimal")}
@@ -190,9 +196,9 @@ def prepare_display(df: DataFrame) -> DataFrame:
     for c in df.columns:
         lc = c.lower()
         if c in numeric and ("eta" in lc or "time" in lc):
-            out.append(F.round(c, 1).alias(c))
+            out.append(pandas_round(c, 1).alias(c))
         elif c in numeric and ("score" in lc or "ratio" in lc):
-            out.append(F.round(c, 3).alias(c))
+            out.append(pandas_round(c, 3).alias(c))
         else:
             out.append(F.col(c))
     return df.select(*out)

@@ -69,7 +69,7 @@ LEFT JOIN hub s ON o.source_center = s.hub_id LEFT JOIN hub d ON o.destination_c
 
 def with_ctes(body: str, *extra: str, scored: bool = False) -> str:
     ctes = [SEGMENTS, RAW, CLEAN] + ([SCORED] if scored else []) + list(extra)
-    return "WITH " + ",\n".join(ctes) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(ctes) + "\n" + body
 
 
 ORACLE: dict[str, str] = {}

@@ -193,8 +193,10 @@ def q_prepare_display(spark, sf):
                                         "eta_vs_osrm_ratio", "destination_community")
 
 
-oracle("prepare_display", """SELECT trip_uuid, round(predicted_eta, 1) AS predicted_eta, round(osrm_time, 1) AS osrm_time,
-  round(source_bottleneck_score, 3) AS source_bottleneck_score, round(predicted_eta / osrm_time, 3) AS eta_vs_osrm_ratio,
+oracle("prepare_display", """SELECT trip_uuid, round_even(predicted_eta * 10, 0) / 10 AS predicted_eta,
+  round_even(osrm_time * 10, 0) / 10 AS osrm_time,
+  round_even(source_bottleneck_score * 1000, 0) / 1000 AS source_bottleneck_score,
+  round_even(predicted_eta / osrm_time * 10, 0) / 10 AS eta_vs_osrm_ratio,
   destination_community FROM scored""", scored=True)
 
 
