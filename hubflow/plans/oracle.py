@@ -77,3 +77,29 @@ ORACLE: dict[str, str] = {}
 
 def oracle(key: str, body: str, *extra: str, scored: bool = False) -> None:
     ORACLE[key] = with_ctes(body, *extra, scored=scored)
+
+
+# stand-in wide hub table (see fixtures.hub_table)
+HUBS = """hubs AS (SELECT t.hub_id, t.tv / sum(t.tv) OVER () AS pagerank, dg.degree_centrality,
+  (t.tv - min(t.tv) OVER ()) / (max(t.tv) OVER () - min(t.tv) OVER () + 1e-9) AS bottleneck_score,
+  CAST(substr(t.hub_id, 2) AS INT) % 4 AS community_id
+  FROM (SELECT hub_id, sum(w) AS tv FROM (SELECT source_center AS hub_id, count(*) AS w FROM clean GROUP BY 1
+        UNION ALL SELECT destination_center, count(*) FROM clean GROUP BY 1) GROUP BY hub_id) t
+  JOIN (SELECT hub_id, count(*) / ((SELECT count(*) FROM (SELECT source_center FROM clean UNION SELECT destination_center FROM clean)) - 1)
+        AS degree_centrality FROM (SELECT source_center AS hub_id FROM (SELECT DISTINCT source_center, destination_center FROM clean)
+        UNION ALL SELECT destination_center FROM (SELECT DISTINCT source_center, destination_center FROM clean)) GROUP BY hub_id) dg
+  ON dg.hub_id = t.hub_id)"""
+
+# risk columns on the scored view (residual std unknown -> 30.0)
+RISK = """sr AS (SELECT *, greatest(coalesce(source_bottleneck_score, 0), coalesce(destination_bottleneck_score, 0)) AS mbn,
+  coalesce(predicted_eta / nullif(osrm_time, 0), 1.0) AS eta_vs_osrm_ratio FROM scored),
+risk AS (SELECT *, predicted_eta - 1.28 * 30.0 AS confidence_low, predicted_eta + 1.28 * 30.0 AS confidence_high,
+  mbn >= 0.35 AS bottleneck_warning,
+  CASE WHEN pts >= 4 THEN 'CRITICAL' WHEN pts >= 3 THEN 'HIGH' WHEN pts >= 2 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level,
+  CASE WHEN mbn >= 0.35 AND eta_vs_osrm_ratio >= 1.5
+       THEN 'Touches high-bottleneck hub; expect elevated dwell risk. Predicted ETA materially above OSRM baseline.'
+       WHEN mbn >= 0.35 THEN 'Touches high-bottleneck hub; expect elevated dwell risk.'
+       WHEN eta_vs_osrm_ratio >= 1.5 THEN 'Predicted ETA materially above OSRM baseline.'
+       ELSE 'Within normal network operating envelope.' END AS route_insights
+  FROM (SELECT *, (CASE WHEN mbn >= 0.75 THEN 3 WHEN mbn >= 0.55 THEN 2 WHEN mbn >= 0.35 THEN 1 ELSE 0 END)
+    + (CASE WHEN eta_vs_osrm_ratio >= 1.8 THEN 2 WHEN eta_vs_osrm_ratio >= 1.4 THEN 1 ELSE 0 END) AS pts FROM sr))"""

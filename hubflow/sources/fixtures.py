@@ -125,3 +125,20 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.hour("ts").cast("int").alias("trip_hour"),
         F.when(F.col("event_id") % 2 == 0, "FTL").otherwise("Carting").alias("route_type"),
     )
+
+
+def hub_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stand-in wide hub table (hub_id, pagerank, degree_centrality, bottleneck_score,
+    community_id) computable in plain SQL: traffic share, degree centrality, min-max traffic,
+    hub number mod 4.  Lets join/feature operators be checked exactly and cheaply."""
+    from hubflow.operators.clean import clean_segments
+    from hubflow.operators.graph.edges import degree_centrality, lane_edges, traffic_volume
+
+    e = lane_edges(clean_segments(segments(spark, sf_dir)))
+    t = traffic_volume(e)
+    stats = t.agg(F.min("traffic_volume").alias("lo"), F.max("traffic_volume").alias("hi"),
+                  F.sum("traffic_volume").alias("tot"))
+    return (t.crossJoin(F.broadcast(stats)).join(degree_centrality(e), "hub_id")
+             .select("hub_id", (F.col("traffic_volume") / F.col("tot")).alias("pagerank"), "degree_centrality",
+                     ((F.col("traffic_volume") - F.col("lo")) / (F.col("hi") - F.col("lo") + 1e-9)).alias("bottleneck_score"),
+                     (F.substring("hub_id", 2, 100).cast("int") % 4).alias("community_id")))
