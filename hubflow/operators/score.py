@@ -83,9 +83,18 @@ def predict_batch(df: DataFrame, model, artifact, hubs: DataFrame) -> DataFrame:
     work = enrich_graph(work, hubs)
     cats = [c[len("route_type_"):] for c in artifact.route_type_columns]
     work = build_ml_features(work, cats)
-    keep = [c for c in work.columns if c not in artifact.feature_columns]
+    for c in artifact.route_type_columns:
+        if c not in work.columns:
+            work = work.withColumn(c, F.lit(0.0))
+    # the model sees filled/clipped features; the output keeps the raw values (risk uses raw OSRM)
+    feats = list(artifact.feature_columns)
+    work = work.withColumn("_raw", F.struct(*[F.col(c) for c in feats]))
+    keep = [c for c in work.columns if c not in feats]
     X = transform_features(work, artifact, keep=keep)
-    scored = model.transform(X).withColumnRenamed("prediction", "predicted_eta").drop("features")
+    pred = model.transform(X)
+    pred_col = "prediction" if "prediction" in pred.columns else "predicted_eta"
+    rest = [c for c in work.columns if c not in feats and c != "_raw"]
+    scored = pred.select(*rest, "_raw.*", F.col(pred_col).alias("predicted_eta"))
     return attach_risk(scored, artifact.residual_std, artifact.osrm_time_median)
 
 
