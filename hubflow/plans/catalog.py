@@ -7,7 +7,7 @@ import importlib
 from hubflow.plans.common import QUERIES
 from hubflow.plans.oracle import ORACLE
 
-_MODULES = ["q_eda", "q_graph", "q_features", "q_ops", "q_ml"]
+_MODULES = ["q_eda", "q_graph", "q_features", "q_ops", "q_ml", "q_monitor"]
 
 
 def _load():

@@ -62,7 +62,7 @@ scored AS (SELECT o.trip_uuid, o.source_center || ' → ' || o.destination_cente
   CAST(hour(o.trip_creation_time) AS INT) AS trip_hour, o.osrm_time, o.actual_time,
   s.score AS source_bottleneck_score, d.score AS destination_bottleneck_score,
   s.community AS source_community, d.community AS destination_community,
-  o.osrm_time * (1.1 + 0.8 * d.score) + 5 AS predicted_eta
+  o.osrm_time * (1.1 + 0.8 * d.score) + 5 AS predicted_eta, o.trip_creation_time
 FROM (SELECT * FROM one WHERE rn = 1) o
 LEFT JOIN hub s ON o.source_center = s.hub_id LEFT JOIN hub d ON o.destination_center = d.hub_id)"""
 

@@ -102,7 +102,7 @@ RAW_SEGMENT_SCHEMA = T.StructType([
 
 REQUEST_SCHEMA = T.StructType([
     T.StructField("request_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("ts", T.TimestampType()),
     T.StructField("source_center", T.StringType()),
     T.StructField("destination_center", T.StringType()),
     T.StructField("osrm_distance", T.DoubleType()),

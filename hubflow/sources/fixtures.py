@@ -108,6 +108,7 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.hour("trip_creation_time").cast("int").alias("trip_hour"), "osrm_time", "actual_time",
         "source_bottleneck_score", "destination_bottleneck_score", "source_community", "destination_community",
         (F.col("osrm_time") * (1.1 + 0.8 * F.col("destination_bottleneck_score")) + 5).alias("predicted_eta"),
+        "trip_creation_time",
     )
 
 
@@ -118,7 +119,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = ev.crossJoin(F.broadcast(n_hubs))
     return e.select(
         F.col("event_id").alias("request_id"),
-        F.col("ts"),
+        F.col("ts").cast("timestamp").alias("ts"),
         _hub(F.col("user_id") % F.col("n")).alias("source_center"),
         _hub((F.col("user_id") + 1 + F.col("event_id") % 5) % F.col("n")).alias("destination_center"),
         F.col("value").cast("double").alias("osrm_distance"),
