@@ -246,10 +246,16 @@ def path_counts(dag: DataFrame, sources: DataFrame) -> DataFrame:
     return sigma.select("s", F.col("node").alias("t"), F.col("total").alias("sigma"))
 
 
-def betweenness(edges: DataFrame, normalized: bool = True, sources: DataFrame | None = None) -> DataFrame:
+def betweenness(edges: DataFrame, normalized: bool = True, sources: DataFrame | None = None,
+                method: str = "auto") -> DataFrame:
     """Directed shortest-path betweenness on the integer flow distance, endpoints excluded,
     scaled by 1/((n-1)(n-2)) when normalized.
 
+    ``method``: "sharded" runs exact per-source Brandes on source shards (edge table replicated
+    per shard; needs the edge count under ``sharded.MAX_REPLICATED_EDGES``), "supersteps" the
+    pure DataFrame version below (O(hop diameter) rounds, no replication), "auto" picks sharded
+    when the size check passes.
+
     Brandes' dependency in a level-synchronous form: with f(s,v) = delta(s,v)/sigma(s,v),
       f(s,v) = sum over DAG successors w of (1/sigma(s,w) + f(s,w)),
     which unrolls to h_1(s,v) = sum_w 1/sigma(s,w), h_{k+1}(s,v) = sum_w h_k(s,w) and
@@ -257,8 +263,11 @@ def betweenness(edges: DataFrame, normalized: bool = True, sources: DataFrame |
     Finally bc(v) = sum over s != v of sigma(s,v) * f(s,v).  ``sources`` restricts s (pivot
     sampling for very large hub sets; the result is then rescaled by n / |sources|).
     """
+    from hubflow.operators.graph import sharded as SH
     nodes = vertices(edges)
     n = nodes.count()
+    if sources is None and (method == "sharded" or (method == "auto" and SH.edge_count_within(edges))):
+        return cut_lineage(SH.betweenness_sharded(edges, nodes, n, normalized))
     srcs = sources if sources is not None else nodes
     n_src = srcs.count() if sources is not None else n
     dist = shortest_distances(edges, srcs)
@@ -282,7 +291,7 @@ def betweenness(edges: DataFrame, normalized: bool = True, sources: DataFrame |
     return out
 
 
-def closeness(edges: DataFrame) -> DataFrame:
+def closeness(edges: DataFrame, method: str = "auto") -> DataFrame:
     """Closeness on the largest weak component of the undirected projection (weights of both
     directions summed), distance = that weight, Wasserman-Faust scaling; other hubs get null."""
     from hubflow.operators.graph.edges import undirected_projection
@@ -296,6 +305,9 @@ def closeness(edges: DataFrame) -> DataFrame:
               .join(members.withColumnRenamed("hub_id", "v"), "v", "left_semi"))
     if m <= 1:
         return vertices(edges).select("hub_id", F.lit(None).cast("double").alias("closeness_centrality"))
+    from hubflow.operators.graph import sharded as SH
+    if method == "sharded" or (method == "auto" and SH.edge_count_within(sub)):
+        return vertices(edges).join(SH.closeness_sharded(sub, big, m), "hub_id", "left")
     dist = shortest_distances(sub, big, directed=False)
     agg = (dist.filter(F.col("s") != F.col("t")).groupBy(F.col("s").alias("hub_id"))
                .agg(F.count(F.lit(1)).alias("r"), F.sum("d").alias("tot")))

@@ -57,6 +57,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (written to the shared checkpoint dir, survives executor loss)."""
+    """Reliable checkpoint (written to the shared checkpoint dir, survives executor loss).
+
+    The input is persisted first so the checkpoint write reads the cached partitions instead of
+    recomputing the whole plan a second time; the cache is dropped once the files exist.
+    """
+    from pyspark.storagelevel import StorageLevel
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out

@@ -30,23 +30,23 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one-row aggregate: size-bounded by construction, so broadcasting it is safe at any scale
     n_hubs = table(spark, sf_dir, "supplier").agg(F.count(F.lit(1)).alias("n"))
     q, disc = F.col("l_quantity"), F.col("l_discount")
+    seg_osrm = F.floor(q * 0.75).cast("double")
+    seg_act = (F.when(F.col("l_partkey") % 211 == 0, F.lit(-1.0))
+                .otherwise((F.floor(q * 0.75) + F.floor(q * disc * 10 + 0.5) + F.col("l_suppkey") % 7).cast("double")))
+    # trip totals need only line-item columns: a partial (map-side combined) aggregate of the
+    # lineitem scan, joined back on the order key.  A hot trip is split by AQE's skew-join
+    # handling instead of one window task buffering the whole trip.
+    trips = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sum(seg_act).alias("trip_act"), F.sum(seg_osrm).alias("trip_osrm"), F.sum("l_quantity").alias("trip_qty"))
     leg = (li.join(od, li.l_orderkey == od.o_orderkey)
              .crossJoin(F.broadcast(n_hubs))
              .withColumns({
                  "src": F.col("l_suppkey"),
                  "dst": F.when((q >= 50) & (disc >= 0.095), F.col("o_custkey") % F.col("n"))
                          .otherwise((F.col("l_suppkey") + 1 + F.col("l_partkey") % 5) % F.col("n")),
-                 "seg_osrm": F.floor(q * 0.75).cast("double"),
-                 "seg_act": F.when(F.col("l_partkey") % 211 == 0, F.lit(-1.0))
-                             .otherwise((F.floor(q * 0.75) + F.floor(q * disc * 10 + 0.5)
-                                         + F.col("l_suppkey") % 7).cast("double")),
+                 "seg_osrm": seg_osrm,
+                 "seg_act": seg_act,
              }))
-    # trip totals as a partial (map-side combined) aggregate joined back on the same key:
-    # both sides are partitioned by o_orderkey, and a hot trip is handled by AQE skew-join
-    # splitting instead of one window task buffering the whole trip.
-    trips = leg.groupBy("o_orderkey").agg(
-        F.sum("seg_act").alias("trip_act"), F.sum("seg_osrm").alias("trip_osrm"),
-        F.sum("l_quantity").alias("trip_qty"))
     leg = leg.join(trips, "o_orderkey")
     ts_str = F.col("l_shipdate").cast("string")
     return leg.select(
