@@ -121,24 +121,24 @@ def route_box_stats(df: DataFrame, by: str = "route_type") -> DataFrame:
 def corr_matrix(df: DataFrame, columns=S.CORR_COLS) -> DataFrame:
     """Pairwise-complete Pearson correlation of every column pair, long form (x, y, corr).
 
-    One aggregate with n*(n-1)/2 ``corr`` accumulators (Spark's ``corr`` skips rows where either
-    side is null), mirrored and given a unit diagonal.
+    The frame is unpivoted to (pair, x, y) and ONE narrow ``groupBy(pair).agg(corr)`` runs: a
+    small schema stays inside whole-stage codegen (one wide aggregate of n(n-1)/2 ``corr``
+    buffers exceeds the codegen field limit and runs interpreted), and the partial aggregate
+    reduces every partition to one row per pair before the shuffle.  Spark's ``corr`` skips
+    rows where either side is null.
     """
     cols = list(columns)
-    aggs, pairs = [], []
-    for i, a in enumerate(cols):
-        for j in range(i + 1, len(cols)):
-            b = cols[j]
-            aggs.append(F.corr(finite_or_null(F.col(a)).cast("double"), finite_or_null(F.col(b)).cast("double")).alias(f"c{i}_{j}"))
-            pairs.append((i, j))
-    wide = df.agg(*aggs)
-    cells = []
-    for i, j in pairs:
-        cells.append(F.struct(F.lit(cols[i]).alias("x"), F.lit(cols[j]).alias("y"), F.col(f"c{i}_{j}").alias("corr")))
-        cells.append(F.struct(F.lit(cols[j]).alias("x"), F.lit(cols[i]).alias("y"), F.col(f"c{i}_{j}").alias("corr")))
-    for c in cols:
-        cells.append(F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"), F.lit(1.0).alias("corr")))
-    return wide.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    vals = {c: finite_or_null(F.col(c).cast("double")) for c in cols}
+    cells = F.array(*[F.struct(F.lit(k).alias("p"), vals[cols[i]].alias("a"), vals[cols[j]].alias("b"))
+                      for k, (i, j) in enumerate(pairs)])
+    long = df.select(F.explode(cells).alias("c")).select("c.*")
+    g = long.groupBy("p").agg(F.corr("a", "b").alias("corr"))
+    names = df.sparkSession.createDataFrame(
+        [(k, cols[i], cols[j]) for k, (i, j) in enumerate(pairs)], "p int, x string, y string")
+    half = g.join(F.broadcast(names), "p").select("x", "y", "corr")
+    diag = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "x string, y string, corr double")
+    return half.unionByName(half.select(F.col("y").alias("x"), F.col("x").alias("y"), "corr")).unionByName(diag)
 
 
 def hourly_median(df: DataFrame, value: str = "actual_time") -> DataFrame:
