@@ -376,3 +376,28 @@ def q_scatter_sample(spark, sf):
 oracle("scatter_sample", """SELECT *, greatest(max(osrm_time) OVER (), max(actual_time) OVER ()) AS axis_limit FROM (
   SELECT segment_key, osrm_time, actual_time, route_type FROM raw ORDER BY md5(segment_key || '|42'), segment_key LIMIT 8000)
   WHERE osrm_time > 0 AND actual_time > 0""")
+
+
+@query("safe_ratio")
+def q_safe_ratio(spark, sf):
+    """Zero denominators -> null; negative denominators still divide."""
+    from hubflow.functions.exprs import safe_ratio
+    seg = fixtures.segments(spark, sf)
+    return round_doubles(seg.select("segment_key", safe_ratio(F.col("actual_time") - 100, F.col("segment_osrm_time") - 5)
+                                    .alias("ratio")))
+
+
+oracle("safe_ratio", """SELECT segment_key, round((actual_time - 100) / nullif(segment_osrm_time - 5, 0), 6) AS ratio
+  FROM segments""")
+
+
+@query("unknown_fill")
+def q_unknown_fill(spark, sf):
+    """Per-column constant fills (fillna) on the raw frame."""
+    df = C.unknown_fill(raw_frame(spark, sf), {"delay_ratio": 1.0, "segment_delay_ratio": 0.0, "source_center": "UNKNOWN"})
+    return round_doubles(df.select("segment_key", "delay_ratio", "segment_delay_ratio", "source_center"))
+
+
+oracle("unknown_fill", """SELECT segment_key, round(coalesce(delay_ratio, 1.0), 6) AS delay_ratio,
+  round(coalesce(segment_delay_ratio, 0.0), 6) AS segment_delay_ratio, coalesce(source_center, 'UNKNOWN') AS source_center
+  FROM raw""")

@@ -275,3 +275,18 @@ def q_artifact_roundtrip(spark, sf):
     back = PP.Artifact.from_json(art.to_json())
     assert back == art
     return back.to_frame(spark)
+
+
+@query("feature_list")
+def q_feature_list(spark, sf):
+    """Canonical ordered feature names: base, the fitted route dummies (sorted), graph features."""
+    names = FE.feature_list(FE.route_type_values(clean_frame(spark, sf)))
+    return spark.createDataFrame(list(enumerate(names)), "position int, feature string")
+
+
+oracle("feature_list", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT {i} AS position, '{c}' AS feature" for i, c in enumerate(S.BASE_FEATURES)) + f"""
+  UNION ALL SELECT CAST({len(S.BASE_FEATURES)} + row_number() OVER (ORDER BY route_type) - 1 AS INT), 'route_type_' || route_type
+    FROM (SELECT DISTINCT route_type FROM clean)
+  UNION ALL SELECT CAST({len(S.BASE_FEATURES)} + (SELECT count(DISTINCT route_type) FROM clean) + g.i AS INT), g.f FROM (VALUES """
+    + ", ".join(f"({i}, '{c}')" for i, c in enumerate(S.GRAPH_FEATURES)) + ") g(i, f))")
