@@ -18,10 +18,11 @@ DISCONNECTED = [("a", "b", 1), ("c", "d", 1)]
 
 def _k4(prefix, w):
     n = [f"{prefix}{i}" for i in range(4)]
-    return [(x, y, w) for x in n for y in n if x < y]
+    return [(x, y, w) for x in n for y in n if x != y]
 
 
-TWO_CLIQUES = _k4("p", 5) + _k4("q", 5) + [("p0", "q0", 1)]
+# both cliques and the bridge carry traffic in both directions
+TWO_CLIQUES = _k4("p", 5) + _k4("q", 5) + [("p0", "q0", 1), ("q0", "p0", 1)]
 
 
 def as_map(df, key, val):
