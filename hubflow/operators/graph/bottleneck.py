@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hubflow import schema as S
+from hubflow.functions.exprs import median
 from hubflow.operators.graph import communities as CM
 from hubflow.operators.graph import iterative as IT
 from hubflow.operators.graph.edges import (
@@ -35,7 +36,7 @@ def bottleneck_analyst(betweenness: DataFrame, traffic: DataFrame, edges: DataFr
     wb, wt, wd = S.BOTTLENECK_ANALYST_WEIGHTS
     base = (betweenness.join(traffic, "hub_id", "left")
                        .join(mean_outgoing_delay(edges), "hub_id", "left"))
-    med = base.agg(F.median("mean_outgoing_delay").alias("_med"))
+    med = base.agg(median("mean_outgoing_delay").alias("_med"))
     base = (base.crossJoin(F.broadcast(med))
                 .withColumn("_delay", F.coalesce("mean_outgoing_delay", "_med")).drop("_med"))
     base = minmax_scale(base, "betweenness_centrality", "score_betweenness")

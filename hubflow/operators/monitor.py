@@ -7,7 +7,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hubflow.functions.exprs import finite_or_null
+from hubflow.functions.exprs import finite_or_null, quantile
 
 PSI_FLOOR = 1e-4
 
@@ -21,7 +21,7 @@ def data_drift(baseline: DataFrame, current: DataFrame, features: list[str], bin
     single grouped aggregate each.  PSI = sum (cur - base) * ln(cur / base), proportions floored.
     """
     qs = [i / bins for i in range(1, bins)]
-    edges = baseline.agg(*[F.percentile(finite_or_null(F.col(f).cast("double")), qs).alias(f"e{i}")
+    edges = baseline.agg(*[quantile(finite_or_null(F.col(f).cast("double")), qs).alias(f"e{i}")
                            for i, f in enumerate(features)])
 
     def above(c):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hubflow import schema as S
+from hubflow.functions.exprs import quantile
 from hubflow.operators.profile import histogram
 
 RISKY = ["HIGH", "CRITICAL"]
@@ -72,7 +73,7 @@ def route_mix(df: DataFrame) -> DataFrame:
 
 def eta_distribution(df: DataFrame, bins: int = 40) -> DataFrame:
     """Equal-width histogram of predicted ETA with the P50 and P90 markers."""
-    q = df.agg(F.percentile("predicted_eta", [0.5, 0.9]).alias("q"))
+    q = df.agg(quantile("predicted_eta", [0.5, 0.9]).alias("q"))
     h = histogram(df, "predicted_eta", bins)
     return h.crossJoin(F.broadcast(q.select(F.col("q")[0].alias("p50"), F.col("q")[1].alias("p90"))))
 

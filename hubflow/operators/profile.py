@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hubflow import schema as S
-from hubflow.functions.exprs import bias_corrected_skew, finite_or_null, hash_order
+from hubflow.functions.exprs import bias_corrected_skew, finite_or_null, hash_order, median, quantile
 
 
 def _r(c, decimals):
@@ -21,7 +21,7 @@ def _r(c, decimals):
 
 def iqr_bounds(df: DataFrame, column: str) -> DataFrame:
     """Q1 - 1.5 IQR and Q3 + 1.5 IQR of a column (one row)."""
-    q = F.percentile(finite_or_null(F.col(column)), [0.25, 0.75])
+    q = quantile(finite_or_null(F.col(column)), [0.25, 0.75])
     return df.agg(q.alias("q")).select(
         F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"),
         (F.col("q")[0] - 1.5 * (F.col("q")[1] - F.col("q")[0])).alias("iqr_low"),
@@ -37,7 +37,7 @@ def univariate_summary(df: DataFrame, columns=S.UNIVARIATE_COLS, decimals=None)
     stats = []
     for i, c in enumerate(columns):
         x = finite_or_null(F.col(c))
-        q = F.percentile(x, [0.25, 0.5, 0.75])
+        q = quantile(x, [0.25, 0.5, 0.75])
         stats.append(F.struct(
             F.count(x).alias("count"), F.avg(x).alias("mean"), q[1].alias("median"),
             F.stddev_samp(x).alias("std"), bias_corrected_skew(x).alias("skewness"),
@@ -69,7 +69,7 @@ def capped_distribution(df: DataFrame, column: str, bins: int = 40, cap_quantile
     bin is closed).  Output: bin (1..bins), bin_low, bin_high, count; empty bins omitted."""
     x = finite_or_null(F.col(column))
     base = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    cap = base.agg(F.percentile("x", cap_quantile).alias("cap"))
+    cap = base.agg(quantile("x", cap_quantile).alias("cap"))
     capped = base.crossJoin(F.broadcast(cap)).select(F.least("x", "cap").alias("x"))
     rng = capped.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     return histogram(capped, "x", bins, rng)
@@ -94,7 +94,7 @@ def histogram(df: DataFrame, column: str, bins: int, rng: DataFrame | None = Non
 def box_stats(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
     """Five-number summary (min, q1, median, q3, max), optionally per group."""
     x = finite_or_null(F.col(column))
-    q = F.percentile(x, [0.25, 0.5, 0.75])
+    q = quantile(x, [0.25, 0.5, 0.75])
     aggs = [F.min(x).alias("min"), q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"), F.max(x).alias("max")]
     return (df.groupBy(by).agg(*aggs) if by else df.agg(*aggs))
 
@@ -105,13 +105,13 @@ def route_compare(df: DataFrame, columns=S.ROUTE_COMPARE_COLS, by: str = "route_
     for c in columns:
         x = finite_or_null(F.col(c))
         aggs += [F.count(x).alias(f"{c}_count"), _r(F.avg(x), decimals).alias(f"{c}_mean"),
-                 _r(F.median(x), decimals).alias(f"{c}_median"), _r(F.stddev_samp(x), decimals).alias(f"{c}_std")]
+                 _r(median(x), decimals).alias(f"{c}_median"), _r(F.stddev_samp(x), decimals).alias(f"{c}_std")]
     return df.filter(F.col(by).isNotNull()).groupBy(by).agg(*aggs)
 
 
 def route_box_stats(df: DataFrame, by: str = "route_type") -> DataFrame:
     """Box stats of actual_time and of the p99-capped delay_ratio per route type (long form)."""
-    cap = df.agg(F.percentile(finite_or_null(F.col("delay_ratio")), 0.99).alias("cap"))
+    cap = df.agg(quantile(finite_or_null(F.col("delay_ratio")), 0.99).alias("cap"))
     capped = df.crossJoin(F.broadcast(cap)).withColumn("delay_ratio_capped", F.least("delay_ratio", "cap"))
     a = box_stats(capped.filter(F.col(by).isNotNull()), "actual_time", by).withColumn("measure", F.lit("actual_time"))
     d = box_stats(capped.filter(F.col(by).isNotNull()), "delay_ratio_capped", by).withColumn("measure", F.lit("delay_ratio_capped"))
@@ -143,7 +143,7 @@ def corr_matrix(df: DataFrame, columns=S.CORR_COLS) -> DataFrame:
 
 def hourly_median(df: DataFrame, value: str = "actual_time") -> DataFrame:
     return (df.filter(F.col("trip_hour").isNotNull()).groupBy("trip_hour")
-              .agg(F.median(finite_or_null(F.col(value))).alias(f"median_{value}")))
+              .agg(median(finite_or_null(F.col(value))).alias(f"median_{value}")))
 
 
 def dow_median(df: DataFrame, value: str = "actual_time") -> DataFrame:
@@ -151,7 +151,7 @@ def dow_median(df: DataFrame, value: str = "actual_time") -> DataFrame:
     spark = df.sparkSession
     cal = spark.createDataFrame([(i, d) for i, d in enumerate(S.DAY_NAMES)], "day_index int, trip_day_name string")
     med = (df.filter(F.col("trip_day_name").isNotNull()).groupBy("trip_day_name")
-             .agg(F.median(finite_or_null(F.col(value))).alias(f"median_{value}")))
+             .agg(median(finite_or_null(F.col(value))).alias(f"median_{value}")))
     return cal.join(med, "trip_day_name", "left").select("day_index", "trip_day_name", f"median_{value}")
 
 
@@ -160,7 +160,7 @@ def lane_stats(df: DataFrame, min_rows: int = S.MIN_LANE_ROWS) -> DataFrame:
     lanes with fewer than ``min_rows`` segments are dropped (HAVING)."""
     g = (df.filter(F.col("route_lane").isNotNull()).groupBy("route_lane")
            .agg(F.count("segment_actual_time").alias("n_segments"),
-                F.median(finite_or_null(F.col("segment_delay_ratio"))).alias("median_segment_delay"),
+                median(finite_or_null(F.col("segment_delay_ratio"))).alias("median_segment_delay"),
                 F.avg("segment_actual_time").alias("mean_segment_actual"),
                 F.avg("segment_osrm_time").alias("mean_segment_osrm")))
     return g.filter(F.col("n_segments") >= min_rows)
