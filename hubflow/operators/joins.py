@@ -24,19 +24,26 @@ HUB_COLUMNS = {"pagerank": "pagerank", "degree_centrality": "degree", "bottlenec
 
 
 def merge_hub_features(df: DataFrame, hubs: DataFrame, hub_col: str, prefix: str,
-                       max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                       max_rows: int = MAX_BROADCAST_ROWS, broadcast: bool | None = None) -> DataFrame:
     """Attach ``{prefix}_pagerank/_degree/_bottleneck_score/_community`` by a left join on
-    ``hub_col`` against the wide hub table (hub_id + metric columns)."""
+    ``hub_col`` against the wide hub table (hub_id + metric columns).  ``broadcast`` reuses a size
+    decision already taken; otherwise the row count is checked here."""
     cols = [F.col("hub_id").alias(hub_col)] + [F.col(k).alias(f"{prefix}_{v}") for k, v in HUB_COLUMNS.items()
                                                if k in hubs.columns]
     side = hubs.select(*cols)
-    return df.join(maybe_broadcast(side, max_rows), hub_col, "left")
+    if broadcast is None:
+        side = maybe_broadcast(side, max_rows)
+    elif broadcast:
+        side = F.broadcast(side)
+    return df.join(side, hub_col, "left")
 
 
 def enrich_graph(df: DataFrame, hubs: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Source then destination hub features: two joins against one wide table (not eight)."""
-    out = merge_hub_features(df, hubs, "source_center", "source", max_rows)
-    return merge_hub_features(out, hubs, "destination_center", "destination", max_rows)
+    """Source then destination hub features: two joins against one wide table (not eight); the
+    broadcast size check runs once for both."""
+    small = hubs.limit(max_rows + 1).count() <= max_rows
+    out = merge_hub_features(df, hubs, "source_center", "source", max_rows, broadcast=small)
+    return merge_hub_features(out, hubs, "destination_center", "destination", max_rows, broadcast=small)
 
 
 def merge_graph_features(df: DataFrame, node_metrics: DataFrame, node_col: str,
