@@ -7,6 +7,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 SF0001 = "/root/testdata/sf0.001"
 
@@ -32,7 +33,6 @@ def graph(spark):
     from hubflow.operators.graph.edges import with_flow_distance
 
     def make(edges):
-        df = spark.createDataFrame(edges, "u string, v string, weight bigint").withColumn("avg_delay", __import__(
-            "pyspark.sql.functions", fromlist=["lit"]).lit(1.0))
+        df = spark.createDataFrame(edges, "u string, v string, weight bigint").withColumn("avg_delay", F.lit(1.0))
         return with_flow_distance(df)
     return make

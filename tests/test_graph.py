@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from hubflow.operators.graph import communities as CM
 from hubflow.operators.graph import edges as G
@@ -90,7 +91,7 @@ def test_communities_two_cliques(graph):
     assert len(set(tab.values())) == 2
     assert len({tab[f"p{i}"] for i in range(4)}) == 1 and len({tab[f"q{i}"] for i in range(4)}) == 1
     q = CM.modularity(e, mem)
-    single = CM.modularity(e, mem.withColumn("community", __import__("pyspark.sql.functions", fromlist=["lit"]).lit("x")))
+    single = CM.modularity(e, mem.withColumn("community", F.lit("x")))
     assert q > single
     # bridge ends carry the most betweenness
     b = as_map(IT.betweenness(e), "hub_id", "betweenness_centrality")
