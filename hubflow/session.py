@@ -52,7 +52,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         raise RuntimeError("spark.checkpoint.dir is unset; point it at a shared folder (HDFS/S3/ABFS)")
     local = tempfile.mkdtemp(prefix="hubflow-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
-    spark.conf.set("spark.checkpoint.dir", local)
     return local
 
 
