@@ -97,8 +97,8 @@ def flight(chance: list[float], size: list[float], key: list[int], seed: int, ro
 
 def landing(chance: list[float], size: list[float]) -> list[float]:
     """Decides the last undecided documents: the combination whose words come closest to their due, then the one
-    with the likelier documents.  If words are still over or short, one taken and one untaken document change
-    places, or one document changes, where that comes closest to the total that the chances had.
+    of fewer documents.  While words are over or short, one taken and one untaken document change places, or one
+    document changes, where that comes closest to the total that the chances had.
     """
     due = sum(p * s for p, s in zip(chance, size))
     chance = list(chance)
@@ -111,20 +111,24 @@ def landing(chance: list[float], size: list[float]) -> list[float]:
     mask = min(choices, default=(0.0, 0))[1]
     for k, i in enumerate(open_):
         chance[i] = float(mask >> k & 1)
-    taken = sorted((s, i) for i, (p, s) in enumerate(zip(chance, size)) if p == 1)
-    spare = sorted((s, i) for i, (p, s) in enumerate(zip(chance, size)) if p == 0 and s)
-    short = due - sum(s for s, _ in taken)
-    moves = [(abs(short), 0, ())]
-    moves += [(abs(short + s), 1, (i,)) for s, i in taken] + [(abs(short - s), 1, (i,)) for s, i in spare]
-    if taken and spare:
-        sizes = np.array([s for s, _ in spare])
-        for s, i in taken:
-            at = int(np.searchsorted(sizes, s + short))
-            for k in (at - 1, at):
-                if 0 <= k < len(spare):
-                    moves.append((abs(short + s - spare[k][0]), 0, (i, spare[k][1])))
-    for i in min(moves)[2]:
-        chance[i] = 1 - chance[i]
+    while True:
+        taken = sorted((s, i) for i, (p, s) in enumerate(zip(chance, size)) if p == 1)
+        spare = sorted((s, i) for i, (p, s) in enumerate(zip(chance, size)) if p == 0 and s)
+        short = due - sum(s for s, _ in taken)
+        moves = [(abs(short), 0, ())]
+        moves += [(abs(short + s), 1, (i,)) for s, i in taken] + [(abs(short - s), 1, (i,)) for s, i in spare]
+        if taken and spare:
+            sizes = np.array([s for s, _ in spare])
+            for s, i in taken:
+                at = int(np.searchsorted(sizes, s + short))
+                for k in (at - 1, at):
+                    if 0 <= k < len(spare):
+                        moves.append((abs(short + s - spare[k][0]), 0, (i, spare[k][1])))
+        best = min(moves)
+        if best[0] > abs(short) - 0.5:  # less than a word nearer
+            break
+        for i in best[2]:
+            chance[i] = 1 - chance[i]
     return chance
 
 
