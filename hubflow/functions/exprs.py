@@ -90,26 +90,3 @@ def route_insight(ratio, warning) -> Column:
                         F.when(col(warning), F.lit(S.INSIGHT_BOTTLENECK)),
                         F.when(col(ratio) >= S.ETA_RATIO_INSIGHT, F.lit(S.INSIGHT_ETA)))
     return F.when(parts == "", F.lit(S.INSIGHT_NORMAL)).otherwise(parts)
-
-
-def round6(c) -> Column:
-    return F.round(col(c).cast("double"), 6)
-
-
-def quantile(c, p) -> Column:
-    """Exact percentile (linear interpolation) by default.
-
-    Exact percentiles keep each group's distinct values in one task; for groups too large for
-    that, set ``hubflow.quantile.accuracy`` on the session and every operator switches to the
-    mergeable, bounded-memory ``percentile_approx`` sketch with that accuracy.
-    """
-    from pyspark.sql import SparkSession
-    s = SparkSession.getActiveSession()
-    acc = s.conf.get("hubflow.quantile.accuracy", None) if s is not None else None
-    if acc:
-        return F.percentile_approx(col(c), p, int(acc))
-    return F.percentile(col(c), p)
-
-
-def median(c) -> Column:
-    return quantile(c, 0.5)

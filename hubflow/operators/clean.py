@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hubflow import schema as S
-from hubflow.functions.exprs import day_name, finite_or_null, quantile, route_lane, safe_ratio, weekday_monday0
+from hubflow.functions.exprs import day_name, finite_or_null, route_lane, safe_ratio, weekday_monday0
+from hubflow.operators.quantiles import wide_quantiles
 
 
 def coerce_datetime(df: DataFrame, columns=S.DATETIME_COLS) -> DataFrame:
@@ -87,8 +88,8 @@ def quality_flags(df: DataFrame) -> DataFrame:
     """
     if "delay_ratio" not in df.columns:
         df = add_delay_ratios(df)
-    p99 = df.agg(quantile("delay_ratio", 0.99).alias("_p99_trip"),
-                 quantile("segment_delay_ratio", 0.99).alias("_p99_seg"))
+    p99 = wide_quantiles(df, ["delay_ratio", "segment_delay_ratio"], [0.99]).select(
+        F.col("q_delay_ratio")[0].alias("_p99_trip"), F.col("q_segment_delay_ratio")[0].alias("_p99_seg"))
     flags = {
         "flag_negative_actual": F.col("actual_time") < 0,
         "flag_negative_segment": F.col("segment_actual_time") < 0,
@@ -156,13 +157,14 @@ def table_profile(df: DataFrame, columns=None) -> DataFrame:
         fields = [F.count(x).cast("bigint").alias("count")]
         if c in numeric:
             xd = finite_or_null(x.cast("double"))
-            q = quantile(xd, [0.25, 0.5, 0.75])
+            q = F.first(f"q_{c}")
             fields += [F.avg(xd).alias("mean"), F.stddev_samp(xd).alias("std"), F.min(xd).alias("min"),
                        q[0].alias("p25"), q[1].alias("p50"), q[2].alias("p75"), F.max(xd).alias("max")]
         else:
             fields += [F.lit(None).cast("double").alias(k) for k in ("mean", "std", "min", "p25", "p50", "p75", "max")]
         stats.append(F.struct(F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), *fields).alias(f"s{i}"))
-    wide = df.agg(*stats)
+    quartiles = wide_quantiles(df, sorted(numeric), [0.25, 0.5, 0.75])
+    wide = df.select(*cols).crossJoin(F.broadcast(quartiles)).agg(*stats) if numeric else df.agg(*stats)
     moments = wide.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("s")).select("s.*")
     return moments.join(top_values(df, cols), "column", "left")
 

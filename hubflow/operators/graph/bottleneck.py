@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hubflow import schema as S
-from hubflow.functions.exprs import median
 from hubflow.operators.graph import communities as CM
 from hubflow.operators.graph import iterative as IT
+from hubflow.operators.quantiles import wide_quantiles
 from hubflow.operators.graph.edges import (
     degree_centrality,
     mean_outgoing_delay,
@@ -36,7 +36,7 @@ def bottleneck_analyst(betweenness: DataFrame, traffic: DataFrame, edges: DataFr
     wb, wt, wd = S.BOTTLENECK_ANALYST_WEIGHTS
     base = (betweenness.join(traffic, "hub_id", "left")
                        .join(mean_outgoing_delay(edges), "hub_id", "left"))
-    med = base.agg(median("mean_outgoing_delay").alias("_med"))
+    med = wide_quantiles(base, ["mean_outgoing_delay"], [0.5]).select(F.col("q_mean_outgoing_delay")[0].alias("_med"))
     base = (base.crossJoin(F.broadcast(med))
                 .withColumn("_delay", F.coalesce("mean_outgoing_delay", "_med")).drop("_med"))
     base = minmax_scale(base, "betweenness_centrality", "score_betweenness")
@@ -56,8 +56,8 @@ def graph_summary(edges: DataFrame) -> DataFrame:
     sizes = IT.component_sizes(comps).agg(F.count(F.lit(1)).alias("k"), F.max("size").alias("big")).first()
     dag = IT.is_dag(edges)
     dens = m / (nodes * (nodes - 1)) if nodes > 1 else 0.0
-    row = (int(nodes), int(m), float(dens), float(2 * m / nodes) if nodes else 0.0, int(sizes["k"]),
-           int(sizes["big"]), float(sizes["big"] / nodes * 100) if nodes else 0.0, bool(dag))
+    row = (int(nodes), int(m), round(float(dens), 6), round(2 * m / nodes, 2) if nodes else 0.0, int(sizes["k"]),
+           int(sizes["big"]), round(sizes["big"] / nodes * 100, 2) if nodes else 0.0, bool(dag))
     return spark.createDataFrame([row], "nodes bigint, edges bigint, density double, avg_degree double, "
                                         "weakly_connected_components bigint, largest_component_nodes bigint, "
                                         "largest_component_pct double, is_dag boolean")

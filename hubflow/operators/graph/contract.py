@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hubflow.operators.graph.iterative import NoConvergence
-from hubflow.session import cut_lineage
+from hubflow.session import NoConvergence, cut_lineage
 
 
 def _hang_on_minimum(pairs: DataFrame) -> DataFrame:
@@ -19,8 +18,8 @@ def _hang_on_minimum(pairs: DataFrame) -> DataFrame:
     The minima are keyed by a re-cast column, so both join inputs are plain exchanges and AQE may
     split a hub's rows over several tasks.
     """
-    least = (pairs.groupBy("u").agg(F.min("v").alias("mv"))
-             .select((F.col("u") + F.lit(0)).alias("mu"), F.least("u", "mv").alias("m")))
+    key = F.concat("u", F.lit("")) if dict(pairs.dtypes)["u"] == "string" else F.col("u") + F.lit(0)
+    least = pairs.groupBy("u").agg(F.min("v").alias("mv")).select(key.alias("mu"), F.least("u", "mv").alias("m"))
     return pairs.join(least, F.col("u") == F.col("mu")).select("u", "v", "m")
 
 
@@ -45,12 +44,12 @@ def _signature(edges: DataFrame) -> tuple:
 
 
 def star_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """(u, v) long edges -> (node, component) for every node on an edge; component = smallest node.
+    """(u, v) edges of numbers or strings -> (node, component) for every node on an edge; component = smallest node.
 
     Self edges and repeated edges are allowed; nulls are dropped.  Raises ``NoConvergence`` instead of
     returning an unfinished labelling.
     """
-    cur = cut_lineage(edges.select(F.col("u").cast("long").alias("u"), F.col("v").cast("long").alias("v"))
+    cur = cut_lineage(edges.select("u", "v")
                       .filter("u is not null and v is not null")
                       .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     loops = cur.filter("u = v").select(F.col("u").alias("node"))

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 
 from hubflow.functions.exprs import route_lane
 
+#: Two path lengths are equal if they differ by no more than this share: sums of the same lengths in
+#: another order differ by rounding alone, sums of different lengths by far more.
+TIE = 1e-10
+
 
 def aggregate_lane_edges(df: DataFrame) -> DataFrame:
     """Collapse processed segments to weighted directed lane edges.
@@ -63,13 +67,10 @@ def vertices(edges: DataFrame) -> DataFrame:
 
 
 def with_flow_distance(edges: DataFrame) -> DataFrame:
-    """``flow_distance = 1/max(weight, 1)`` and its exact integer form used by the path
-    operators (``floor(1e9 / max(weight, 1))``) so path-length ties compare exactly."""
-    w = F.greatest(F.col("weight"), F.lit(1))
-    return edges.withColumns({
-        "flow_distance": 1.0 / w.cast("double"),
-        "dist": F.floor(F.lit(1e9) / w.cast("double")).cast("bigint"),
-    })
+    """``flow_distance = 1/max(weight, 1)``; ``dist`` is the same length under the name that the
+    path operators read.  Path sums are doubles, so they are compared with ``TIE`` (relative)."""
+    length = 1.0 / F.greatest(F.col("weight"), F.lit(1)).cast("double")
+    return edges.withColumns({"flow_distance": length, "dist": length})
 
 
 def traffic_volume(edges: DataFrame, u: str | None = None, v: str | None = None, w: str = "weight") -> DataFrame:

@@ -7,8 +7,8 @@ Every loop follows the same discipline:
   ``spark.checkpoint.dir`` (survives executor loss, truncates the lineage);
 * a ``max_iter`` guard raises instead of returning a half-converged answer.
 
-Path metrics use the exact integer edge length ``dist`` (see ``with_flow_distance``) so that
-"is this a shortest path" tests are equalities on integers, not on float sums.
+Path metrics use the double edge length ``dist`` (see ``with_flow_distance``); "is this a shortest path"
+is an equality up to the relative tolerance ``TIE``.
 """
 
 from __future__ import annotations
@@ -18,16 +18,13 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from hubflow import schema as S
-from hubflow.operators.graph.edges import vertices
-from hubflow.session import cut_lineage
+from hubflow.operators.graph.edges import TIE, vertices
+from hubflow.operators.graph.contract import star_components
+from hubflow.session import NoConvergence, cut_lineage
 
 CHECKPOINT_EVERY = 4
 
 
-class NoConvergence(RuntimeError):
-    pass
-
-
 def _step(df: DataFrame, i: int, previous: list) -> DataFrame:
     """Materialize round ``i``'s state; checkpoint periodically; release older rounds."""
     if i % CHECKPOINT_EVERY == 0:
@@ -61,11 +58,11 @@ def pagerank(edges: DataFrame, alpha: float = S.PAGERANK_ALPHA, tol: float = S.P
     ow = e.groupBy("u").agg(F.sum("w").alias("sw"))
     en = (e.join(ow, "u").select("u", "v", (F.col("w") / F.col("sw")).alias("p"))
             .filter(F.col("p").isNotNull()).repartition("u").persist())
-    nodes = vertices(edges).withColumnRenamed("hub_id", "h")
+    nodes = vertices(edges).withColumnRenamed("hub_id", "h").persist()
     n = nodes.count()
     if n == 0:
         return spark.createDataFrame([], "hub_id string, pagerank double")
-    dangling = nodes.join(ow.filter(F.col("sw") != 0).withColumnRenamed("u", "h"), "h", "left_anti")
+    dangling = nodes.join(ow.filter(F.col("sw") != 0).withColumnRenamed("u", "h"), "h", "left_anti").persist()
     ranks = _step(nodes.withColumn("r", F.lit(1.0 / n)), 1, held := [])
     rounds = iterations or max_iter
     for i in range(1, rounds + 1):
@@ -89,40 +86,18 @@ def pagerank(edges: DataFrame, alpha: float = S.PAGERANK_ALPHA, tol: float = S.P
     out = ranks.select(F.col("h").alias("hub_id"), F.col("r").alias("pagerank"))
     out = cut_lineage(out)
     _release(held)
-    en.unpersist()
+    for used in (en, nodes, dangling):
+        used.unpersist()
     return out
 
 
 # ---- weak components ----------------------------------------------------------------------
 
-def connected_components(edges: DataFrame, max_iter: int = 200) -> DataFrame:
-    """Weakly connected components; ``component`` = smallest hub id in the component.
-
-    Min-label propagation over both edge directions plus pointer jumping (label of the label),
-    which collapses long chains in O(log diameter) extra rounds.  Stops when no label changes.
-    """
-    und = (edges.select(F.col("u").alias("a"), F.col("v").alias("b"))
-                .union(edges.select(F.col("v").alias("a"), F.col("u").alias("b")))
-                .filter(F.col("a") != F.col("b")).distinct().repartition("a").persist())
-    lab = _step(vertices(edges).select(F.col("hub_id").alias("h"), F.col("hub_id").alias("c")), 1, held := [])
-    for i in range(1, max_iter + 1):
-        nb = (und.join(lab.withColumnRenamed("h", "b"), "b")
-                 .groupBy(F.col("a").alias("h")).agg(F.min("c").alias("nc")))
-        prop = lab.join(nb, "h", "left").select("h", F.least("c", F.coalesce("nc", "c")).alias("c"))
-        # pointer jumping: adopt the label's own label
-        jump = (prop.alias("x").join(prop.alias("y"), F.col("x.c") == F.col("y.h"), "left")
-                    .select(F.col("x.h").alias("h"), F.least(F.col("x.c"), F.coalesce(F.col("y.c"), F.col("x.c"))).alias("c")))
-        new = _step(jump, i + 1, held)
-        changed = new.join(lab.withColumnRenamed("c", "c0"), "h").filter(F.col("c") != F.col("c0")).count()
-        lab = new
-        if changed == 0:
-            break
-    else:
-        raise NoConvergence("connected_components did not converge")
-    out = cut_lineage(lab.select(F.col("h").alias("hub_id"), F.col("c").alias("component")))
-    _release(held)
-    und.unpersist()
-    return out
+def connected_components(edges: DataFrame) -> DataFrame:
+    """Weakly connected components; ``component`` = smallest hub id in the component (star contraction)."""
+    found = star_components(edges.select("u", "v"))
+    return vertices(edges).join(found, F.col("hub_id") == F.col("node"), "left").select(
+        "hub_id", F.coalesce("component", "hub_id").alias("component"))
 
 
 def component_sizes(components: DataFrame) -> DataFrame:
@@ -164,26 +139,26 @@ def is_dag(edges: DataFrame, max_iter: int = 100000) -> bool:
 def shortest_distances(edges: DataFrame, sources: DataFrame | None = None, directed: bool = True,
                        length: str = "dist", max_iter: int = 100000) -> DataFrame:
     """All shortest distances (s, t, d) from every source (or the given ``sources``), on the
-    integer edge ``length``; self-loops never shorten a path.
+    edge ``length`` as doubles; self-loops never shorten a path.
 
     Frontier relaxation on one state table (s, t, d, fresh): only pairs whose distance improved
     in the last round are expanded; the frontier is a flag, so periodic checkpoints of the state
     truncate the whole loop's lineage.
     """
-    e = edges.select("u", "v", F.col(length).alias("w")).filter(F.col("u") != F.col("v"))
+    e = edges.select("u", "v", F.col(length).cast("double").alias("w")).filter(F.col("u") != F.col("v"))
     if not directed:
         e = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v"), "w"))
     e = e.groupBy("u", "v").agg(F.min("w").alias("w")).repartition("u").persist()
     src = (sources.select(F.col("hub_id").alias("s")) if sources is not None
            else vertices(edges).select(F.col("hub_id").alias("s")))
-    state = _step(src.select("s", F.col("s").alias("t"), F.lit(0).cast("bigint").alias("d"),
+    state = _step(src.select("s", F.col("s").alias("t"), F.lit(0.0).alias("d"),
                              F.lit(True).alias("fresh")), 1, held := [])
     for i in range(1, max_iter + 1):
         cand = (state.filter("fresh").select("s", "t", "d").join(e.withColumnRenamed("u", "t"), "t")
                      .groupBy("s", F.col("v").alias("t")).agg(F.min(F.col("d") + F.col("w")).alias("cd")))
         new = (state.select("s", "t", "d").join(cand, ["s", "t"], "full_outer")
                     .select("s", "t", F.least("d", "cd").alias("d"),
-                            (F.col("cd").isNotNull() & (F.col("d").isNull() | (F.col("cd") < F.col("d")))).alias("fresh")))
+                            (F.col("cd").isNotNull() & (F.col("d").isNull() | (F.col("cd") < F.col("d") * (1 - TIE)))).alias("fresh")))
         state = _step(new, i + 1, held)
         if state.filter("fresh").isEmpty():
             break
@@ -196,12 +171,12 @@ def shortest_distances(edges: DataFrame, sources: DataFrame | None = None, direc
 
 
 def _sp_dag(edges: DataFrame, dist: DataFrame) -> DataFrame:
-    """Edges (s, x, y) lying on some shortest path from s: d(s,x) + len(x,y) = d(s,y)."""
+    """Edges (s, x, y) lying on some shortest path from s: d(s,x) + len(x,y) = d(s,y), up to TIE."""
     e = edges.select(F.col("u").alias("x"), F.col("v").alias("y"), F.col("dist").alias("w")).filter(F.col("x") != F.col("y"))
     e = e.groupBy("x", "y").agg(F.min("w").alias("w"))
     a = dist.select("s", F.col("t").alias("x"), F.col("d").alias("dx"))
     b = dist.select("s", F.col("t").alias("y"), F.col("d").alias("dy"))
-    return (a.join(e, "x").join(b, ["s", "y"]).filter(F.col("dx") + F.col("w") == F.col("dy"))
+    return (a.join(e, "x").join(b, ["s", "y"]).filter(F.col("dx") + F.col("w") <= F.col("dy") * (1 + TIE))
              .select("s", "x", "y"))
 
 
@@ -248,7 +223,7 @@ def path_counts(dag: DataFrame, sources: DataFrame) -> DataFrame:
 
 def betweenness(edges: DataFrame, normalized: bool = True, sources: DataFrame | None = None,
                 method: str = "auto") -> DataFrame:
-    """Directed shortest-path betweenness on the integer flow distance, endpoints excluded,
+    """Directed shortest-path betweenness on the flow distance, endpoints excluded,
     scaled by 1/((n-1)(n-2)) when normalized.
 
     ``method``: "sharded" runs exact per-source Brandes on source shards (edge table replicated
@@ -300,9 +275,8 @@ def closeness(edges: DataFrame, method: str = "auto") -> DataFrame:
     comps = connected_components(edges)
     big = largest_component(comps).select("hub_id")
     m = big.count()
-    members = F.broadcast(big) if m < 100000 else big
-    sub = (und.join(members.withColumnRenamed("hub_id", "u"), "u", "left_semi")
-              .join(members.withColumnRenamed("hub_id", "v"), "v", "left_semi"))
+    sub = (und.join(big.withColumnRenamed("hub_id", "u"), "u", "left_semi")
+              .join(big.withColumnRenamed("hub_id", "v"), "v", "left_semi"))
     if m <= 1:
         return vertices(edges).select("hub_id", F.lit(None).cast("double").alias("closeness_centrality"))
     from hubflow.operators.graph import sharded as SH

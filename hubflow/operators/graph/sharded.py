@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hubflow.operators.graph.edges import TIE
+
 MAX_REPLICATED_EDGES = 2_000_000
 
 
@@ -37,19 +39,19 @@ def _adjacency(epdf: pd.DataFrame, undirected: bool):
     names = np.unique(np.concatenate([epdf["u"].to_numpy(dtype=object), epdf["v"].to_numpy(dtype=object)]))
     code = {h: i for i, h in enumerate(names)}
     adj = [[] for _ in names]
-    for u, v, w in zip(e["u"].map(code), e["v"].map(code), e["w"].astype("int64")):
-        adj[u].append((v, int(w)))
+    for u, v, w in zip(e["u"].map(code), e["v"].map(code), e["w"].astype("float64")):
+        adj[u].append((v, float(w)))
     return names, code, adj
 
 
 def _dijkstra(adj, s):
-    """Settled order, integer distances, shortest-path counts and predecessor lists from s."""
-    dist = {s: 0}
+    """Settled order, distances (ties within TIE), shortest-path counts and predecessor lists from s."""
+    dist = {s: 0.0}
     sigma = {s: 1}
     preds = {s: []}
     order = []
     done = set()
-    heap = [(0, s)]
+    heap = [(0.0, s)]
     while heap:
         d, x = heapq.heappop(heap)
         if x in done:
@@ -59,12 +61,12 @@ def _dijkstra(adj, s):
         for y, w in adj[x]:
             nd = d + w
             cur = dist.get(y)
-            if cur is None or nd < cur:
+            if cur is None or nd < cur * (1 - TIE):
                 dist[y] = nd
                 sigma[y] = sigma[x]
                 preds[y] = [x]
                 heapq.heappush(heap, (nd, y))
-            elif nd == cur and y not in done:
+            elif nd <= cur * (1 + TIE) and y not in done:
                 sigma[y] += sigma[x]
                 preds[y].append(x)
     return order, dist, sigma, preds

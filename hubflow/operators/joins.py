@@ -1,8 +1,7 @@
 """Joins of hub features onto segment / trip tables.
 
-The hub table has one row per hub: it grows with the network, not with the trip volume.  It is
-broadcast only after its row count is checked against ``max_broadcast_rows``; beyond that the
-join falls back to a shuffle (sort-merge) join, and AQE may still convert it at runtime.
+The hub table has one row per hub: it grows with the network, not with the trip volume.  No side carries a broadcast
+hint: the joins are planned as shuffle joins, and AQE broadcasts a side whose measured bytes are small.
 """
 
 from __future__ import annotations
@@ -10,40 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def maybe_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint only for a side proven to hold at most ``max_rows`` rows."""
-    n = small.limit(max_rows + 1).count()
-    return F.broadcast(small) if n <= max_rows else small
-
-
 HUB_COLUMNS = {"pagerank": "pagerank", "degree_centrality": "degree", "bottleneck_score": "bottleneck_score",
                "community_id": "community"}
 
 
-def merge_hub_features(df: DataFrame, hubs: DataFrame, hub_col: str, prefix: str,
-                       max_rows: int = MAX_BROADCAST_ROWS, broadcast: bool | None = None) -> DataFrame:
+def merge_hub_features(df: DataFrame, hubs: DataFrame, hub_col: str, prefix: str) -> DataFrame:
     """Attach ``{prefix}_pagerank/_degree/_bottleneck_score/_community`` by a left join on
-    ``hub_col`` against the wide hub table (hub_id + metric columns).  ``broadcast`` reuses a size
-    decision already taken; otherwise the row count is checked here."""
-    cols = [F.col("hub_id").alias(hub_col)] + [F.col(k).alias(f"{prefix}_{v}") for k, v in HUB_COLUMNS.items()
-                                               if k in hubs.columns]
-    side = hubs.select(*cols)
-    if broadcast is None:
-        side = maybe_broadcast(side, max_rows)
-    elif broadcast:
-        side = F.broadcast(side)
-    return df.join(side, hub_col, "left")
-
-
-def enrich_graph(df: DataFrame, hubs: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Source then destination hub features: two joins against one wide table (not eight); the
-    broadcast size check runs once for both."""
-    small = hubs.limit(max_rows + 1).count() <= max_rows
-    out = merge_hub_features(df, hubs, "source_center", "source", max_rows, broadcast=small)
-    return merge_hub_features(out, hubs, "destination_center", "destination", max_rows, broadcast=small)
+    ``hub_col`` against the wide hub table (hub_id + metric columns)."""
+    found = {k: v for k, v in HUB_COLUMNS.items() if k in hubs.columns}
+    return df.join(hubs.select(F.col("hub_id").alias(hub_col), *[F.col(k).alias(f"{prefix}_{v}") for k, v in found.items()]), hub_col, "left")
+
+
+def enrich_graph(df: DataFrame, hubs: DataFrame) -> DataFrame:
+    """Source then destination hub features: two joins against one wide table (not eight)."""
+    return merge_hub_features(merge_hub_features(df, hubs, "source_center", "source"), hubs, "destination_center", "destination")
 
 
 def merge_graph_features(df: DataFrame, node_metrics: DataFrame, node_col: str,

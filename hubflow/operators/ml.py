@@ -28,6 +28,9 @@ def trip_split(df: DataFrame, test_share: float = S.TEST_SHARE, seed: int = S.SE
     return (df.filter(F.col(trip).isNotNull())
               .withColumn("split", F.when(pct < int(round(test_share * 100)), "test").otherwise("train")))
 
+#: Rows that one group of a permutation holds on average.
+ROWS_PER_BUCKET = 2_000
+
 
 def split_leak_check(split_df: DataFrame, trip: str = S.TRIP_ID) -> DataFrame:
     """Trips found on both sides of the split (must be empty)."""
@@ -158,10 +161,12 @@ def feature_importance(model: PipelineModel, features, k: int = 20) -> DataFrame
               .orderBy(F.col("importance").desc(), "feature").limit(k))
 
 
-def permute_column(df: DataFrame, column: str, key: str, seed: int = S.SEED, buckets: int = 64) -> DataFrame:
+def permute_column(df: DataFrame, column: str, key: str, seed: int = S.SEED, buckets: int | None = None) -> DataFrame:
     """Randomly re-assign ``column`` across rows: rows are hashed into ``buckets`` groups and the
     values rotate by one position inside each group (hash order).  Marginals are kept exactly,
-    the link to the row is broken, and every group is a balanced hash slice (no hot group)."""
+    the link to the row is broken, and every group is a balanced hash slice (no hot group) of about
+    ``ROWS_PER_BUCKET`` rows."""
+    buckets = buckets or 1 + df.count() // ROWS_PER_BUCKET
     b = (F.abs(F.xxhash64(F.col(key), F.lit(seed))) % buckets).alias("_b")
     w = Window.partitionBy("_b").orderBy(hash_order(key, seed + 1), key)
     wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -173,10 +178,12 @@ def permute_column(df: DataFrame, column: str, key: str, seed: int = S.SEED, buc
 def permutation_importance(model: PipelineModel, test: DataFrame, features, key: str = "segment_key",
                            label: str = S.TARGET) -> DataFrame:
     """MAE increase when one feature is permuted (model-agnostic explainability)."""
+    test = test.persist()
+    buckets = 1 + test.count() // ROWS_PER_BUCKET
     base = regression_metrics(model.transform(test), label).select(F.col("MAE").alias("base_mae"))
     out = None
     for f in features:
-        m = regression_metrics(model.transform(permute_column(test, f, key)), label).select(
+        m = regression_metrics(model.transform(permute_column(test, f, key, buckets=buckets)), label).select(
             F.lit(f).alias("feature"), F.col("MAE").alias("permuted_mae"))
         out = m if out is None else out.unionByName(m)
     return (out.crossJoin(F.broadcast(base))
@@ -184,11 +191,9 @@ def permutation_importance(model: PipelineModel, test: DataFrame, features, key:
                .orderBy(F.col("mae_increase").desc(), "feature"))
 
 
-def smoke_train(df: DataFrame, features, n: int = 20000, trees: int = 50, depth: int = 6,
-                label: str = S.TARGET) -> DataFrame:
-    """Small end-to-end fit on a seeded trip sample: split, fit, test metrics (one row)."""
-    smp = df.orderBy(hash_order("segment_key"), "segment_key").limit(n)
-    sp = trip_split(smp)
+def smoke_train(df: DataFrame, features, trees: int = 50, depth: int = 6, label: str = S.TARGET) -> DataFrame:
+    """A quick end-to-end fit (few, shallow trees) on all rows: split, fit, test metrics (one row)."""
+    sp = trip_split(df)
     tr, te = sp.filter(F.col("split") == "train"), sp.filter(F.col("split") == "test")
     model = train_eta(tr, features, label, max_iter=trees, max_depth=depth)
     return regression_metrics(model.transform(te), label)

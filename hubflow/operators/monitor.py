@@ -7,7 +7,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hubflow.functions.exprs import finite_or_null, quantile
+from hubflow.functions.exprs import finite_or_null
+from hubflow.operators.quantiles import wide_quantiles
 
 PSI_FLOOR = 1e-4
 
@@ -21,14 +22,13 @@ def data_drift(baseline: DataFrame, current: DataFrame, features: list[str], bin
     single grouped aggregate each.  PSI = sum (cur - base) * ln(cur / base), proportions floored.
     """
     qs = [i / bins for i in range(1, bins)]
-    edges = baseline.agg(*[quantile(finite_or_null(F.col(f).cast("double")), qs).alias(f"e{i}")
-                           for i, f in enumerate(features)])
+    edges = wide_quantiles(baseline, list(features), qs).select(*[F.col(f"q_{f}").alias(f"e{i}") for i, f in enumerate(features)])
 
     def above(c):
         return lambda acc, e: acc + (F.col(c) > e).cast("int")
 
     def bucketed(df, side):
-        j = df.select(*features).crossJoin(F.broadcast(edges))
+        j = df.select(*[finite_or_null(F.col(f).cast("double")).alias(f) for f in features]).crossJoin(F.broadcast(edges))
         # bucket = number of baseline edges below the value (0 .. bins-1)
         cells = F.array(*[F.struct(F.lit(f).alias("feature"),
                                    F.aggregate(F.col(f"e{i}"), F.lit(0), above(f)).alias("bucket"),

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hubflow import schema as S
-from hubflow.functions.exprs import quantile
 from hubflow.operators.profile import histogram
+from hubflow.operators.quantiles import wide_quantiles
 
 RISKY = ["HIGH", "CRITICAL"]
 
@@ -24,7 +24,7 @@ def summary_cards(df: DataFrame) -> DataFrame:
     return df.agg(n.alias("trips_scored"), F.avg("predicted_eta").alias("mean_predicted_eta"),
                   F.count_if(F.col("risk_level") == "CRITICAL").alias("critical_risk_count"),
                   alerts.alias("bottleneck_alerts"),
-                  (100 * hc / F.greatest(n, F.lit(1))).alias("sla_breach_pct"),
+                  F.round(100 * hc / F.greatest(n, F.lit(1)), 1).alias("sla_breach_pct"),
                   half.alias("avg_confidence_half_width"), hc.alias("high_risk_count"))
 
 
@@ -62,7 +62,7 @@ def risk_heatmap(df: DataFrame) -> DataFrame:
     work = df if "trip_hour" in df.columns else df.withColumn("trip_hour", F.lit(12))
     work = work.withColumn("is_high_risk", F.col("risk_level").isin(*RISKY).cast("int"))
     idx = "route_type" if "route_type" in work.columns else "risk_level"
-    return work.groupBy(idx).pivot("trip_hour").agg(F.avg("is_high_risk")).na.fill(0.0)
+    return work.groupBy(idx).pivot("trip_hour", list(range(24))).agg(F.avg("is_high_risk")).na.fill(0.0)
 
 
 def route_mix(df: DataFrame) -> DataFrame:
@@ -73,7 +73,7 @@ def route_mix(df: DataFrame) -> DataFrame:
 
 def eta_distribution(df: DataFrame, bins: int = 40) -> DataFrame:
     """Equal-width histogram of predicted ETA with the P50 and P90 markers."""
-    q = df.agg(quantile("predicted_eta", [0.5, 0.9]).alias("q"))
+    q = wide_quantiles(df, ["predicted_eta"], [0.5, 0.9]).select(F.col("q_predicted_eta").alias("q"))
     h = histogram(df, "predicted_eta", bins)
     return h.crossJoin(F.broadcast(q.select(F.col("q")[0].alias("p50"), F.col("q")[1].alias("p90"))))
 

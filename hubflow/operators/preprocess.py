@@ -1,121 +1,131 @@
-"""Fit / transform preprocessing: median imputation, p99 upper clipping, OSRM calibration.
+"""Preprocessing fitted on training rows: gaps get the median, values are capped at the 99th percentile.
 
-Fit is ONE aggregate over the training rows (``percentile`` of every feature at 0.5 and 0.99 in
-the same pass); the fitted numbers (two per feature) come back to the driver and are inlined as
-literals, so transform is a single Project with no join.  ``accuracy`` switches the quantiles
-to ``percentile_approx`` (bounded-memory sketches) for very large training sets.
+The fit asks ``wide_quantiles`` once for all features, so no task holds a whole column; what comes back is two
+numbers per feature.  They enter the transform as literals: one projection, no join.
 """
 
 from __future__ import annotations
 
 import json
-from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hubflow import schema as S
 from hubflow.functions.exprs import finite_or_null, safe_ratio
+from hubflow.operators.quantiles import wide_quantiles
+
+ROUTE_PREFIX = "route_type_"
 
 
-@dataclass
 class Artifact:
-    feature_columns: list
-    fill_values: dict = field(default_factory=dict)
-    clip_upper: dict = field(default_factory=dict)
-    route_type_columns: list = field(default_factory=list)
-    osrm_minutes_per_km: float = 1.0
-    residual_std: float = 0.0
-    osrm_time_median: float = 0.0
+    """What a fit knows: ``limits`` maps each feature to (fill, cap), either of which may be None, and
+    ``scalars`` holds the values that scoring needs besides (see ``DEFAULTS``)."""
+
+    DEFAULTS = {"osrm_minutes_per_km": 1.0, "residual_std": 0.0, "osrm_time_median": 0.0}
+
+    def __init__(self, limits: dict, **scalars):
+        self.limits = dict(limits)
+        self.scalars = {name: float(scalars.get(name) or default) for name, default in self.DEFAULTS.items()}
+
+    def __getattr__(self, name: str):
+        if name in type(self).DEFAULTS:
+            return self.scalars[name]
+        raise AttributeError(name)
+
+    def __eq__(self, other) -> bool:
+        return isinstance(other, Artifact) and self.stored() == other.stored()
+
+    def with_scalars(self, **scalars) -> Artifact:
+        return Artifact(self.limits, **self.scalars | scalars)
+
+    @property
+    def feature_columns(self) -> list:
+        return list(self.limits)
+
+    @property
+    def route_type_columns(self) -> list:
+        return sorted(name for name in self.limits if name.startswith(ROUTE_PREFIX))
+
+    @property
+    def fill_values(self) -> dict:
+        return {name: fill for name, (fill, _) in self.limits.items()}
+
+    @property
+    def clip_upper(self) -> dict:
+        return {name: cap for name, (_, cap) in self.limits.items()}
+
+    def stored(self) -> dict:
+        """The fit under its stored names."""
+        return {key: getattr(self, key) for key in S.ARTIFACT_KEYS}
+
+    @classmethod
+    def restore(cls, stored: dict) -> Artifact:
+        names, fills, caps, _, *scalars = (stored[key] for key in S.ARTIFACT_KEYS)
+        return cls({n: (fills.get(n), caps.get(n)) for n in names}, **dict(zip(cls.DEFAULTS, scalars)))
 
     def to_json(self) -> str:
-        return json.dumps(asdict(self), sort_keys=True)
+        return json.dumps(self.stored(), sort_keys=True)
 
     @classmethod
-    def from_json(cls, text: str) -> "Artifact":
-        return cls(**json.loads(text))
+    def from_json(cls, text: str) -> Artifact:
+        return cls.restore(json.loads(text))
 
     def to_frame(self, spark) -> DataFrame:
-        """The artifact as a one-row DataFrame (maps for the per-feature values)."""
-        row = (self.feature_columns, self.fill_values, self.clip_upper, self.route_type_columns,
-               float(self.osrm_minutes_per_km), float(self.residual_std), float(self.osrm_time_median))
-        return spark.createDataFrame([row], "feature_columns array<string>, fill_values map<string,double>, "
-                                            "clip_upper map<string,double>, route_type_columns array<string>, "
-                                            "osrm_minutes_per_km double, residual_std double, osrm_time_median double")
-
-
-def _quantiles(c, ps, accuracy):
-    if accuracy:
-        return F.percentile_approx(c, ps, accuracy)
-    return F.percentile(c, ps)
-
-
-def fit_preprocessor(train: DataFrame, feature_columns: list[str], accuracy: int | None = None) -> Artifact:
-    """Median fill and p99 clip per feature (inf -> null first), OSRM minutes per km, median
-    OSRM time -- all in one aggregate job."""
-    feats = [c for c in feature_columns if c in train.columns]
-    aggs = [_quantiles(finite_or_null(F.col(c).cast("double")), [0.5, S.CLIP_QUANTILE], accuracy).alias(f"q{i}")
-            for i, c in enumerate(feats)]
-    if "osrm_time" in train.columns and "osrm_distance" in train.columns:
-        ratio = finite_or_null(safe_ratio(F.col("osrm_time"), F.col("osrm_distance")))
-        aggs.append(_quantiles(ratio, [0.5], accuracy).alias("mpk"))
-    else:
-        aggs.append(F.lit(None).cast("array<double>").alias("mpk"))
+        """One row under the stored names (maps for the values of features)."""
+        kinds = ["array<string>", "map<string,double>", "map<string,double>", "array<string>", "double", "double", "double"]
+        return spark.createDataFrame([tuple(self.stored().values())], ", ".join(map(" ".join, zip(S.ARTIFACT_KEYS, kinds))))
+
+
+def fit_preprocessor(train: DataFrame, feature_columns: list[str]) -> Artifact:
+    """Median and 99th percentile of each listed feature that ``train`` has, and the medians of OSRM minutes per
+    kilometre and of OSRM time."""
+    names = [c for c in feature_columns if c in train.columns]
+    extra = {}
     if "osrm_time" in train.columns:
-        aggs.append(_quantiles(finite_or_null(F.col("osrm_time").cast("double")), [0.5], accuracy).alias("otm"))
-    else:
-        aggs.append(F.lit(None).cast("array<double>").alias("otm"))
-    row = train.agg(*aggs).first()
-    fill, clip = {}, {}
-    for i, c in enumerate(feats):
-        q = row[f"q{i}"]
-        fill[c] = float(q[0]) if q and q[0] is not None else None
-        clip[c] = float(q[1]) if q and q[1] is not None else None
-    mpk = row["mpk"][0] if row["mpk"] and row["mpk"][0] is not None else 1.0
-    otm = row["otm"][0] if row["otm"] and row["otm"][0] is not None else 0.0
-    return Artifact(feature_columns=feats, fill_values=fill, clip_upper=clip,
-                    route_type_columns=sorted(c for c in feats if c.startswith("route_type_")),
-                    osrm_minutes_per_km=float(mpk), osrm_time_median=float(otm))
+        extra["_osrm_time"] = F.col("osrm_time").cast("double")
+        if "osrm_distance" in train.columns:
+            extra["_minutes_per_km"] = safe_ratio(F.col("osrm_time"), F.col("osrm_distance"))
+    if not names and not extra:
+        return Artifact({})
+    row = wide_quantiles(train.select(*names, *[x.alias(n) for n, x in extra.items()]), [*names, *extra],
+                         [0.5, S.CLIP_QUANTILE]).first().asDict()
+    pair = lambda name: tuple(row.get(f"q_{name}") or (None, None))
+    return Artifact({n: pair(n) for n in names}, osrm_minutes_per_km=pair("_minutes_per_km")[0], osrm_time_median=pair("_osrm_time")[0])
+
+
+def _ready(name: str, present: bool, limits: tuple) -> Column:
+    fill, cap = limits
+    value = finite_or_null(F.col(name).cast("double")) if present else F.lit(0.0)
+    if fill is not None:
+        value = F.coalesce(value, F.lit(fill))
+    return (value if cap is None else F.least(value, F.lit(cap))).alias(name)
 
 
 def transform_features(df: DataFrame, art: Artifact, keep: list[str] | None = None) -> DataFrame:
-    """Model-ready matrix: missing route dummies -> 0.0, other missing features -> error,
-    inf -> null -> fitted median, then upper clip at the fitted p99."""
-    for c in art.route_type_columns:
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(0.0))
-    missing = [c for c in art.feature_columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"Missing features at inference: {missing}")
-    cols = []
-    for c in art.feature_columns:
-        x = finite_or_null(F.col(c).cast("double"))
-        med, hi = art.fill_values.get(c), art.clip_upper.get(c)
-        if med is not None:
-            x = F.coalesce(x, F.lit(med))
-        if hi is not None:
-            x = F.least(x, F.lit(hi))
-        cols.append(x.alias(c))
-    extra = [F.col(k) for k in (keep or []) if k in df.columns and k not in art.feature_columns]
-    return df.select(*extra, *cols)
+    """The fitted features, ready for a model, behind the ``keep`` columns that ``df`` has.
+
+    A route type that the frame does not know counts 0; any other fitted feature must be there.
+    """
+    have = set(df.columns)
+    lacking = set(art.limits) - have - set(art.route_type_columns)
+    if lacking:
+        raise ValueError(f"fitted features that the frame lacks: {sorted(lacking)}")
+    passed = [c for c in keep or () if c in have and c not in art.limits]
+    return df.select(*passed, *[_ready(name, name in have, limits) for name, limits in art.limits.items()])
 
 
 def sanitize_global(df: DataFrame, train: DataFrame, feature_columns: list[str]) -> DataFrame:
-    """Analyst variant: fill with medians of *all* rows, clip with the training p99."""
-    med = fit_preprocessor(df, feature_columns)
-    clip = fit_preprocessor(train, feature_columns)
-    art = Artifact(feature_columns=med.feature_columns, fill_values=med.fill_values, clip_upper=clip.clip_upper,
-                   route_type_columns=med.route_type_columns)
-    keep = [c for c in df.columns if c not in art.feature_columns]
-    return transform_features(df, art, keep)
+    """Analyst variant: gaps get the medians of all rows, caps come from the training rows."""
+    fills, caps = fit_preprocessor(df, feature_columns), fit_preprocessor(train, feature_columns)
+    both = Artifact({n: (fill, caps.clip_upper.get(n)) for n, fill in fills.fill_values.items()})
+    return transform_features(df, both, [c for c in df.columns if c not in both.limits])
 
 
 def standardize(df: DataFrame, columns: list[str], fit: DataFrame | None = None) -> DataFrame:
     """z-score with the population std of ``fit`` (default: ``df``); constant columns -> 0."""
     src = fit if fit is not None else df
-    st = src.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(f"z{i}")
-                   for i, c in enumerate(columns)])
-    j = df.crossJoin(F.broadcast(st))
-    out = {c: F.when(F.col(f"z{i}.s") > 0, (F.col(c) - F.col(f"z{i}.m")) / F.col(f"z{i}.s")).otherwise(F.lit(0.0))
-           for i, c in enumerate(columns)}
-    return j.withColumns(out).drop(*[f"z{i}" for i in range(len(columns))])
+    moments = src.agg(*[F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std")).alias(f"_z{i}") for i, c in enumerate(columns)])
+    scaled = {c: F.when(F.col(f"_z{i}.std") > 0, (F.col(c) - F.col(f"_z{i}.mean")) / F.col(f"_z{i}.std")).otherwise(F.lit(0.0))
+              for i, c in enumerate(columns)}
+    return df.crossJoin(F.broadcast(moments)).withColumns(scaled).drop(*[f"_z{i}" for i in range(len(columns))])

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hubflow import schema as S
-from hubflow.functions.exprs import bias_corrected_skew, finite_or_null, hash_order, median, quantile
+from hubflow.functions.exprs import bias_corrected_skew, finite_or_null, hash_order
+from hubflow.operators.quantiles import grouped_quantiles, wide_quantiles
 
 
 def _r(c, decimals):
@@ -21,8 +22,7 @@ def _r(c, decimals):
 
 def iqr_bounds(df: DataFrame, column: str) -> DataFrame:
     """Q1 - 1.5 IQR and Q3 + 1.5 IQR of a column (one row)."""
-    q = quantile(finite_or_null(F.col(column)), [0.25, 0.75])
-    return df.agg(q.alias("q")).select(
+    return wide_quantiles(df, [column], [0.25, 0.75]).select(F.col(f"q_{column}").alias("q")).select(
         F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3"),
         (F.col("q")[0] - 1.5 * (F.col("q")[1] - F.col("q")[0])).alias("iqr_low"),
         (F.col("q")[1] + 1.5 * (F.col("q")[1] - F.col("q")[0])).alias("iqr_high"))
@@ -31,19 +31,20 @@ def iqr_bounds(df: DataFrame, column: str) -> DataFrame:
 def univariate_summary(df: DataFrame, columns=S.UNIVARIATE_COLS, decimals=None) -> DataFrame:
     """count, mean, median, std, skew, IQR bounds, outlier count and % of all rows, per column.
 
-    Pass 1: one aggregate of every moment/quantile; pass 2: outlier counts against the 1-row
-    bounds (broadcast).  Output is long: one row per variable.
+    Pass 1: one aggregate of every moment, and the quartiles of all columns; pass 2: outlier counts
+    against the 1-row bounds (broadcast).  Output is long: one row per variable.
     """
     stats = []
     for i, c in enumerate(columns):
         x = finite_or_null(F.col(c))
-        q = quantile(x, [0.25, 0.5, 0.75])
+        q = F.first(f"q_{c}")
         stats.append(F.struct(
             F.count(x).alias("count"), F.avg(x).alias("mean"), q[1].alias("median"),
             F.stddev_samp(x).alias("std"), bias_corrected_skew(x).alias("skewness"),
             (q[0] - 1.5 * (q[2] - q[0])).alias("iqr_low"), (q[2] + 1.5 * (q[2] - q[0])).alias("iqr_high"),
         ).alias(f"s{i}"))
-    bounds = df.agg(*stats, F.count(F.lit(1)).alias("_n"))
+    quartiles = wide_quantiles(df, list(columns), [0.25, 0.5, 0.75])
+    bounds = df.select(*columns).crossJoin(F.broadcast(quartiles)).agg(*stats, F.count(F.lit(1)).alias("_n"))
     joined = df.select(*columns).crossJoin(F.broadcast(bounds))
     outl = [F.count_if((F.col(c) < F.col(f"s{i}.iqr_low")) | (F.col(c) > F.col(f"s{i}.iqr_high"))).alias(f"o{i}")
             for i, c in enumerate(columns)]
@@ -69,7 +70,7 @@ def capped_distribution(df: DataFrame, column: str, bins: int = 40, cap_quantile
     bin is closed).  Output: bin (1..bins), bin_low, bin_high, count; empty bins omitted."""
     x = finite_or_null(F.col(column))
     base = df.select(x.alias("x")).filter(F.col("x").isNotNull())
-    cap = base.agg(quantile("x", cap_quantile).alias("cap"))
+    cap = wide_quantiles(base, ["x"], [cap_quantile]).select(F.col("q_x")[0].alias("cap"))
     capped = base.crossJoin(F.broadcast(cap)).select(F.least("x", "cap").alias("x"))
     rng = capped.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     return histogram(capped, "x", bins, rng)
@@ -93,25 +94,31 @@ def histogram(df: DataFrame, column: str, bins: int, rng: DataFrame | None = Non
 
 def box_stats(df: DataFrame, column: str, by: str | None = None) -> DataFrame:
     """Five-number summary (min, q1, median, q3, max), optionally per group."""
-    x = finite_or_null(F.col(column))
-    q = quantile(x, [0.25, 0.5, 0.75])
-    aggs = [F.min(x).alias("min"), q[0].alias("q1"), q[1].alias("median"), q[2].alias("q3"), F.max(x).alias("max")]
-    return (df.groupBy(by).agg(*aggs) if by else df.agg(*aggs))
+    q = grouped_quantiles(df, [by] if by else [], column, [0.0, 0.25, 0.5, 0.75, 1.0])
+    names = ("min", "q1", "median", "q3", "max")
+    five = q.select(*([by] if by else []), *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
+    if by:  # groups without values keep a row
+        return df.select(by).distinct().alias("g").join(five.alias("v"), F.col(f"g.{by}").eqNullSafe(F.col(f"v.{by}")), "left").select(
+            F.col(f"g.{by}").alias(by), *names)
+    return five if not five.isEmpty() else df.sparkSession.range(1).select(*[F.lit(None).cast("double").alias(n) for n in names])
 
 
 def route_compare(df: DataFrame, columns=S.ROUTE_COMPARE_COLS, by: str = "route_type", decimals=2) -> DataFrame:
-    """Per route type and measure: count, mean, median, std (one grouped aggregate)."""
+    """Per route type and measure: count, mean, median, std."""
+    known = df.filter(F.col(by).isNotNull())
     aggs = []
     for c in columns:
         x = finite_or_null(F.col(c))
         aggs += [F.count(x).alias(f"{c}_count"), _r(F.avg(x), decimals).alias(f"{c}_mean"),
-                 _r(median(x), decimals).alias(f"{c}_median"), _r(F.stddev_samp(x), decimals).alias(f"{c}_std")]
-    return df.filter(F.col(by).isNotNull()).groupBy(by).agg(*aggs)
+                 _r(F.stddev_samp(x), decimals).alias(f"{c}_std")]
+    medians = wide_quantiles(known, list(columns), [0.5], (by,)).select(
+        by, *[_r(F.col(f"q_{c}")[0], decimals).alias(f"{c}_median") for c in columns])
+    return known.groupBy(by).agg(*aggs).join(medians, by, "left")
 
 
 def route_box_stats(df: DataFrame, by: str = "route_type") -> DataFrame:
     """Box stats of actual_time and of the p99-capped delay_ratio per route type (long form)."""
-    cap = df.agg(quantile(finite_or_null(F.col("delay_ratio")), 0.99).alias("cap"))
+    cap = wide_quantiles(df, ["delay_ratio"], [0.99]).select(F.col("q_delay_ratio")[0].alias("cap"))
     capped = df.crossJoin(F.broadcast(cap)).withColumn("delay_ratio_capped", F.least("delay_ratio", "cap"))
     a = box_stats(capped.filter(F.col(by).isNotNull()), "actual_time", by).withColumn("measure", F.lit("actual_time"))
     d = box_stats(capped.filter(F.col(by).isNotNull()), "delay_ratio_capped", by).withColumn("measure", F.lit("delay_ratio_capped"))
@@ -141,29 +148,35 @@ def corr_matrix(df: DataFrame, columns=S.CORR_COLS) -> DataFrame:
     return half.unionByName(half.select(F.col("y").alias("x"), F.col("x").alias("y"), "corr")).unionByName(diag)
 
 
+def _medians(df: DataFrame, by: str, value: str, name: str) -> DataFrame:
+    """by, name: the median of ``value``; groups without values keep a row with null."""
+    q = grouped_quantiles(df, [by], value, [0.5]).select(by, F.col("q")[0].alias(name))
+    return df.select(by).distinct().join(q, by, "left")
+
+
 def hourly_median(df: DataFrame, value: str = "actual_time") -> DataFrame:
-    return (df.filter(F.col("trip_hour").isNotNull()).groupBy("trip_hour")
-              .agg(median(finite_or_null(F.col(value))).alias(f"median_{value}")))
+    return _medians(df.filter(F.col("trip_hour").isNotNull()), "trip_hour", value, f"median_{value}")
 
 
 def dow_median(df: DataFrame, value: str = "actual_time") -> DataFrame:
     """Median per weekday, Monday first; days without rows are kept with a null median."""
     spark = df.sparkSession
     cal = spark.createDataFrame([(i, d) for i, d in enumerate(S.DAY_NAMES)], "day_index int, trip_day_name string")
-    med = (df.filter(F.col("trip_day_name").isNotNull()).groupBy("trip_day_name")
-             .agg(median(finite_or_null(F.col(value))).alias(f"median_{value}")))
+    med = _medians(df.filter(F.col("trip_day_name").isNotNull()), "trip_day_name", value, f"median_{value}")
     return cal.join(med, "trip_day_name", "left").select("day_index", "trip_day_name", f"median_{value}")
 
 
 def lane_stats(df: DataFrame, min_rows: int = S.MIN_LANE_ROWS) -> DataFrame:
     """Per lane: n_segments, median segment delay ratio, mean segment actual / OSRM times;
     lanes with fewer than ``min_rows`` segments are dropped (HAVING)."""
-    g = (df.filter(F.col("route_lane").isNotNull()).groupBy("route_lane")
-           .agg(F.count("segment_actual_time").alias("n_segments"),
-                median(finite_or_null(F.col("segment_delay_ratio"))).alias("median_segment_delay"),
-                F.avg("segment_actual_time").alias("mean_segment_actual"),
-                F.avg("segment_osrm_time").alias("mean_segment_osrm")))
-    return g.filter(F.col("n_segments") >= min_rows)
+    known = df.filter(F.col("route_lane").isNotNull())
+    g = (known.groupBy("route_lane")
+         .agg(F.count("segment_actual_time").alias("n_segments"), F.avg("segment_actual_time").alias("mean_segment_actual"),
+              F.avg("segment_osrm_time").alias("mean_segment_osrm")).filter(F.col("n_segments") >= min_rows))
+    medians = grouped_quantiles(known, ["route_lane"], "segment_delay_ratio", [0.5]).select(
+        "route_lane", F.col("q")[0].alias("median_segment_delay"))
+    return g.join(medians, "route_lane", "left").select("route_lane", "n_segments", "median_segment_delay", "mean_segment_actual",
+                                                        "mean_segment_osrm")
 
 
 def top_delayed_lanes(df: DataFrame, k: int = 15, min_rows: int = S.MIN_LANE_ROWS) -> DataFrame:

@@ -56,7 +56,7 @@ def train_production(spark: SparkSession, processed: DataFrame, bundle_path: str
     model = ML.train_eta(PP.transform_features(train, art, keep), art.feature_columns, **gbt)
     pred = model.transform(PP.transform_features(test, art, keep))
     m = ML.regression_metrics(pred).first().asDict()
-    art.residual_std = float(ML.residual_std(pred))
+    art = art.with_scalars(residual_std=ML.residual_std(pred))
     metrics = {"MAE": m["MAE"], "RMSE": m["RMSE"], "R2": m["R2"], "train_rows": train.count(),
                "test_rows": m["n"], "n_features": len(art.feature_columns)}
     if bundle_path:

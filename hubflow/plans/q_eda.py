@@ -11,22 +11,29 @@ from hubflow.plans.common import clean_frame, query, raw_frame, round_doubles
 from hubflow.plans.oracle import oracle
 from hubflow.sources import fixtures
 
-R6 = "round({}, 6)"
+# ---- 2.B cleaning ----------------------------------------------------------------------
 
+_TIMES = ("trip_creation_time", "od_start_time", "od_end_time")
+
+
+def shown_times(df):
+    """Timestamps as text to the second, which both engines write alike."""
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in _TIMES})
+
+
+TIMES_SQL = ", ".join(f"strftime({c}, '%Y-%m-%d %H:%M:%S') AS {c}" for c in _TIMES)
 
-# ---- 2.B cleaning ----------------------------------------------------------------------
 
 @query("clean_segments")
 def q_clean_segments(spark, sf):
-    df = clean_frame(spark, sf).drop("trip_creation_time", "od_start_time", "od_end_time")
-    return round_doubles(df)
+    return round_doubles(shown_times(clean_frame(spark, sf)))
 
 
 oracle("clean_segments", """SELECT data, trip_uuid, route_schedule_uuid, route_type, source_center, destination_center,
   source_name, destination_name, actual_time, osrm_time, segment_actual_time, segment_osrm_time,
   round(delay_ratio, 6) AS delay_ratio, round(segment_delay_ratio, 6) AS segment_delay_ratio, route_lane,
   round(actual_distance_to_destination, 6) AS actual_distance_to_destination, osrm_distance, segment_osrm_distance,
-  round(factor, 6) AS factor, round(segment_factor, 6) AS segment_factor, is_cutoff, segment_key FROM clean""")
+  round(factor, 6) AS factor, round(segment_factor, 6) AS segment_factor, is_cutoff, segment_key, """ + TIMES_SQL + " FROM clean")
 
 
 @query("delay_ratios")
@@ -145,8 +152,7 @@ UNPIVOT (count FOR issue IN (negative_actual, negative_segment_actual, zero_osrm
   extreme_delay_ratio, extreme_segment_delay_ratio, any_issue))""", _P99, _FLAGS)
 
 
-_MISSING_COLS = ["source_center", "delay_ratio", "segment_delay_ratio", "factor", "segment_factor", "route_lane",
-                 "actual_time", "trip_uuid"]
+_MISSING_COLS = S.PROCESSED_COLS + ["cutoff_timestamp", "cutoff_factor", "segment_key"]
 
 
 @query("missing_summary")
@@ -158,26 +164,29 @@ oracle("missing_summary", "SELECT column_name AS \"column\", missing_count, roun
        "SELECT count(*) AS n, " + ", ".join(f"count_if({c} IS NULL) AS {c}" for c in _MISSING_COLS)
        + " FROM raw) UNPIVOT (missing_count FOR column_name IN (" + ", ".join(_MISSING_COLS) + "))")
 
-_PROFILE_COLS = ["route_type", "source_center", "actual_time", "segment_osrm_time", "segment_delay_ratio", "is_cutoff"]
+_PROFILE_COLS = [c for c in S.PROCESSED_COLS if c not in _TIMES] + ["segment_key", *_TIMES]
+_NUMBERS = ("actual_time", "osrm_time", "segment_actual_time", "segment_osrm_time", "delay_ratio", "segment_delay_ratio",
+            "actual_distance_to_destination", "osrm_distance", "segment_osrm_distance", "factor", "segment_factor")
 
 
 @query("table_profile")
 def q_table_profile(spark, sf):
-    prof = C.table_profile(clean_frame(spark, sf), _PROFILE_COLS).drop("dtype")
+    prof = C.table_profile(shown_times(clean_frame(spark, sf)), _PROFILE_COLS).drop("dtype")
     return round_doubles(prof)
 
 
 def _profile_sql():
     parts = []
     for c in _PROFILE_COLS:
-        num = c in ("actual_time", "segment_osrm_time", "segment_delay_ratio")
+        num = c in _NUMBERS
+        x = f"strftime({c}, '%Y-%m-%d %H:%M:%S')" if c in _TIMES else c
         m = (f"round(avg({c}), 6), round(stddev_samp({c}), 6), round(min({c}), 6), round(quantile_cont({c}, 0.25), 6), "
              f"round(quantile_cont({c}, 0.5), 6), round(quantile_cont({c}, 0.75), 6), round(max({c}), 6)"
              if num else "NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE, NULL::DOUBLE")
         parts.append(f"""SELECT '{c}' AS "column", count({c}) AS count, {m},
-  (SELECT count(DISTINCT {c}) FROM clean) AS "unique",
-  (SELECT v FROM (SELECT CAST({c} AS VARCHAR) AS v, count(*) AS f FROM clean WHERE {c} IS NOT NULL GROUP BY 1) ORDER BY f DESC, v LIMIT 1) AS top,
-  (SELECT max(f) FROM (SELECT count(*) AS f FROM clean WHERE {c} IS NOT NULL GROUP BY {c})) AS freq FROM clean""")
+  (SELECT count(DISTINCT {x}) FROM clean) AS "unique",
+  (SELECT v FROM (SELECT CAST({x} AS VARCHAR) AS v, count(*) AS f FROM clean WHERE {c} IS NOT NULL GROUP BY 1) ORDER BY f DESC, v LIMIT 1) AS top,
+  (SELECT max(f) FROM (SELECT count(*) AS f FROM clean WHERE {c} IS NOT NULL GROUP BY {x})) AS freq FROM clean""")
     cols = '"column", count, mean, std, min, p25, p50, p75, max, "unique", top, freq'
     body = " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
     return f"SELECT * FROM (SELECT * FROM ({body})) t({cols})"

@@ -89,16 +89,24 @@ oracle("attach_traffic", """SELECT h.hub_id, round(h.degree_centrality, 6) AS de
 
 @query("centrality_diag")
 def q_centrality_diag(spark, sf):
-    """Bottleneck table LEFT JOIN pagerank table on hub (stand-in metrics)."""
+    """Hub table with traffic, mean outgoing delay and bottleneck score, left join the pagerank of the hubs that
+    send segments (the others stay null)."""
+    seg = clean_frame(spark, sf)
+    e = G.lane_edges(seg)
     hubs = fixtures.hub_table(spark, sf)
-    bn = hubs.select("hub_id", "bottleneck_score").filter(F.col("bottleneck_score") > 0.2)
-    pr = hubs.select("hub_id", "pagerank").filter(F.col("pagerank") > 0.009)
-    return round_doubles(bn.join(pr, "hub_id", "left"))
+    bn = J.attach_traffic(hubs.select("hub_id", "bottleneck_score"), G.traffic_volume(e)).join(G.mean_outgoing_delay(e), "hub_id", "left")
+    pr = hubs.select("hub_id", "pagerank").join(seg.select(F.col("source_center").alias("hub_id")).distinct(), "hub_id", "left_semi")
+    return round_doubles(J.merge_graph_features(bn, pr, "hub_id"))
 
 
-oracle("centrality_diag", """SELECT b.hub_id, round(b.bottleneck_score, 6) AS bottleneck_score, round(p.pagerank, 6) AS pagerank
-  FROM (SELECT * FROM hubs WHERE bottleneck_score > 0.2) b LEFT JOIN (SELECT * FROM hubs WHERE pagerank > 0.009) p
-  ON p.hub_id = b.hub_id""", HUBS)
+oracle("centrality_diag", """SELECT b.hub_id, round(b.bottleneck_score, 6) AS bottleneck_score, t.traffic_volume,
+  round(o.m, 6) AS mean_outgoing_delay, round(p.pagerank, 6) AS pagerank FROM hubs b
+  LEFT JOIN (SELECT hub_id, CAST(sum(w) AS BIGINT) AS traffic_volume FROM (
+    SELECT source_center AS hub_id, count(*) AS w FROM clean GROUP BY 1
+    UNION ALL SELECT destination_center, count(*) FROM clean GROUP BY 1) GROUP BY hub_id) t ON t.hub_id = b.hub_id
+  LEFT JOIN (SELECT u, avg(d) AS m FROM (SELECT source_center AS u, avg(segment_delay_ratio) AS d FROM clean
+    GROUP BY source_center, destination_center) GROUP BY u) o ON o.u = b.hub_id
+  LEFT JOIN (SELECT * FROM hubs WHERE hub_id IN (SELECT source_center FROM clean)) p ON p.hub_id = b.hub_id""", HUBS)
 
 
 @query("trip_holdout_filter")
@@ -115,12 +123,14 @@ oracle("trip_holdout_filter", """SELECT route_type, count(*) AS rows FROM clean
 
 @query("hub_coverage")
 def q_hub_coverage(spark, sf):
-    hubs = fixtures.hub_table(spark, sf).filter(F.col("pagerank") > 0.01)
-    return round_doubles(J.hub_coverage(clean_frame(spark, sf), hubs))
+    """Share of all hubs that the table of sending hubs (of cut-off segments) covers."""
+    seg = clean_frame(spark, sf)
+    hubs = seg.filter("is_cutoff").select(F.col("source_center").alias("hub_id")).distinct()
+    return round_doubles(J.hub_coverage(seg, hubs))
 
 
-oracle("hub_coverage", """SELECT round(count(*) FILTER (WHERE h IN (SELECT hub_id FROM hubs WHERE pagerank > 0.01)) / count(*), 6)
-  AS coverage FROM (SELECT source_center AS h FROM clean UNION SELECT destination_center FROM clean)""", HUBS)
+oracle("hub_coverage", """SELECT round(count(*) FILTER (WHERE h IN (SELECT source_center FROM clean WHERE is_cutoff)) / count(*), 6)
+  AS coverage FROM (SELECT source_center AS h FROM clean UNION SELECT destination_center FROM clean)""")
 
 
 # ---- 2.F features -----------------------------------------------------------------------
@@ -201,8 +211,7 @@ oracle("expand_minimal", """SELECT event_id AS request_id,
 
 # ---- 2.G preprocessing --------------------------------------------------------------------
 
-_PP_FEATS = ["osrm_time", "segment_time_share", "trip_hour_sin", "source_bottleneck_score", "source_community",
-             "graph_pagerank_gap"]
+_PP_FEATS = FE.feature_list(["Carting", "FTL"])
 
 
 def _featured(spark, sf):
@@ -237,7 +246,7 @@ def q_transform_features(spark, sf):
 
 
 oracle("transform_features", "SELECT segment_key, " + ", ".join(
-    f"round(least(coalesce({c}, (SELECT median({c}) FROM tr)), (SELECT quantile_cont({c}, 0.99) FROM tr)), 6) AS {c}"
+    f"round(CAST(least(coalesce({c}, (SELECT median({c}) FROM tr)), (SELECT quantile_cont({c}, 0.99) FROM tr)) AS DOUBLE), 6) AS {c}"
     for c in _PP_FEATS) + " FROM feat WHERE CAST('0x' || substr(md5(trip_uuid || '|42'), 1, 8) AS BIGINT) % 100 < 20",
        HUBS, ENR, FEAT, _TRAIN)
 
@@ -251,30 +260,35 @@ def q_sanitize_global(spark, sf):
 
 
 oracle("sanitize_global", "SELECT segment_key, " + ", ".join(
-    f"round(least(coalesce({c}, (SELECT median({c}) FROM feat)), (SELECT quantile_cont({c}, 0.99) FROM tr)), 6) AS {c}"
+    f"round(CAST(least(coalesce({c}, (SELECT median({c}) FROM feat)), (SELECT quantile_cont({c}, 0.99) FROM tr)) AS DOUBLE), 6) AS {c}"
     for c in _PP_FEATS) + " FROM feat", HUBS, ENR, FEAT, _TRAIN)
 
 
 @query("standardize")
 def q_standardize(spark, sf):
-    cols = ["osrm_time", "segment_time_share", "graph_pagerank_gap"]
-    out = PP.standardize(_featured(spark, sf).select("segment_key", *cols), cols)
+    out = PP.standardize(_featured(spark, sf).select("segment_key", *_PP_FEATS), _PP_FEATS)
     return round_doubles(out)
 
 
 oracle("standardize", "SELECT segment_key, " + ", ".join(
-    f"round(({c} - (SELECT avg({c}) FROM feat)) / (SELECT stddev_pop({c}) FROM feat), 6) AS {c}"
-    for c in ["osrm_time", "segment_time_share", "graph_pagerank_gap"]) + " FROM feat", HUBS, ENR, FEAT)
+    f"CASE WHEN (SELECT stddev_pop({c}) FROM feat) > 0 THEN round(({c} - (SELECT avg({c}) FROM feat)) / (SELECT stddev_pop({c}) FROM feat), 6) ELSE 0.0 END AS {c}"
+    for c in _PP_FEATS) + " FROM feat", HUBS, ENR, FEAT)
 
 
 @query("artifact_roundtrip")
 def q_artifact_roundtrip(spark, sf):
-    """Artifact -> JSON -> artifact -> one-row frame (property check: round trip is lossless)."""
-    tr = _featured(spark, sf)
-    art = PP.fit_preprocessor(tr, _PP_FEATS)
+    """Artifact -> JSON -> artifact -> one-row frame, opened again to a row for each feature."""
+    from hubflow.operators.ml import trip_split
+    art = PP.fit_preprocessor(trip_split(_featured(spark, sf)).filter(F.col("split") == "train"), _PP_FEATS)
     back = PP.Artifact.from_json(art.to_json())
-    assert back == art
-    return back.to_frame(spark)
+    rows = back.to_frame(spark).select(F.explode("feature_columns").alias("feature"), "fill_values", "clip_upper")
+    return round_doubles(rows.select("feature", F.col("fill_values")[F.col("feature")].alias("fill_value"),
+                                     F.col("clip_upper")[F.col("feature")].alias("clip_upper"), F.lit(back == art).alias("lossless")))
+
+
+oracle("artifact_roundtrip", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, round(median({c}), 6) AS fill_value, round(quantile_cont({c}, 0.99), 6) AS clip_upper, true AS lossless FROM tr"
+    for c in _PP_FEATS), HUBS, ENR, FEAT, _TRAIN)
 
 
 @query("feature_list")

@@ -20,9 +20,9 @@ def graph_edges(spark, sf):
     return cut_lineage(G.with_flow_distance(G.lane_edges(clean_frame(spark, sf))))
 
 
-# oracle side: lane edges with the exact integer length, node set, both-direction adjacency
+# oracle side: lane edges with length 1/weight, node set, both-direction adjacency
 E_SQL = """e AS (SELECT source_center AS u, destination_center AS v, count(route_lane) AS weight,
-  avg(segment_delay_ratio) AS avg_delay, CAST(floor(1e9 / greatest(count(route_lane), 1)) AS BIGINT) AS d
+  avg(segment_delay_ratio) AS avg_delay, 1.0 / CAST(greatest(count(route_lane), 1) AS DOUBLE) AS d
   FROM clean GROUP BY 1, 2)"""
 NODES_SQL = "nodes AS (SELECT u AS h FROM e UNION SELECT v FROM e)"
 TRAFFIC_SQL = """traffic AS (SELECT hub_id, CAST(sum(w) AS BIGINT) AS traffic_volume FROM
@@ -43,7 +43,8 @@ def _minplus(prefix: str, base: str, rounds: int = 8) -> list[str]:
     return ctes
 
 
-def _pagerank_sql(rounds: int = 20) -> list[str]:
+def _pagerank_sql(rounds: int = 30) -> list[str]:
+    """Rounds r1, r2, ...; ``pr`` is the first whose L1 change is below 1e-6 per hub (none: no rows)."""
     ctes = ["ow AS (SELECT u, sum(CAST(weight AS DOUBLE)) AS sw FROM e GROUP BY u)",
             "cnt AS (SELECT count(*) AS n FROM nodes)",
             "r0 AS MATERIALIZED (SELECT h, 1.0 / n AS r FROM nodes CROSS JOIN cnt)"]
@@ -53,6 +54,10 @@ def _pagerank_sql(rounds: int = 20) -> list[str]:
   + (SELECT coalesce(sum(r), 0) FROM {p} WHERE h NOT IN (SELECT u FROM ow)) / n) AS r
   FROM nodes nd CROSS JOIN cnt LEFT JOIN (SELECT e.v, sum(p.r * (e.weight / ow.sw)) AS s
     FROM e JOIN {p} p ON p.h = e.u JOIN ow ON ow.u = e.u GROUP BY e.v) x ON x.v = nd.h)""")
+    every = " UNION ALL ".join(f"SELECT {i} AS k, a.h, a.r, abs(a.r - b.r) AS d FROM r{i} a JOIN r{i - 1} b ON a.h = b.h" for i in range(1, rounds + 1))
+    ctes.append(f"prk AS MATERIALIZED ({every})")
+    ctes.append("""pr AS (SELECT h, r FROM prk WHERE k = (SELECT min(k) FROM (SELECT k, sum(d) AS e FROM prk GROUP BY k)
+  WHERE e < 1e-6 * (SELECT n FROM cnt)))""")
     return ctes
 
 
@@ -84,10 +89,10 @@ oracle("build_digraph", """SELECT source_center AS u, destination_center AS v,
 
 @query("flow_distance")
 def q_flow_distance(spark, sf):
-    return round_doubles(graph_edges(spark, sf).select("u", "v", "flow_distance", "dist"))
+    return round_doubles(graph_edges(spark, sf).select("u", "v", "flow_distance"))
 
 
-oracle("flow_distance", """SELECT u, v, round(1.0 / greatest(weight, 1), 6) AS flow_distance, d AS dist FROM e""", E_SQL)
+oracle("flow_distance", """SELECT u, v, round(1.0 / greatest(weight, 1), 6) AS flow_distance FROM e""", E_SQL)
 
 
 @query("traffic_volume")
@@ -176,10 +181,10 @@ oracle("minmax_scale", """SELECT hub_id, traffic_volume, round(CASE WHEN hi = lo
 
 @query("pagerank")
 def q_pagerank(spark, sf):
-    return round_doubles(IT.pagerank(graph_edges(spark, sf), iterations=20))
+    return round_doubles(IT.pagerank(graph_edges(spark, sf)))
 
 
-oracle("pagerank", "SELECT h AS hub_id, round(r, 6) AS pagerank FROM r20", E_SQL, NODES_SQL, *_pagerank_sql(20))
+oracle("pagerank", "SELECT h AS hub_id, round(r, 6) AS pagerank FROM pr", E_SQL, NODES_SQL, *_pagerank_sql())
 
 
 @query("connected_components")
@@ -207,26 +212,26 @@ def q_graph_summary(spark, sf):
 
 oracle("graph_summary", """SELECT (SELECT count(*) FROM nodes) AS nodes, (SELECT count(*) FROM e) AS edges,
   round((SELECT count(*) FROM e) / ((SELECT count(*) FROM nodes) * ((SELECT count(*) FROM nodes) - 1)), 6) AS density,
-  round(2.0 * (SELECT count(*) FROM e) / (SELECT count(*) FROM nodes), 6) AS avg_degree,
+  round(2.0 * (SELECT count(*) FROM e) / (SELECT count(*) FROM nodes), 2) AS avg_degree,
   (SELECT count(DISTINCT component) FROM cc) AS weakly_connected_components,
   (SELECT max(c) FROM (SELECT count(*) AS c FROM cc GROUP BY component)) AS largest_component_nodes,
-  round((SELECT max(c) FROM (SELECT count(*) AS c FROM cc GROUP BY component)) * 100.0 / (SELECT count(*) FROM nodes), 6)
+  round((SELECT max(c) FROM (SELECT count(*) AS c FROM cc GROUP BY component)) * 100.0 / (SELECT count(*) FROM nodes), 2)
     AS largest_component_pct,
   NOT EXISTS (SELECT 1 FROM e WHERE u = v) AND NOT EXISTS (SELECT 1 FROM e JOIN r ON r.s = e.v AND r.t = e.u) AS is_dag""",
        E_SQL, NODES_SQL, CC_SQL, "r(s, t) AS (SELECT u, v FROM e UNION SELECT r.s, e.v FROM r JOIN e ON e.u = r.t)")
 
 _BETWEEN = _minplus("dd", "SELECT u, v, d FROM e WHERE u <> v") + [
     """dag AS (SELECT s.u AS s, e.u AS x, e.v AS y
-  FROM (SELECT u, v, d FROM dd8 UNION ALL SELECT DISTINCT u, u, 0 FROM e) s
+  FROM (SELECT u, v, d FROM dd8 UNION ALL SELECT DISTINCT u, u, 0.0 FROM e) s
   JOIN e ON e.u = s.v AND e.u <> e.v
-  JOIN dd8 t ON t.u = s.u AND t.v = e.v AND s.d + e.d = t.d)""",
+  JOIN dd8 t ON t.u = s.u AND t.v = e.v AND abs(s.d + e.d - t.d) <= 1e-10 * t.d)""",
     """lv(s, y, c, l) AS (SELECT DISTINCT u, u, CAST(1 AS BIGINT), 0 FROM e
   UNION ALL SELECT dag.s, dag.y, CAST(sum(lv.c) AS BIGINT), any_value(lv.l) + 1
   FROM lv JOIN dag ON dag.s = lv.s AND dag.x = lv.y GROUP BY dag.s, dag.y)""",
     "sg AS (SELECT s, y, sum(c) AS c FROM lv GROUP BY 1, 2)",
     """rawb AS (SELECT v.v AS hub_id, sum(a.c * b.c * 1.0 / st.c) AS raw_betweenness
   FROM dd8 v JOIN dd8 t ON t.u = v.v AND t.v <> v.u
-  JOIN dd8 g ON g.u = v.u AND g.v = t.v AND g.d = v.d + t.d
+  JOIN dd8 g ON g.u = v.u AND g.v = t.v AND abs(g.d - (v.d + t.d)) <= 1e-10 * g.d
   JOIN sg a ON a.s = v.u AND a.y = v.v JOIN sg b ON b.s = v.v AND b.y = t.v
   JOIN sg st ON st.s = v.u AND st.y = t.v GROUP BY 1)""",
     """btw AS (SELECT nodes.h AS hub_id, coalesce(rawb.raw_betweenness, 0)
@@ -295,37 +300,88 @@ oracle("closeness", """SELECT nodes.h AS hub_id, round(c.r * 1.0 / c.tot * (c.r
   ON c.u = nodes.h""", E_SQL, NODES_SQL, *_CLOSE)
 
 
+def hub_metrics(e):
+    """One table of rankable hub metrics: pagerank, degree, betweenness, closeness (long form)."""
+    found = {"pagerank": IT.pagerank(e).select("hub_id", F.col("pagerank").alias("value")),
+             "degree": G.degree_centrality(e).select("hub_id", F.col("degree_centrality").alias("value")),
+             "betweenness": IT.betweenness(e).select("hub_id", F.col("betweenness_centrality").alias("value")),
+             "closeness": IT.closeness(e).select("hub_id", F.col("closeness_centrality").alias("value"))}
+    # engines sum in different orders: values equal to nine digits tie, and the hub id decides
+    return {name: df.withColumn("value", F.round("value", 9)).filter("value is not null") for name, df in found.items()}
+
+
 @query("hub_rankings")
 def q_hub_rankings(spark, sf):
+    """The 50 first hubs of each metric (the analyst exports' length) with their traffic."""
     e = graph_edges(spark, sf)
     t = G.traffic_volume(e)
-    pr = G.top_n(IT.pagerank(e, iterations=20).join(t, "hub_id", "left"), "pagerank", 10).withColumn("metric", F.lit("pagerank"))
-    dg = G.top_n(G.degree_centrality(e).join(t, "hub_id", "left"), "degree_centrality", 10).withColumn("metric", F.lit("degree"))
-    out = (pr.select("metric", "hub_id", F.col("pagerank").alias("value"), "traffic_volume")
-             .unionByName(dg.select("metric", "hub_id", F.col("degree_centrality").alias("value"), "traffic_volume")))
+    out = None
+    for name, df in hub_metrics(e).items():
+        top = G.top_n(df, "value", 50).join(t, "hub_id", "left").select(F.lit(name).alias("metric"), "hub_id", "value", "traffic_volume")
+        out = top if out is None else out.unionByName(top)
     return round_doubles(out)
 
 
-oracle("hub_rankings", """SELECT * FROM (
-  (SELECT 'pagerank' AS metric, p.h AS hub_id, round(p.r, 6) AS value, t.traffic_volume FROM r20 p
-    LEFT JOIN traffic t ON t.hub_id = p.h ORDER BY p.r DESC, p.h LIMIT 10)
-  UNION ALL (SELECT 'degree', d.hub_id, round(d.degree / ((SELECT count(*) FROM deg) - 1), 6), t.traffic_volume
-    FROM deg d LEFT JOIN traffic t ON t.hub_id = d.hub_id ORDER BY d.degree DESC, d.hub_id LIMIT 10))""",
-       E_SQL, NODES_SQL, TRAFFIC_SQL, DEG_SQL, *_pagerank_sql(20))
+_CLOSENESS = """cls AS (SELECT nodes.h AS hub_id, c.r * 1.0 / c.tot * (c.r * 1.0 / ((SELECT count(*) FROM big) - 1)) AS value
+  FROM nodes JOIN (SELECT u, count(*) AS r, sum(d) AS tot FROM cd8 WHERE u <> v GROUP BY u) c ON c.u = nodes.h)"""
+_RANKED = {"pagerank": "SELECT h AS hub_id, r AS value FROM pr", "degree": "SELECT hub_id, degree / ((SELECT count(*) FROM deg) - 1) AS value FROM deg",
+           "betweenness": "SELECT hub_id, betweenness_centrality AS value FROM btw", "closeness": "SELECT * FROM cls"}
+oracle("hub_rankings", "SELECT m.metric, m.hub_id, round(m.value, 6) AS value, t.traffic_volume FROM (" + " UNION ALL ".join(
+    f"(SELECT '{name}' AS metric, hub_id, round(value, 9) AS value FROM ({body}) ORDER BY round(value, 9) DESC, hub_id LIMIT 50)"
+    for name, body in _RANKED.items()) + ") m LEFT JOIN traffic t ON t.hub_id = m.hub_id",
+       E_SQL, NODES_SQL, TRAFFIC_SQL, DEG_SQL, *_pagerank_sql(), *_BETWEEN, *_CLOSE, _CLOSENESS)
+
+
+def _community_facts(e, table):
+    """(every hub once, sizes right, modularity at least that of the components and of one community)."""
+    hubs = G.vertices(e)
+    named = table.select("hub_id", F.col("community_id").alias("community"))
+    whole = hubs.join(named, "hub_id", "left").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("hub_id").alias("d"),
+                                                  F.count("community").alias("c")).first()
+    sizes = table.groupBy("community_id").agg(F.count(F.lit(1)).alias("n"), F.max("community_size").alias("s")).filter("n <> s").count()
+    q = CM.modularity(e, named)
+    parts = CM.modularity(e, IT.connected_components(e).select("hub_id", F.col("component").alias("community")))
+    return (whole["n"] == whole["d"] == whole["c"], sizes == 0, q >= parts - 1e-9, q >= -1e-9)
 
 
 @query("communities")
 def q_communities(spark, sf):
-    """Louvain-style communities: property-checked (valid partition, modularity bounds)."""
-    return CM.community_table(CM.louvain(graph_edges(spark, sf)))
+    """Properties of the Louvain-style partition (labels depend on the seed, these do not)."""
+    e = graph_edges(spark, sf)
+    facts = _community_facts(e, cut_lineage(CM.community_table(CM.louvain(e))))
+    return spark.createDataFrame([facts], "covers_every_hub boolean, sizes_match boolean, beats_components boolean, beats_one_community boolean")
+
+
+oracle("communities", "SELECT true AS covers_every_hub, true AS sizes_match, true AS beats_components, true AS beats_one_community")
 
 
 @query("community_summary")
 def q_community_summary(spark, sf):
-    return CM.community_summary(CM.community_table(CM.louvain(graph_edges(spark, sf))))
+    """Totals of the summary and of the size histogram, which hold for any partition."""
+    e = graph_edges(spark, sf)
+    table = cut_lineage(CM.community_table(CM.louvain(e)))
+    s = CM.community_summary(table).agg(F.sum("hubs").alias("hubs"), F.min(F.size("sample_hubs") == F.least("hubs", F.lit(5))).alias("samples_full"),
+                                        F.count(F.lit(1)).alias("n"))
+    h = CM.community_size_histogram(table).agg(F.sum("count").alias("binned"), F.max("bin").alias("last"))
+    return s.crossJoin(h).select("hubs", "samples_full", (F.col("binned") == F.col("n")).alias("histogram_counts_all"),
+                                 (F.col("last") <= 30).alias("at_most_30_bins"))
+
+
+oracle("community_summary", """SELECT (SELECT count(*) FROM nodes) AS hubs, true AS samples_full, true AS histogram_counts_all,
+  true AS at_most_30_bins""", E_SQL, NODES_SQL)
 
 
 @query("lane_graph_tables")
 def q_lane_graph_tables(spark, sf):
-    """Full hub feature store (pagerank, degree, bottleneck, community) as one wide table."""
-    return round_doubles(BN.hub_feature_table(BN.lane_graph_tables(graph_edges(spark, sf))))
+    """Full hub feature store (pagerank, degree, bottleneck, community) as one wide table; the community number
+    depends on the seed, so only its presence is compared."""
+    wide = BN.hub_feature_table(BN.lane_graph_tables(graph_edges(spark, sf)))
+    return round_doubles(wide.select("hub_id", "pagerank", "degree_centrality", "bottleneck_score", F.col("community_id").isNotNull().alias("has_community")))
+
+
+oracle("lane_graph_tables", """SELECT b.hub_id, round(p.r, 6) AS pagerank, round(d.degree / ((SELECT count(*) FROM deg) - 1), 6) AS degree_centrality,
+  round(0.6 * (betweenness_centrality - lb) / (hb - lb + 1e-9) + 0.4 * (traffic_volume - lt) / (ht - lt + 1e-9), 6) AS bottleneck_score,
+  true AS has_community FROM btw b JOIN traffic t ON t.hub_id = b.hub_id JOIN pr p ON p.h = b.hub_id JOIN deg d ON d.hub_id = b.hub_id
+  CROSS JOIN (SELECT min(betweenness_centrality) AS lb, max(betweenness_centrality) AS hb FROM btw)
+  CROSS JOIN (SELECT min(traffic_volume) AS lt, max(traffic_volume) AS ht FROM traffic)""",
+       E_SQL, NODES_SQL, TRAFFIC_SQL, DEG_SQL, *_pagerank_sql(), *_BETWEEN)

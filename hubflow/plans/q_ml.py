@@ -3,6 +3,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
@@ -16,13 +17,14 @@ from hubflow.operators.clean import add_trip_time_parts, coerce_datetime
 from hubflow.operators.joins import enrich_graph
 from hubflow.plans.common import clean_frame, query, round_doubles
 from hubflow.plans.oracle import HUBS, oracle
+from hubflow.plans.q_eda import TIMES_SQL, shown_times
+from hubflow.plans.q_features import ENR, FEAT
 from hubflow.session import cut_lineage
 from hubflow.sources import files, fixtures, store
 
 CATS = ["Carting", "FTL"]
 # small boosted-tree settings for the registered checks; production defaults live in schema.GBT_PARAMS
 CHECK_GBT = dict(max_iter=20, max_depth=5)
-_MEMO: dict = {}
 
 
 def standin_model():
@@ -40,17 +42,12 @@ def standin_tables(spark, sf) -> dict:
 
 
 def split_features(spark, sf):
-    """(train, test, artifact) on featured segments with the stand-in hub table; memoized per
-    session so the training checks share one materialized frame."""
-    key = (id(spark), sf)
-    if key not in _MEMO:
-        df = add_trip_time_parts(clean_frame(spark, sf))
-        feat = FE.build_ml_features(enrich_graph(df, fixtures.hub_table(spark, sf)), CATS)
-        feat = cut_lineage(ML.trip_split(feat))
-        train, test = feat.filter(F.col("split") == "train"), feat.filter(F.col("split") == "test")
-        art = PP.fit_preprocessor(train, FE.feature_list(CATS))
-        _MEMO[key] = (train, test, art)
-    return _MEMO[key]
+    """(train, test, artifact) on featured segments with the stand-in hub table."""
+    df = add_trip_time_parts(clean_frame(spark, sf))
+    feat = FE.build_ml_features(enrich_graph(df, fixtures.hub_table(spark, sf)), CATS)
+    feat = cut_lineage(ML.trip_split(feat))
+    train, test = feat.filter(F.col("split") == "train"), feat.filter(F.col("split") == "test")
+    return train, test, PP.fit_preprocessor(train, FE.feature_list(CATS))
 
 
 def matrices(spark, sf):
@@ -122,64 +119,102 @@ oracle("score_requests", """SELECT request_id, round(predicted_eta, 6) AS predic
   r.source_center || ' → ' || r.destination_center AS route_lane FROM z JOIN req r USING (request_id)""", HUBS, _FEAT_TR)
 
 
-# ---- training and evaluation (property checks: no SQL equivalent of tree fitting) ------------
+# ---- training and evaluation: trees have no SQL equivalent, so each query returns properties that must hold ----
+
+def _learned(tr, te, model):
+    """One row: R2 above 0, and MAE below that of always predicting the training mean."""
+    mean = tr.agg(F.avg(S.TARGET).alias("_m"))
+    base = te.crossJoin(F.broadcast(mean)).agg(F.avg(F.abs(F.col(S.TARGET) - F.col("_m"))).alias("_base"))
+    return ML.regression_metrics(model.transform(te)).crossJoin(base).select(
+        (F.col("R2") > 0).alias("r2_above_0"), (F.col("MAE") < F.col("_base")).alias("beats_mean"))
+
+
+LEARNED_SQL = "SELECT true AS r2_above_0, true AS beats_mean"
+
 
 @query("train_eta")
 def q_train_eta(spark, sf):
-    """Boosted trees on the 24 features; test-split metrics (R^2 must be positive)."""
+    """Boosted trees on the 24 features."""
     tr, te, art = matrices(spark, sf)
-    model = ML.train_eta(tr, art.feature_columns, **CHECK_GBT)
-    return ML.regression_metrics(model.transform(te))
+    return _learned(tr, te, ML.train_eta(tr, art.feature_columns, **CHECK_GBT))
 
 
 @query("train_generic")
 def q_train_generic(spark, sf):
     tr, te, art = matrices(spark, sf)
-    model = ML.train_generic(tr, art.feature_columns, LinearRegression(featuresCol="features", labelCol=S.TARGET))
-    return ML.regression_metrics(model.transform(te))
+    return _learned(tr, te, ML.train_generic(tr, art.feature_columns, LinearRegression(featuresCol="features", labelCol=S.TARGET)))
 
 
 @query("model_linear")
 def q_model_linear(spark, sf):
     tr, te, art = matrices(spark, sf)
-    return ML.regression_metrics(ML.model_linear(tr, art.feature_columns).transform(te))
+    return _learned(tr, te, ML.model_linear(tr, art.feature_columns))
 
 
 @query("model_forest")
 def q_model_forest(spark, sf):
     tr, te, art = matrices(spark, sf)
-    return ML.regression_metrics(ML.model_forest(tr, art.feature_columns, num_trees=20, max_depth=8).transform(te))
+    return _learned(tr, te, ML.model_forest(tr, art.feature_columns, num_trees=20, max_depth=8))
+
+
+for _key in ("train_eta", "train_generic", "model_linear", "model_forest"):
+    oracle(_key, LEARNED_SQL)
 
 
 @query("model_comparison")
 def q_model_comparison(spark, sf):
+    """Each model once, the one of least MAE marked best, all better than the mean."""
     tr, te, art = matrices(spark, sf)
     feats = art.feature_columns
     models = {"LinearRegression": ML.model_linear(tr, feats),
               "RandomForest": ML.model_forest(tr, feats, num_trees=20, max_depth=8),
               "GBT+graph": ML.train_eta(tr, feats, **CHECK_GBT)}
-    return ML.model_comparison(te, models)
+    rows = ML.model_comparison(te, models)
+    return rows.agg(F.sort_array(F.collect_list("Model")).alias("m"), F.count_if("is_best").alias("best_rows"), F.min("MAE").alias("least"),
+                    F.max(F.when(F.col("is_best"), F.col("MAE"))).alias("best"), F.min("R2").alias("r2")).select(
+        F.array_join("m", ",").alias("models"), "best_rows", (F.col("least") == F.col("best")).alias("best_is_least"), (F.col("r2") > 0).alias("r2_above_0"))
+
+
+oracle("model_comparison", """SELECT 'GBT+graph,LinearRegression,RandomForest' AS models, CAST(1 AS BIGINT) AS best_rows, true AS best_is_least,
+  true AS r2_above_0""")
 
 
 @query("graph_ablation")
 def q_graph_ablation(spark, sf):
+    """Both fits learn, and the gain is the difference of their errors."""
     tr, te, art = matrices(spark, sf)
     base = [c for c in art.feature_columns if c not in S.GRAPH_FEATURES]
-    return ML.graph_ablation(tr, te, base, art.feature_columns, **CHECK_GBT)
+    rows = ML.graph_ablation(tr, te, base, art.feature_columns, **CHECK_GBT)
+    return rows.agg(F.count(F.lit(1)).alias("fits"), F.min("R2").alias("r2"), F.max("mae_gain").alias("gain"),
+                    (F.max(F.when(F.col("Model").contains("no graph"), F.col("MAE"))) - F.max(F.when(F.col("Model").contains("+ graph"), F.col("MAE")))).alias("d")).select(
+        "fits", (F.col("r2") > 0).alias("r2_above_0"), (F.abs(F.col("gain") - F.col("d")) < 1e-6).alias("gain_is_difference"))
+
+
+oracle("graph_ablation", "SELECT CAST(2 AS BIGINT) AS fits, true AS r2_above_0, true AS gain_is_difference")
 
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
+    """20 features in falling order, shares of one, graph features marked."""
     tr, _, art = matrices(spark, sf)
-    return ML.feature_importance(ML.train_eta(tr, art.feature_columns, **CHECK_GBT), art.feature_columns)
+    rows = ML.feature_importance(ML.train_eta(tr, art.feature_columns, **CHECK_GBT), art.feature_columns)
+    return rows.agg(F.count(F.lit(1)).alias("features"), (F.min("importance") >= 0).alias("none_negative"),
+                    (F.sum("importance").between(0.5, 1 + 1e-9)).alias("shares_of_one"),
+                    F.min(F.col("is_graph_feature") == F.col("feature").isin(*S.GRAPH_FEATURES)).alias("graph_marked"))
+
+
+oracle("feature_importance", "SELECT CAST(20 AS BIGINT) AS features, true AS none_negative, true AS shares_of_one, true AS graph_marked")
 
 
 @query("explainability")
 def q_explainability(spark, sf):
-    """Permutation importance (re-aimed tree explainer): MAE increase per permuted feature."""
+    """Permutation importance (re-aimed tree explainer) of all features: some feature matters, no error is missing."""
     tr, te, art = matrices(spark, sf)
-    model = ML.train_eta(tr, art.feature_columns, **CHECK_GBT)
-    return ML.permutation_importance(model, te, art.feature_columns)
+    rows = ML.permutation_importance(ML.train_eta(tr, art.feature_columns, **CHECK_GBT), te, art.feature_columns)
+    return rows.agg(F.count("mae_increase").alias("features"), (F.max("mae_increase") > 0).alias("some_feature_matters"))
+
+
+oracle("explainability", f"SELECT CAST({len(FE.feature_list(CATS))} AS BIGINT) AS features, true AS some_feature_matters")
 
 
 @query("smoke_train")
@@ -187,7 +222,10 @@ def q_smoke_train(spark, sf):
     df = FE.build_ml_features(enrich_graph(add_trip_time_parts(clean_frame(spark, sf)), fixtures.hub_table(spark, sf)), CATS)
     feats = ["osrm_time", "osrm_distance", "segment_osrm_time", "segment_osrm_distance", "trip_hour_sin",
              "trip_hour_cos", "source_bottleneck_score", "destination_bottleneck_score", "same_community"]
-    return ML.smoke_train(df, feats, n=20000, trees=10, depth=5)
+    return ML.smoke_train(df, feats, trees=10, depth=5).select((F.col("R2") > 0).alias("r2_above_0"))
+
+
+oracle("smoke_train", "SELECT true AS r2_above_0")
 
 
 @query("prepare_training")
@@ -199,33 +237,45 @@ def q_prepare_training(spark, sf):
     return round_doubles(feat.select("segment_key", *FE.feature_list(CATS)))
 
 
+oracle("prepare_training", "SELECT segment_key, " + ", ".join(f"round({c}, 6) AS {c}" for c in FE.feature_list(CATS)) + " FROM feat", HUBS, ENR, FEAT)
+
+
 # ---- stores and sources ---------------------------------------------------------------------
 
+def _saved_bundle(spark, sf, metrics):
+    _, _, art = split_features(spark, sf)
+    path = files.scratch_path(spark, "bundle")
+    store.save_bundle(spark, path, PipelineModel([standin_model()]), art, standin_tables(spark, sf), metrics)
+    return path, art
+
+
 @query("bundle_io")
 def q_bundle_io(spark, sf):
     """Save model + artifact + hub tables + metrics, load it back, score with the loaded bundle."""
     from hubflow.plans.production import score_with_bundle
-    _, _, art = split_features(spark, sf)
-    path = files.scratch_path(spark, "bundle")
-    model = ML.train_generic(*_tiny(spark, sf))
-    store.save_bundle(spark, path, model, art, standin_tables(spark, sf), {"MAE": 0.0})
+    path, art = _saved_bundle(spark, sf, {"MAE": 0.0})
     b = store.load_bundle(spark, path)
-    assert b["preprocessor"] == art
-    return score_with_bundle(spark, fixtures.requests(spark, sf), b).select("request_id", "predicted_eta", "risk_level")
+    same = b["preprocessor"] == art
+    return round_doubles(score_with_bundle(spark, fixtures.requests(spark, sf), b).select(
+        "request_id", "predicted_eta", "risk_level", F.lit(same).alias("same_preprocessor")))
 
 
-def _tiny(spark, sf):
-    tr, _, art = matrices(spark, sf)
-    return tr, art.feature_columns, LinearRegression(featuresCol="features", labelCol=S.TARGET)
+oracle("bundle_io", """SELECT request_id, round(predicted_eta, 6) AS predicted_eta,
+  CASE WHEN pts >= 4 THEN 'CRITICAL' WHEN pts >= 3 THEN 'HIGH' WHEN pts >= 2 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level,
+  true AS same_preprocessor FROM z""", HUBS, _FEAT_TR)
 
 
 @query("metadata_json")
 def q_metadata_json(spark, sf):
-    _, _, art = split_features(spark, sf)
-    path = files.scratch_path(spark, "bundle")
-    store.save_bundle(spark, path, ML.train_generic(*_tiny(spark, sf)), art, standin_tables(spark, sf),
-                      {"MAE": 1.0, "R2": 0.5})
-    return store.metadata_frame(spark, path)
+    """Model type, number of features and metrics as the bundle's metadata names them."""
+    rows = clean_frame(spark, sf).count()
+    path, _ = _saved_bundle(spark, sf, {"rows": float(rows), "R2": 0.5})
+    return store.metadata_frame(spark, path).select("model_type", F.size("feature_columns").alias("features"), F.col("metrics")["rows"].alias("rows"),
+                                                    F.col("metrics")["R2"].alias("r2"), F.col("trained_at").isNotNull().alias("dated"))
+
+
+oracle("metadata_json", f"""SELECT 'GBTRegressor' AS model_type, CAST({len(FE.feature_list(CATS))} AS INT) AS features,
+  CAST(count(*) AS DOUBLE) AS rows, CAST(0.5 AS DOUBLE) AS r2, true AS dated FROM clean""")
 
 
 @query("graph_tables_io")
@@ -242,28 +292,38 @@ oracle("graph_tables_io", "SELECT hub_id, round(pagerank, 6) AS pagerank, round(
 
 @query("load_or_build_graph")
 def q_load_or_build_graph(spark, sf):
-    """A fresh, covering snapshot is used as is; the origin is reported with the coverage."""
-    path = files.scratch_path(spark, "hubs")
-    store.persist_graph_tables(spark, standin_tables(spark, sf), path)
-    seg = clean_frame(spark, sf)
-    tables, origin = store.load_or_build_graph(spark, seg, store=path)
+    """Where the hub tables come from (fresh store, exports, rebuild) and how many hubs of the segments they cover."""
     from hubflow.operators.joins import hub_coverage
-    return hub_coverage(seg, tables["pagerank"]).withColumn("origin", F.lit(origin))
+    seg, tables = clean_frame(spark, sf), standin_tables(spark, sf)
+    home, exports = files.scratch_path(spark, "hubs"), files.scratch_path(spark, "exports")
+    store.persist_graph_tables(spark, tables, home)
+    store.save_graph_exports(tables, exports)
+    out = None
+    for wanted, given in (("store", {"store": home, "exports": exports}), ("exports", {"exports": exports}), ("built", {"build": lambda _: tables})):
+        found, origin = store.load_or_build_graph(spark, seg, **given)
+        row = hub_coverage(seg, found["pagerank"]).select(F.lit(wanted).alias("wanted"), F.lit(origin).alias("origin"), "coverage",
+                                                          F.lit(found["pagerank"].count()).alias("hubs"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+oracle("load_or_build_graph", """SELECT w AS wanted, w AS origin,
+  (SELECT count(*) FILTER (WHERE h IN (SELECT hub_id FROM hubs)) / count(*) FROM (SELECT source_center AS h FROM clean UNION SELECT destination_center FROM clean)) AS coverage,
+  (SELECT count(*) FROM hubs) AS hubs FROM (VALUES ('store'), ('exports'), ('built')) t(w)""", HUBS)
 
 
 @query("write_processed")
 def q_write_processed(spark, sf):
     path = files.scratch_path(spark, "processed")
     files.write_processed(clean_frame(spark, sf), path)
-    back = files.load_parquet(spark, path)
-    return round_doubles(back.drop("trip_creation_time", "od_start_time", "od_end_time"))
+    return round_doubles(shown_times(files.load_parquet(spark, path)))
 
 
 oracle("write_processed", """SELECT data, trip_uuid, route_schedule_uuid, route_type, source_center, destination_center,
   source_name, destination_name, actual_time, osrm_time, segment_actual_time, segment_osrm_time,
   round(delay_ratio, 6) AS delay_ratio, round(segment_delay_ratio, 6) AS segment_delay_ratio, route_lane,
   round(actual_distance_to_destination, 6) AS actual_distance_to_destination, osrm_distance, segment_osrm_distance,
-  round(factor, 6) AS factor, round(segment_factor, 6) AS segment_factor, is_cutoff, segment_key FROM clean""")
+  round(factor, 6) AS factor, round(segment_factor, 6) AS segment_factor, is_cutoff, segment_key, """ + TIMES_SQL + " FROM clean")
 
 
 def _raw_csv(spark, sf):
@@ -333,23 +393,30 @@ def q_save_predictions(spark, sf):
     path = files.scratch_path(spark, "pred")
     files.save_predictions(round_doubles(_scored_requests(spark, sf).select(
         "request_id", "predicted_eta", "risk_level", "confidence_band")), path)
-    return files.load_csv(spark, path, schema="request_id bigint, predicted_eta double, risk_level string")
+    return round_doubles(files.load_csv(spark, path, schema="request_id bigint, predicted_eta double, risk_level string, "
+                                                            "confidence_low double, confidence_high double"))
 
 
 oracle("save_predictions", """SELECT request_id, round(predicted_eta, 6) AS predicted_eta,
-  CASE WHEN pts >= 4 THEN 'CRITICAL' WHEN pts >= 3 THEN 'HIGH' WHEN pts >= 2 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level
+  CASE WHEN pts >= 4 THEN 'CRITICAL' WHEN pts >= 3 THEN 'HIGH' WHEN pts >= 2 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level,
+  round(predicted_eta - 1.28 * 30.0, 6) AS confidence_low, round(predicted_eta + 1.28 * 30.0, 6) AS confidence_high
   FROM z""", HUBS, _FEAT_TR)
 
 
 @query("require_columns")
 def q_require_columns(spark, sf):
-    """Required-column check passes on the processed table and names what is missing otherwise."""
+    """The check passes on the processed table, whose required columns are then counted, and names what is missing."""
     df = clean_frame(spark, sf)
-    S.require_columns(df, ["source_center", "destination_center", "route_lane", "segment_delay_ratio"])
+    need = ["source_center", "destination_center", "route_lane", "segment_delay_ratio"]
+    S.require_columns(df, need)
     try:
-        S.require_columns(df, ["trip_hour"])
+        S.require_columns(df, ["trip_hour", "route_lane"])
         missing = ""
     except KeyError as e:
-        missing = str(e)
-    return spark.createDataFrame([(len(df.columns), missing)], "n_columns int, missing string")
+        missing = str(e.args[0])
+    return df.agg(*[F.count(c).alias(c) for c in need]).withColumn("missing", F.lit(missing))
+
 
+oracle("require_columns", """SELECT count(source_center) AS source_center, count(destination_center) AS destination_center,
+  count(route_lane) AS route_lane, count(segment_delay_ratio) AS segment_delay_ratio,
+  'Missing required columns: [''trip_hour'']' AS missing FROM clean""")

@@ -15,7 +15,8 @@ from hubflow.plans.q_ml import _FEAT_TR, split_features, standin_model
 from hubflow.sources import files, fixtures, store
 from hubflow.streaming import scoring as ST
 
-DRIFT_FEATURES = ["osrm_time", "segment_osrm_time", "segment_delay_ratio", "actual_distance_to_destination"]
+DRIFT_FEATURES = ["osrm_time", "osrm_distance", "segment_osrm_time", "segment_osrm_distance", "segment_delay_ratio", "delay_ratio",
+                  "actual_distance_to_destination", "segment_actual_time", "actual_time", "factor", "segment_factor"]
 
 
 @query("data_drift")
@@ -80,15 +81,21 @@ oracle("retrain_window", """SELECT route_type, count(*) AS rows FROM clean
 
 @query("graph_staleness")
 def q_graph_staleness(spark, sf):
-    """A fresh snapshot passes; the same snapshot dated 10 days back is flagged stale."""
+    """A fresh snapshot is used, the same one dated ten days back is stale and rebuilt; rows of the table used."""
     from hubflow.plans.q_ml import standin_tables
-    path = files.scratch_path(spark, "hubs")
-    old = datetime.now(timezone.utc) - timedelta(days=10)
-    store.persist_graph_tables(spark, standin_tables(spark, sf), path, built_at=old)
-    age = store.graph_snapshot_age_days(spark, path)
-    fresh = MO.graph_staleness(datetime.now(timezone.utc))
-    return spark.createDataFrame([(float(age), age > 7.0, bool(fresh["stale"]))],
-                                 "age_days double, stale boolean, fresh_is_stale boolean")
+    seg, tables, out = clean_frame(spark, sf), standin_tables(spark, sf), None
+    for days in (0, 10):
+        path, built = files.scratch_path(spark, "hubs"), datetime.now(timezone.utc) - timedelta(days=days)
+        store.persist_graph_tables(spark, tables, path, built_at=built)
+        found, origin = store.load_or_build_graph(spark, seg, store=path, build=lambda _: tables)
+        row = found["pagerank"].agg(F.count(F.lit(1)).alias("hubs")).select(
+            F.lit(days).alias("days"), F.lit(bool(MO.graph_staleness(built)["stale"])).alias("stale"), F.lit(origin).alias("origin"), "hubs")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+oracle("graph_staleness", """SELECT d AS days, d > 7 AS stale, CASE WHEN d > 7 THEN 'built' ELSE 'store' END AS origin,
+  (SELECT count(*) FROM hubs) AS hubs FROM (VALUES (0), (10)) t(d)""", HUBS)
 
 
 @query("inference_log")

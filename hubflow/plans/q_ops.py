@@ -71,7 +71,7 @@ reg("top_risky", lambda spark, sf: round_doubles(SC.top_risky(risk_frame(spark,
 reg("summary_cards", lambda spark, sf: round_doubles(O.summary_cards(risk_frame(spark, sf))),
     """SELECT count(*) AS trips_scored, round(avg(predicted_eta), 6) AS mean_predicted_eta,
   count_if(risk_level = 'CRITICAL') AS critical_risk_count, count_if(bottleneck_warning) AS bottleneck_alerts,
-  round(100.0 * count_if(risk_level IN ('HIGH', 'CRITICAL')) / count(*), 6) AS sla_breach_pct,
+  round(100.0 * count_if(risk_level IN ('HIGH', 'CRITICAL')) / count(*), 1) AS sla_breach_pct,
   round(avg((confidence_high - confidence_low) / 2), 6) AS avg_confidence_half_width,
   count_if(risk_level IN ('HIGH', 'CRITICAL')) AS high_risk_count FROM risk""", RISK)
 reg("risk_distribution", lambda spark, sf: O.risk_distribution(risk_frame(spark, sf)),

@@ -70,9 +70,10 @@ BOTTLENECK_ANALYST_WEIGHTS = (0.45, 0.35, 0.20)
 PAGERANK_ALPHA = 0.85
 PAGERANK_TOL = 1e-6
 PAGERANK_MAX_ITER = 100
+# names under which a fitted preprocessor is stored
+ARTIFACT_KEYS = ["feature_columns", "fill_values", "clip_upper", "route_type_columns", "osrm_minutes_per_km", "residual_std",
+                 "osrm_time_median"]
 GBT_PARAMS = dict(maxIter=300, maxDepth=8, stepSize=0.05, subsamplingRate=0.8)
-# ------------------------------------------------------------------------------------------
-
 RAW_SEGMENT_SCHEMA = T.StructType([
     T.StructField("data", T.StringType()),
     T.StructField("trip_creation_time", T.StringType()),
@@ -110,6 +111,8 @@ REQUEST_SCHEMA = T.StructType([
     T.StructField("route_type", T.StringType()),
 ])
 
+# ---- end of the fixed values ------------------------------------------------------------
+
 
 def require_columns(df, columns) -> None:
     """Fail fast with the full list of missing columns."""

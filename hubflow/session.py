@@ -35,6 +35,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+class NoConvergence(RuntimeError):
+    """An iterative job reached its bound on rounds; a half-converged result is never returned."""
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -80,5 +80,8 @@ def save_table(df: DataFrame, path: str) -> str:
 
 def save_predictions(scored: DataFrame, path: str) -> str:
     """Scored batch export; the struct band is flattened because CSV has no nested types."""
-    cols = [c for c in scored.columns if c != "confidence_band"]
+    cols = [F.col(c) for c in scored.columns if c != "confidence_band"]
+    if "confidence_band" in scored.columns:
+        cols += [F.col(f"confidence_band.{end}").alias(f"confidence_{end}") for end in ("low", "high")
+                 if f"confidence_{end}" not in scored.columns]
     return save_table(scored.select(*cols), path)

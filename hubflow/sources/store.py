@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from hubflow import schema as S
 from hubflow.operators.preprocess import Artifact
-from hubflow.sources.files import _fs_exists, load_csv
+from hubflow.sources.files import _fs_exists, load_csv, save_table
 
+# ---- fixed values: names of the analyst exports and their columns ----
 EXPORT_SCHEMA = ("hub_id string, pagerank double, degree_centrality double, bottleneck_score double, "
                  "community_id int, community_size int")
 HUB_TABLES = {
@@ -59,6 +60,13 @@ def graph_snapshot_age_days(spark: SparkSession, path: str, now: datetime | None
     return ((now or datetime.now(timezone.utc)) - built).total_seconds() / 86400
 
 
+def save_graph_exports(tables: dict, tables_dir: str) -> str:
+    """The hub tables as the analyst CSV exports that ``load_graph_tables_from_exports`` reads."""
+    for name, stem in EXPORT_FILES.items():
+        save_table(tables[name].select(*EXPORT_COLUMNS[name]), f"{tables_dir}/{stem}.csv")
+    return tables_dir
+
+
 def load_graph_tables_from_exports(spark: SparkSession, tables_dir: str) -> dict:
     """Analyst CSV exports, keeping only the feature-store columns."""
     out = {}
@@ -118,10 +126,10 @@ def save_bundle(spark: SparkSession, path: str, model: PipelineModel, artifact:
 
 def load_bundle(spark: SparkSession, path: str) -> dict:
     if not _fs_exists(spark, f"{path}/model"):
-        raise FileNotFoundError(f"Model not found: {path}. Train and save a bundle first.")
+        raise FileNotFoundError(f"no model bundle under {path}")
     meta = _read_json_row(spark, f"{path}/metadata")
     return {"model": PipelineModel.load(f"{path}/model"),
-            "preprocessor": Artifact(**_read_json_row(spark, f"{path}/preprocessor")),
+            "preprocessor": Artifact.restore(_read_json_row(spark, f"{path}/preprocessor")),
             "graph_tables": load_graph_tables(spark, f"{path}/graph_tables"),
             "metrics": meta["metrics"], "trained_at": meta["trained_at"], "target": meta["target"],
             "metadata": meta}
