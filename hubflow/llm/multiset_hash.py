@@ -48,7 +48,7 @@ def fingerprints(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     sign = [F.coalesce(F.col(f"s{k}"), F.lit(0)) for k in range(SIGN)]
     return summed.select(*keys, F.concat(*[F.lpad(F.lower(F.hex(x)), 8, "0") for x in equal],
                                          *[F.lpad(F.lower(F.hex(F.pmod(x, F.lit(SIGN_MODULUS)))), 4, "0") for x in sign]).alias("fingerprint"),
-                         F.array(*[signed(x) for x in sign]).alias("signs"))
+                         F.array(*[signed(x).cast("smallint") for x in sign]).alias("signs"))
 
 
 def numbers(fingerprint) -> tuple:
@@ -68,15 +68,15 @@ def combine(a, b, minus: bool = False):
 
 
 def likeness(a, b, signs_a, signs_b):
-    """1 for equal fingerprints, else the cosine of their sign lanes, at least 0 and below 1."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: (p * q).cast("double")), F.lit(0.0), lambda s, v: s + v)
+    """1 if both parts are equal, else the cosine of the sign lanes, at least 0 and below 1."""
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q), F.lit(0.0), lambda s, v: s + v)
     norm = F.sqrt(dot(signs_a, signs_a) * dot(signs_b, signs_b))
     cosine = F.coalesce(dot(signs_a, signs_b) / F.nullif(norm, F.lit(0.0)), F.lit(0.0))
-    return F.when(a == b, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(0.999999), cosine)))
+    return F.when((a == b) & (signs_a == signs_b), 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(0.999999), cosine)))
 
 
 def neighbours(keys: DataFrame) -> DataFrame:
-    """(doc_id, k, n_chars) distinct -> adds next_doc_id, next_k, prev_n (after the last comes the first).
+    """(doc_id, k, n_chars, ...) distinct -> adds prev_doc_id, prev_k, prev_n (before the first comes the last).
 
     Keys are dealt to ranges of doc_id; a window runs inside each range, and only the first and last key of
     each range meet in one small window over the ranges.
@@ -96,7 +96,7 @@ def neighbours(keys: DataFrame) -> DataFrame:
     before = ends.select(F.col("part").alias("p"), F.coalesce(F.lag("last").over(line), F.last("last").over(whole)).alias("before"))
     joined = lag.join(before, F.col("part") == F.col("p"))
     prev = F.coalesce("prev", F.struct(F.col("before.doc_id").alias("doc_id"), F.col("before.k").alias("k")))
-    return joined.select("doc_id", "k", "n_chars", prev["doc_id"].alias("prev_doc_id"), prev["k"].alias("prev_k"),
+    return joined.select(*keys.columns, prev["doc_id"].alias("prev_doc_id"), prev["k"].alias("prev_k"),
                          F.when(F.col("prev").isNotNull(), F.col("prev_n")).otherwise(F.col("before.n_chars")).alias("prev_n"))
 
 
@@ -104,37 +104,34 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text keeps all but the last floor(n / 2) characters and goes on with as many of the next
-    document's first ones.  The texts move once, to their key; what a document lends to the one before moves once.
+    document's first ones.  The texts move once, to their key; what a document lends to the one before it (the start
+    of its text, its own fingerprint) moves once.  All sums, joins and pairs after that are by the same key.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("k", F.xxhash64("text"))
-    keys = written(rows.groupBy("doc_id", "k").agg(F.first(F.char_length("text")).cast("long").alias("n_chars"), F.count(F.lit(1)).alias("n")), "doc-keys")
-    line = written(neighbours(keys.select("doc_id", "k", "n_chars")), "doc-line")
-    marks = F.struct(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNull().alias("null"), F.col("k").alias("k"))
-    prev = F.struct(F.coalesce("prev_doc_id", F.lit(0)).alias("doc_id"), F.col("prev_doc_id").isNull().alias("null"), F.col("prev_k").alias("k"))
-    line = line.select(marks.alias("key"), "doc_id", "n_chars", prev.alias("prev"), "prev_n")
-    # one row per distinct document, with its text; copies of a row are put back at the end
-    texts = rows.select(marks.alias("key"), "text")
-    own = line.join(texts.withColumnRenamed("key", "tkey"), F.col("key") == F.col("tkey")).select("key", "doc_id", "n_chars", "prev", "prev_n", "text")
-    single = own.groupBy("key").agg(*[F.first(c).alias(c) for c in ("doc_id", "n_chars", "prev", "prev_n", "text")])
-    lent = single.select(F.col("prev").alias("lkey"), F.expr("substring(text, 1, cast(floor(prev_n / 2) as int))").alias("lent"), F.col("key").alias("next"))
+    mark = lambda doc_id, k: F.struct(F.coalesce(doc_id, F.lit(0)).alias("doc_id"), F.isnull(doc_id).alias("null"), k.alias("k"))
+    keys = written(rows.groupBy("doc_id", "k").agg(F.first(F.char_length("text")).cast("long").alias("n_chars"),
+                                                   F.count(F.lit(1)).alias("copies")), "doc-keys")
+    line = written(neighbours(keys), "doc-line").select(
+        mark(F.col("doc_id"), F.col("k")).alias("key"), "doc_id", "n_chars", "copies",
+        mark(F.col("prev_doc_id"), F.col("prev_k")).alias("prev"), "prev_n")
+    texts = rows.select(mark(F.col("doc_id"), F.col("k")).alias("tkey"), "text").groupBy("tkey").agg(F.first("text").alias("text"))
+    single = line.join(texts, F.col("key") == F.col("tkey")).drop("tkey")
+    lent = single.select(F.col("prev").alias("lkey"), F.expr("substring(text, 1, cast(floor(prev_n / 2) as int))").alias("lent"))
     both = (single.join(lent, F.col("key") == F.col("lkey"))
-            .select("key", "doc_id", "n_chars", "next", "text",
-                    F.concat(F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 2) as int))"), "lent").alias("edited")))
-    # one explode for the text and the edited text of a document
-    tagged = both.select("key", "doc_id", "n_chars", "next", F.sha2(F.encode("edited", "UTF-8"), 256).alias("sha"),
+            .withColumn("edited", F.concat(F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 2) as int))"), "lent")))
+    tagged = both.select("key", "doc_id", "n_chars", "copies", F.sha2(F.encode("edited", "UTF-8"), 256).alias("sha"),
                          F.explode(F.array(F.struct(F.lit(False).alias("e"), F.col("text").alias("t")),
                                            F.struct(F.lit(True).alias("e"), F.col("edited").alias("t")))).alias("x"))
-    prints = written(fingerprints(tagged.select("key", "doc_id", "n_chars", "next", "sha", F.col("x.e").alias("e"), F.col("x.t").alias("t")),
-                                  ["key", "doc_id", "n_chars", "next", "sha", "e"], "t"), "doc-fingerprints")
-    plain, edited = prints.filter("not e"), prints.filter("e")
-    a = plain.select("key", "doc_id", "n_chars", "next", F.col("sha").alias("edited_sha256"), "fingerprint", "signs")
-    b = edited.select(F.col("key").alias("ekey"), F.col("fingerprint").alias("edited_fingerprint"), F.col("signs").alias("edited_signs"))
-    c = plain.select(F.col("key").alias("nkey"), F.col("fingerprint").alias("next_fingerprint"), F.col("signs").alias("next_signs"))
-    counted = keys.select(marks.alias("ckey"), "n")
-    out = (a.join(b, F.col("key") == F.col("ekey")).join(c, F.col("next") == F.col("nkey")).join(counted, F.col("key") == F.col("ckey"))
-           .withColumn("_", F.explode(F.sequence(F.lit(1), F.col("n")))))
-    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-                      likeness(*map(F.col, ("fingerprint", "edited_fingerprint", "signs", "edited_signs"))).alias("near_edited"),
-                      likeness(*map(F.col, ("fingerprint", "next_fingerprint", "signs", "next_signs"))).alias("near_next"))
+    kept = ["doc_id", "n_chars", "copies", "sha"]
+    prints = fingerprints(tagged.select("key", *kept, F.col("x.e").alias("e"), F.col("x.t").alias("t")), ["key", *kept, "e"], "t")
+    side = lambda c, e: F.first(F.when(F.col("e") == e, F.col(c)), ignorenulls=True)
+    pairs = prints.groupBy("key").agg(*[F.first(c).alias(c) for c in kept], side("fingerprint", False).alias("fingerprint"), side("signs", False).alias("signs"),
+                                      side("fingerprint", True).alias("edited_fingerprint"), side("signs", True).alias("edited_signs"))
+    equal = lambda c: F.substring(c, 1, 8 * EQUAL)
+    lanes = fingerprints(single.select("key", "prev", "text"), ["key", "prev"], "text").select(
+        F.col("prev").alias("nkey"), equal("fingerprint").alias("next_equal"), F.col("signs").alias("next_signs"))
+    out = pairs.join(lanes, F.col("key") == F.col("nkey")).withColumn("_", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return out.select("doc_id", "n_chars", F.col("sha").alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+                      likeness(equal("fingerprint"), equal("edited_fingerprint"), F.col("signs"), F.col("edited_signs")).alias("near_edited"),
+                      likeness(equal("fingerprint"), F.col("next_equal"), F.col("signs"), F.col("next_signs")).alias("near_next"))
