@@ -49,6 +49,32 @@ def test_betweenness_counts_equal_paths(graph):
     assert b["b"] == pytest.approx(0.5) and b["c"] == pytest.approx(0.5)
 
 
+@pytest.mark.parametrize("method", ["sharded", "supersteps"])
+def test_betweenness_ties_of_unequal_hops(graph, method):
+    # 1/3 + 1/6 == 1/2: c carries half of a-d; three hops of 1/3 tie with one of 1
+    b = as_map(IT.betweenness(graph([("a", "d", 2), ("a", "c", 3), ("c", "d", 6)]), normalized=False, method=method), "hub_id", "betweenness_centrality")
+    assert b["c"] == pytest.approx(0.5)
+    b = as_map(IT.betweenness(graph([("a", "d", 1), ("a", "b", 3), ("b", "c", 3), ("c", "d", 3)]), normalized=False, method=method),
+               "hub_id", "betweenness_centrality")
+    # b: half of a-d, all of a-c; c: half of a-d, all of b-d
+    assert b["b"] == pytest.approx(1.5) and b["c"] == pytest.approx(1.5)
+
+
+def test_lengths_of_heavy_lanes_stay_apart(graph):
+    d = as_map(graph([("a", "b", 70_000), ("b", "c", 70_001), ("c", "d", 3_000_000_000)]), "u", "dist")
+    assert len(set(d.values())) == 3 and min(d.values()) > 0
+
+
+def test_star_components(spark):
+    from hubflow.operators.graph.contract import star_components
+    edges = [(i, i + 1) for i in range(200)] + [(1000, k) for k in range(1001, 1400)] + [(5000, 5000), (7, 3), (None, 9)]
+    got = {r["node"]: r["component"] for r in star_components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    assert got == {**{i: 0 for i in range(201)}, **{i: 1000 for i in range(1000, 1400)}, 5000: 5000}
+    named = spark.createDataFrame([("b", "c"), ("c", "a"), ("x", "y")], "u string, v string")
+    assert {r["node"]: r["component"] for r in star_components(named).collect()} == {"a": "a", "b": "a", "c": "a", "x": "x", "y": "x"}
+    assert star_components(named.limit(0)).count() == 0
+
+
 def test_degree_star_and_selfloop(graph):
     d = as_map(G.degree_centrality(graph(STAR)), "hub_id", "degree_centrality")
     assert d["c"] == pytest.approx(2.0)
