@@ -109,7 +109,7 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("k", F.xxhash64("text"))
-    mark = lambda doc_id, k: F.struct(F.coalesce(doc_id, F.lit(0)).alias("doc_id"), F.isnull(doc_id).alias("null"), k.alias("k"))
+    mark = lambda doc_id, k: F.concat_ws("|", doc_id.cast("string"), k.cast("string"))  # a null doc_id: the hash alone
     keys = written(rows.groupBy("doc_id", "k").agg(F.first(F.char_length("text")).cast("long").alias("n_chars"),
                                                    F.count(F.lit(1)).alias("copies")), "doc-keys")
     line = written(neighbours(keys), "doc-line").select(

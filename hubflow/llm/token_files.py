@@ -41,8 +41,9 @@ def pack_ids(ranks: np.ndarray) -> tuple[bytes, bytes]:
     codes[:len(r)] = extra
     codes = codes.reshape(-1, 4)
     control = codes[:, 0] | codes[:, 1] << 2 | codes[:, 2] << 4 | codes[:, 3] << 6
-    used = np.arange(4, dtype=np.uint8) <= extra[:, None]
-    return control.astype(np.uint8).tobytes(), r.view(np.uint8).reshape(-1, 4)[used].tobytes()
+    width = int(extra.max(initial=0)) + 1
+    used = np.arange(width, dtype=np.uint8) <= extra[:, None]
+    return control.astype(np.uint8).tobytes(), r.view(np.uint8).reshape(-1, 4)[:, :width][used].tobytes()
 
 
 def unpack_ids(control: bytes, data: bytes, n: int) -> np.ndarray:
@@ -51,8 +52,10 @@ def unpack_ids(control: bytes, data: bytes, n: int) -> np.ndarray:
     if (int(ends[-1]) if n else 0) != len(data) or len(control) != -(-n // 4):
         raise ValueError("token block: control bytes and data bytes disagree")
     at = ends - lengths
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8).astype(np.uint32)
-    words = raw[at] | raw[at + 1] << 8 | raw[at + 2] << 16 | raw[at + 3] << 24
+    raw = np.frombuffer(data + b"\0\0\0", np.uint8)
+    words = raw[at].astype(np.uint32)
+    for k in range(1, int(lengths.max(initial=1))):  # bytes that no number of the block has are not looked up
+        words |= raw[at + k].astype(np.uint32) << np.uint32(8 * k)
     return words & _MASKS[lengths]
 
 
@@ -67,10 +70,10 @@ def _tokenize(path: str, end_id: int, bounds: list[float], vocab: int, width: st
             texts = b.column(1).to_pylist()
             out = []
             for i, ids in encoded(path, texts, end_id):
-                counts += np.bincount(ids, minlength=vocab)
-                out.append((keys[i], int(at[i]), ids.astype(width).tobytes()))
+                out.append((keys[i], int(at[i]), ids.astype(width, copy=False).tobytes()))
                 if len(out) == 1000 or i == len(texts) - 1:
                     k, v, x = zip(*out)
+                    counts += np.bincount(np.frombuffer(b"".join(x), width), minlength=vocab)
                     yield pa.record_batch([pa.array(k, pa.int64()), pa.array(v, pa.int64()), pa.array(x, pa.binary()),
                                            pa.nulls(len(k), pa.binary())], schema=schema)
                     out = []

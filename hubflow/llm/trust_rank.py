@@ -6,8 +6,9 @@ personalised PageRank from the hosts of blocked pages against the links (who lin
 inherits).  Seeds weigh by their pages, so both scores count pages; a host is blocked when distrust is more
 than ``threshold`` of distrust, trust and its undecided pages together.
 
-Host edges: the absolute links of a host's pages, its relative links (to itself), and, as the tables may hold few
-links between hosts, a weak edge between a host and its parent domain if both are known.
+Host edges: the links of a host's pages to other hosts (a host's links to itself, as all relative ones, say nothing of
+its standing), and, as tables may hold few links between hosts, a weak edge between a host and its parent domain
+if both are known.
 
 Definitions: a null url or one without ``://`` has empty host and path and no part in the graph, and is allowed
 unless a rule fits; null html has no links; repeated rows count each; pages without rule on hosts that
@@ -61,8 +62,8 @@ def host_edges(pages: DataFrame, family_weight: float = 0.1) -> DataFrame:
     links = (pages.filter("host <> ''").select("host", F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(HREF), F.lit(1))).alias("to"))
              .select("host", F.when(F.col("to").contains("://"), host_of(F.col("to")))
                      .when(F.col("to").startswith("//"), host_of(F.concat(F.lit("x:"), F.col("to"))))
-                     .when(F.col("to").rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit("")).otherwise(F.col("host")).alias("to"))
-             .filter("to <> ''").groupBy(F.col("host").alias("u"), F.col("to").alias("v")).agg(F.count(F.lit(1)).cast("double").alias("w")))
+                     .otherwise("").alias("to"))
+             .filter("to <> '' and to <> host").groupBy(F.col("host").alias("u"), F.col("to").alias("v")).agg(F.count(F.lit(1)).cast("double").alias("w")))
     known = pages.filter("host <> ''").groupBy("host").agg(F.count(F.lit(1)).alias("n"))
     parents = known.select("host", F.expr("substring(host, instr(host, '.') + 1)").alias("parent")).filter("instr(host, '.') > 0")
     ends = known.select(F.col("host").alias("v"))
@@ -74,7 +75,7 @@ def host_edges(pages: DataFrame, family_weight: float = 0.1) -> DataFrame:
         .groupBy("u", "v").agg(F.sum("w").alias("w"))
 
 
-def propagate(hosts: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-4, max_rounds: int = 200) -> DataFrame:
+def propagate(hosts: DataFrame, edges: DataFrame, damping: float = 0.85, tolerance: float = 1e-3, max_rounds: int = 200) -> DataFrame:
     """host -> trust, distrust: two personalised PageRanks in one pass per round.
 
     ``hosts`` has host, trusted, blocked (seed weights).  Trust runs along the edges, distrust against them: an edge
@@ -92,30 +93,36 @@ def propagate(hosts: DataFrame, edges: DataFrame, damping: float = 0.85, toleran
                              F.struct(F.lit(False).alias("along"), F.col("blocked").alias("seed"))))
     seeds = hosts.select("host", long.alias("x")).select("host", "x.along", F.col("x.seed").cast("double").alias("seed"))
     has_arcs = arcs.select("along", F.col("u").alias("host")).distinct().withColumn("open", F.lit(True))
-    nodes = held(seeds.join(has_arcs, ["along", "host"], "left").withColumn("open", F.coalesce("open", F.lit(False))))
-    totals = {r["along"]: r["s"] or 0.0 for r in nodes.groupBy("along").agg(F.sum("seed").alias("s")).collect()}
-    score = held(nodes.select("along", "host", "seed", "open", F.col("seed").alias("score")))
-    for round_ in range(1, max_rounds + 1):
-        stuck = {r["along"]: r["s"] or 0.0 for r in score.filter("not open").groupBy("along").agg(F.sum("score").alias("s")).collect()}
-        rate = F.create_map(*[F.lit(x) for a in (True, False) for x in (
-            a, 1 - damping + damping * stuck.get(a, 0.0) / totals[a] if totals.get(a) else 0.0)])
+    # the state is read twice in a round: it is written each time, or plans would double with the rounds
+    score = written(seeds.join(has_arcs, ["along", "host"], "left").withColumn("open", F.coalesce("open", F.lit(False)))
+                    .select("along", "host", "seed", "open", F.col("seed").alias("score"), F.col("seed").alias("moved")), "trust-round")
+
+    def sums(df: DataFrame) -> dict:
+        rows = df.groupBy("along").agg(F.sum("seed").alias("seed"), F.sum(F.when(~F.col("open"), F.col("score"))).alias("stuck"), F.sum("moved").alias("moved"))
+        return {r["along"]: {k: r[k] or 0.0 for k in ("seed", "stuck", "moved")} for r in rows.collect()}
+
+    now = sums(score)
+    for _ in range(max_rounds):
+        rate = F.lit(0.0)
+        for side, x in now.items():
+            if x["seed"]:
+                rate = F.when(F.col("along") == side, F.lit(1 - damping + damping * x["stuck"] / x["seed"])).otherwise(rate)
         came = (score.filter("score > 0").select("along", F.col("host").alias("u"), "score").join(arcs, ["along", "u"])
                 .groupBy("along", F.col("v").alias("host")).agg(F.sum(F.col("score") * F.col("share")).alias("came")))
-        fresh = (score.withColumnRenamed("score", "old").join(came, ["along", "host"], "left")
-                 .withColumn("score", damping * F.coalesce("came", F.lit(0.0)) + rate[F.col("along")] * F.col("seed")))
-        fresh = held(written(fresh, "trust-round") if round_ % 8 == 0 else fresh)
-        moved = {r["along"]: r["m"] for r in fresh.groupBy("along").agg(F.sum(F.abs(F.col("score") - F.col("old"))).alias("m")).collect()}
-        score.unpersist()
-        score = fresh.select("along", "host", "seed", "open", "score")
-        if all((moved.get(a) or 0.0) <= tolerance * totals.get(a, 0.0) for a in (True, False)):
+        fresh = damping * F.coalesce("came", F.lit(0.0)) + rate * F.col("seed")
+        score = written(score.join(came, ["along", "host"], "left").select(
+            "along", "host", "seed", "open", fresh.alias("score"), F.abs(fresh - F.col("score")).alias("moved")), "trust-round")
+        now = sums(score)
+        if all(x["moved"] <= tolerance * x["seed"] for x in now.values()):
             break
     else:
         raise NoConvergence("trust propagation did not settle")
+    arcs.unpersist()
     return score.groupBy("host").agg(F.sum(F.when(F.col("along"), F.col("score"))).alias("trust"),
                                      F.sum(F.when(~F.col("along"), F.col("score"))).alias("distrust"))
 
 
-def filter_urls(pages: DataFrame, rules=RULES, threshold: float = 0.5, damping: float = 0.85, tolerance: float = 1e-4) -> DataFrame:
+def filter_urls(pages: DataFrame, rules=RULES, threshold: float = 0.5, damping: float = 0.85, tolerance: float = 1e-3) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust for every page."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     marked = judged(rows, rules)
