@@ -35,10 +35,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays: the one with the smallest doc_id (then text hash)."""
     found = simhash.simhash_components(docs, words_per_shingle=3, max_bits=2)
-    named = found.filter("component_id is not null").groupBy("component_id").agg(
-        F.min_by(F.struct("doc_id", "text_key"), F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)), "text_key")).alias("x"))
-    nameless = found.filter("component_id is null").groupBy("fp").agg(F.min(F.struct("doc_id", "text_key")).alias("x"))
-    kept = written(named.select("x.*").union(nameless.select("x.*")), "unique-kept")
+    first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")  # a row without a doc_id comes last
+    kept = written(found.groupBy("component").agg(F.min(first).alias("x")).select("x.doc_id", "x.text_key"), "unique-kept")
     return _decided(docs, kept).dropDuplicates(["doc_id", "_text_key"]).select(*docs.columns)
 
 

@@ -12,7 +12,7 @@ Only distinct fingerprints are compared: copies meet in one grouped minimum and
 Definitions: A-Z become a-z; words are runs of other characters than space and U+0009-U+000D; a text with fewer
 words than a shingle is one shingle; a null text or one without words has fingerprint zero, linked like any
 other.  Repeated rows share a fingerprint.  Rows with a null doc_id name no component: theirs is that of other
-rows with linked fingerprints, else null.  An empty table gives no rows; other columns are ignored.
+rows with linked fingerprints, else null (``component`` tells such groups apart).  An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -190,7 +190,7 @@ def _entries(groups: list[list[int]]):
             fps = b.column(0).to_numpy().astype(np.int64)
             for g, bits in enumerate(groups):
                 yield pa.record_batch([pa.array(np.full(len(fps), g, np.int32)), pa.array(_pick(fps.view(np.uint64), bits).view(np.int64)),
-                                       pa.array(fps), b.column(1)], names=["part", "value", "fp", "rep"])
+                                       pa.array(fps)], names=["part", "value", "fp"])
     return run
 
 
@@ -203,7 +203,6 @@ def _probes(groups: list[list[int]], tables: dict, n: int, max_bits: int):
         for b in batches:
             for at in range(0, b.num_rows, 4096):
                 fps = b.column(0).to_numpy()[at:at + 4096].astype(np.int64)
-                reps = b.column(1).to_numpy()[at:at + 4096].astype(np.int64)
                 shares = shares_of(fps.view(np.uint64), groups, tables, n, max_bits)
                 for g, bits in enumerate(groups):
                     value = _pick(fps.view(np.uint64), bits)
@@ -213,15 +212,14 @@ def _probes(groups: list[list[int]], tables: dict, n: int, max_bits: int):
                             near = (value[some, None] ^ flips[g][d][None, :]).reshape(-1)
                             k = len(flips[g][d])
                             yield pa.record_batch([pa.array(np.full(len(near), g, np.int32)), pa.array(near.view(np.int64)),
-                                                   pa.array(np.repeat(fps[some], k)), pa.array(np.repeat(reps[some], k))],
-                                                  names=["part", "value", "fp", "rep"])
+                                                   pa.array(np.repeat(fps[some], k))], names=["part", "value", "fp"])
     return run
 
 
 def fingerprint_links(classes: DataFrame, max_bits: int = 2) -> DataFrame:
-    """(u, v) of representatives whose fingerprints differ in at most max_bits bits.
+    """(u, v): pairs of fingerprints that differ in at most max_bits bits, each pair once.
 
-    ``classes`` is a written table of distinct ``fp`` with a ``rep`` (long, not null).
+    ``classes`` is a written table of distinct ``fp``.
     """
     spark = classes.sparkSession
     sums = {r["cell"]: r["n"] for r in classes.select("fp").mapInArrow(_bit_sums, "cell long, n long")
@@ -237,28 +235,27 @@ def fingerprint_links(classes: DataFrame, max_bits: int = 2) -> DataFrame:
         tables[r["g"], r["s"]][r["v"]] = r["n"] / n
     near = {k: near_shares(t, int(math.log2(len(t))), max_bits) for k, t in tables.items()}
     shared = spark.sparkContext.broadcast(near)
-    kind = "part int, value long, fp long, rep long"
-    rows = classes.select("fp", "rep")
-    index = rows.mapInArrow(_entries(groups), kind).select("part", "value", F.col("fp").alias("fp2"), F.col("rep").alias("rep2"))
+    kind = "part int, value long, fp long"
+    rows = classes.select("fp")
+    index = rows.mapInArrow(_entries(groups), kind).select("part", "value", F.col("fp").alias("fp2"))
 
     def probing(batches):
         yield from _probes(groups, shared.value, n, max_bits)(batches)
 
     pairs = (rows.mapInArrow(probing, kind).join(index, ["part", "value"])
              .filter((F.col("fp") < F.col("fp2")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp2"))) <= max_bits)))
-    return pairs.select(F.col("rep").alias("u"), F.col("rep2").alias("v")).distinct()
+    return pairs.select(F.col("fp").alias("u"), F.col("fp2").alias("v")).distinct()
 
 
 def simhash_components(docs: DataFrame, words_per_shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """doc_id, text_key, fp, component_id (smallest doc_id reachable over links, itself included)."""
+    """doc_id, text_key, fp, component (its smallest signed fingerprint), component_id (its smallest doc_id)."""
     prints = written(fingerprints(docs, words_per_shingle), "simhash")
-    nameless = 1 << 62  # stands in, above all doc_ids, for fingerprints that only rows without a doc_id have
-    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-                      .withColumn("rep", F.coalesce("rep", F.lit(nameless) + F.monotonically_increasing_id())), "simhash-classes")
-    links = fingerprint_links(classes, max_bits)
-    found = star_components(links)
-    labelled = written(classes.join(found, F.col("rep") == F.col("node"), "left")
-                       .select(F.col("fp").alias("class"), F.coalesce("component", "rep").alias("component_id"))
-                       .withColumn("component_id", F.expr(f"nullif(least(component_id, {nameless}), {nameless})")), "simhash-labels")
-    return (prints.join(labelled, F.col("fp") == F.col("class"))
-            .select("doc_id", "text_key", "fp", "component_id"))
+    classes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-classes")
+    found = star_components(fingerprint_links(classes, max_bits))
+    grouped = written(classes.join(found, F.col("fp") == F.col("node"), "left")
+                      .select("fp", "least", F.coalesce("component", "fp").alias("component")), "simhash-groups")
+    names = grouped.groupBy("component").agg(F.min("least").alias("component_id")).select(
+        (F.col("component") + F.lit(0)).alias("named"), "component_id")  # re-keyed: both join sides are plain exchanges
+    labelled = written(grouped.join(names, F.col("component") == F.col("named"))
+                       .select(F.col("fp").alias("class"), "component", "component_id"), "simhash-labels")
+    return prints.join(labelled, F.col("fp") == F.col("class")).select("doc_id", "text_key", "fp", "component", "component_id")
