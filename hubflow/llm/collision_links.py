@@ -31,7 +31,6 @@ from hubflow.operators.graph.contract import star_components
 
 #: Vectors in a block, and half the width of a window in standard deviations at the threshold.
 BLOCK, WINDOW = 2_048, 2.5
-NAMELESS = 1 << 62
 
 
 def directions(dim: int, projections: int, seed: int = 42) -> np.ndarray:
@@ -167,8 +166,8 @@ def link_vectors(embeddings: DataFrame, threshold: float = 0.93, projections: in
     rows = (embeddings.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("label").cast("long").alias("label"), "embedding")
             .withColumn("fine", F.coalesce(fine, F.lit(False))))
     classes = written(rows.filter("fine").groupBy("label", "embedding")
-                      .agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
-                      .withColumn("rep", F.coalesce("rep", F.lit(NAMELESS) + F.monotonically_increasing_id())), "vector-classes")
+                      .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+                      .withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
     half, need = calibrate(threshold, projections, recall)
     n = classes.count()
     lined = (classes.select("label", "rep", "copies", "embedding")
@@ -198,11 +197,12 @@ def link_vectors(embeddings: DataFrame, threshold: float = 0.93, projections: in
     found = written(dealt.mapInArrow(_tiles(threshold, projections, half, need), "u long, v long, n long"), "vector-links")
     links = found.groupBy("u").agg(F.sum("n").alias("n"))
     components = star_components(found.select("u", "v"))
-    labelled = written(classes.join(links, F.col("rep") == F.col("u"), "left").join(components, F.col("rep") == F.col("node"), "left")
-                       .select(F.col("label").alias("l"), F.col("embedding").alias("e"),
-                               (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("links"),
-                               F.coalesce("component", "rep").alias("component"))
-                       .withColumn("component", F.expr(f"nullif(least(component, {NAMELESS}), {NAMELESS})")), "vector-labels")
+    grouped = written(classes.join(links, F.col("rep") == F.col("u"), "left").join(components, F.col("rep") == F.col("node"), "left")
+                      .select("label", "embedding", "least", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("links"),
+                              F.coalesce("component", "rep").alias("group")), "vector-groups")
+    names = grouped.groupBy("group").agg(F.min("least").alias("component")).select((F.col("group") + F.lit(0)).alias("named"), "component")
+    labelled = written(grouped.join(names, F.col("group") == F.col("named"))
+                       .select(F.col("label").alias("l"), F.col("embedding").alias("e"), "links", "component"), "vector-labels")
     out = rows.join(labelled, F.col("fine") & (F.col("label") == F.col("l")) & (F.col("embedding") == F.col("e")), "left")
     component = F.when(F.col("l").isNull(), F.col("vec_id")).otherwise(F.col("component"))
     return out.select("vec_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
