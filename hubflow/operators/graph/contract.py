@@ -12,14 +12,24 @@ from pyspark.sql import functions as F
 from hubflow.session import NoConvergence, cut_lineage
 
 
+def rekeyed(df: DataFrame, column: str):
+    """The same values under an expression that the planner does not take for the column.
+
+    A table that was just grouped by a column is already dealt by it, and a join on that column would reuse this:
+    then only one side is a shuffle of the join's own, and AQE does not split a hot key.  Joined on this
+    expression both sides are.
+    """
+    return F.concat(column, F.lit("")) if dict(df.dtypes)[column] == "string" else F.bitwise_not(F.bitwise_not(column))
+
+
 def _hang_on_minimum(pairs: DataFrame) -> DataFrame:
     """(u, v) neighbour rows -> (v, m): every neighbour and u itself hang on the smallest of them.
 
     The minima are keyed by a re-cast column, so both join inputs are plain exchanges and AQE may
     split a hub's rows over several tasks.
     """
-    key = F.concat("u", F.lit("")) if dict(pairs.dtypes)["u"] == "string" else F.col("u") + F.lit(0)
-    least = pairs.groupBy("u").agg(F.min("v").alias("mv")).select(key.alias("mu"), F.least("u", "mv").alias("m"))
+    least = pairs.groupBy("u").agg(F.min("v").alias("mv"))
+    least = least.select(rekeyed(least, "u").alias("mu"), F.least("u", "mv").alias("m"))
     return pairs.join(least, F.col("u") == F.col("mu")).select("u", "v", "m")
 
 
