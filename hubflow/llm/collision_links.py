@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hubflow.llm.common import parallelism, written
-from hubflow.operators.graph.contract import star_components
+from hubflow.operators.graph.contract import rekeyed, star_components
 
 #: Vectors in a block, and half the width of a window in standard deviations at the threshold.
 BLOCK, WINDOW = 2_048, 2.5
@@ -200,7 +200,8 @@ def link_vectors(embeddings: DataFrame, threshold: float = 0.93, projections: in
     grouped = written(classes.join(links, F.col("rep") == F.col("u"), "left").join(components, F.col("rep") == F.col("node"), "left")
                       .select("label", "embedding", "least", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("links"),
                               F.coalesce("component", "rep").alias("group")), "vector-groups")
-    names = grouped.groupBy("group").agg(F.min("least").alias("component")).select((F.col("group") + F.lit(0)).alias("named"), "component")
+    names = grouped.groupBy("group").agg(F.min("least").alias("component"))
+    names = names.select(rekeyed(names, "group").alias("named"), "component")
     labelled = written(grouped.join(names, F.col("group") == F.col("named"))
                        .select(F.col("label").alias("l"), F.col("embedding").alias("e"), "links", "component"), "vector-labels")
     out = rows.join(labelled, F.col("fine") & (F.col("label") == F.col("l")) & (F.col("embedding") == F.col("e")), "left")

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hubflow.llm.common import written
-from hubflow.operators.graph.contract import star_components
+from hubflow.operators.graph.contract import rekeyed, star_components
 
 BITS, SEED = 64, 42
 #: White space that parts words, and the only letters that are lower-cased.
@@ -254,8 +254,8 @@ def simhash_components(docs: DataFrame, words_per_shingle: int = 3, max_bits: in
     found = star_components(fingerprint_links(classes, max_bits))
     grouped = written(classes.join(found, F.col("fp") == F.col("node"), "left")
                       .select("fp", "least", F.coalesce("component", "fp").alias("component")), "simhash-groups")
-    names = grouped.groupBy("component").agg(F.min("least").alias("component_id")).select(
-        (F.col("component") + F.lit(0)).alias("named"), "component_id")  # re-keyed: both join sides are plain exchanges
+    names = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
+    names = names.select(rekeyed(names, "component").alias("named"), "component_id")
     labelled = written(grouped.join(names, F.col("component") == F.col("named"))
                        .select(F.col("fp").alias("class"), "component", "component_id"), "simhash-labels")
     return prints.join(labelled, F.col("fp") == F.col("class")).select("doc_id", "text_key", "fp", "component", "component_id")
