@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bounds of the fitted sample: texts of a language, landmarks of a language, languages, bytes of a training text.
+#: Bounds of the fitted sample: texts of a language, landmarks of a language, languages.
 TRAIN_PER_LANG, LANDMARKS_PER_LANG, LANGS = 300, 40, 200
+SPARE = 20
 ORDERS, RIDGE = (1, 2, 3), 1e-3
 _PLACES: dict[int, np.ndarray] = {}
 
@@ -110,20 +111,24 @@ def fit(texts: list[str], langs: list[str], landmarks_per_lang: int = LANDMARKS_
 
 
 def training_sample(docs: DataFrame, per_lang: int = TRAIN_PER_LANG) -> tuple[list[str], list[str]]:
-    """At most ``per_lang`` labelled texts with letters of each of at most LANGS languages, smallest hash first.
+    """At most ``per_lang`` labelled texts with letters of each of the LANGS commonest languages, smallest hash first.
 
-    The window keeps per_lang rows of each partition before it shuffles; only keys are sorted, then the sample's
-    texts are fetched.
+    Hashes are uniform, so the wanted rows lie below a threshold that follows from a language's count, here with
+    SPARE times the room: few rows reach the window, however many a language has.
     """
-    rows = docs.filter("lang is not null").select("text", "lang", F.xxhash64("doc_id", "text").alias("h")).filter(has_letter(F.col("text")))
+    labelled = docs.filter("lang is not null")
+    counts = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGS).collect()
+    rows = labelled.select("text", "lang", F.xxhash64("doc_id", "text").alias("h"))
+    low = F.lit(False)
+    for r in counts:  # at most LANGS
+        top = min((1 << 63) - 1, -(1 << 63) + SPARE * per_lang * (1 << 64) // r["n"])
+        low = low | ((F.col("lang") == r["lang"]) & (F.col("h") <= top))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = rows.select("lang", "h").withColumn("r", rank).filter(F.col("r") <= per_lang)
-    langs = [r["lang"] for r in chosen.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGS).collect()]
-    cut = chosen.filter(F.col("lang").isin(langs)).groupBy("lang").agg(F.max("h").alias("cut")).collect()  # one row for each language
+    chosen = rows.filter(low).filter(has_letter(F.col("text"))).select("lang", "h").withColumn("r", rank).filter(F.col("r") <= per_lang)
     keep = F.lit(False)
-    for r in cut:
+    for r in chosen.groupBy("lang").agg(F.max("h").alias("cut")).collect():
         keep = keep | ((F.col("lang") == r["lang"]) & (F.col("h") <= r["cut"]))
-    got = sorted({(r["lang"], r["h"], r["text"]) for r in rows.filter(keep).dropDuplicates(["lang", "h"]).collect()})
+    got = sorted({(r["lang"], r["h"], r["text"]) for r in rows.filter(keep).filter(has_letter(F.col("text"))).dropDuplicates(["lang", "h"]).collect()})
     return [t for _, _, t in got], [x for x, _, _ in got]
 
 
