@@ -7,8 +7,10 @@ inherits).  Seeds weigh by their pages, so both scores count pages; a host is bl
 than ``threshold`` of distrust, trust and its undecided pages together.
 
 Host edges: the links of a host's pages to other hosts (a host's links to itself, as all relative ones, say nothing of
-its standing), and, as tables may hold few links between hosts, a weak edge between a host and its parent domain
-if both are known.
+its standing), and, as tables may hold few links between hosts, a weak edge between a host and its parent domain, up
+to the name below the top level.  Link targets and parent domains without pages are nodes too (seed 0, no verdict), so
+that siblings meet at their parent.  A top-level domain joins unrelated sites: it is a parent only if it has pages
+itself; numeric addresses have no parent.
 
 Definitions: a null url or one without ``://`` has empty host and path and no part in the graph, and is allowed
 unless a rule fits; null html has no links; repeated rows count each; pages without rule on hosts that
@@ -57,21 +59,31 @@ def judged(pages: DataFrame, rules=RULES) -> DataFrame:
     return out.withColumn("rule", none if rule is None else rule).withColumn("action", none if action is None else action)
 
 
+def family_edges(names: DataFrame, known: DataFrame) -> DataFrame:
+    """(child, parent) for each host of ``names`` and each of its parent domains; both have a column host."""
+    parts = F.split("host", r"\.")
+    chain = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    pairs = (names.filter(~F.col("host").rlike(r"(^|\.)[0-9]+(:[0-9]*)?$")).select(chain.alias("c"))
+             .select(F.explode(F.expr("transform(sequence(1, size(c)), i -> struct(c[i - 1] AS child, get(c, i) AS parent))")).alias("x"))
+             .select("x.child", "x.parent").filter("child <> '' and parent <> ''").distinct())
+    ends = known.select(F.col("host").alias("v"), F.lit(True).alias("has_pages"))
+    return (pairs.join(ends, F.col("parent") == F.col("v"), "left")
+            .filter(F.col("parent").rlike(r"[^.]\.[^.]") | F.col("has_pages")).select("child", "parent"))
+
+
 def host_edges(pages: DataFrame, family_weight: float = 0.1) -> DataFrame:
-    """(u, v, w) between hosts that have pages; w counts links.  ``pages`` has host and html."""
+    """(u, v, w) between hosts, with or without pages; w counts links.  ``pages`` has host and html."""
     links = (pages.filter("host <> ''").select("host", F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(HREF), F.lit(1))).alias("to"))
              .select("host", F.when(F.col("to").contains("://"), host_of(F.col("to")))
                      .when(F.col("to").startswith("//"), host_of(F.concat(F.lit("x:"), F.col("to"))))
                      .otherwise("").alias("to"))
              .filter("to <> '' and to <> host").groupBy(F.col("host").alias("u"), F.col("to").alias("v")).agg(F.count(F.lit(1)).cast("double").alias("w")))
-    known = pages.filter("host <> ''").groupBy("host").agg(F.count(F.lit(1)).alias("n"))
-    parents = known.select("host", F.expr("substring(host, instr(host, '.') + 1)").alias("parent")).filter("instr(host, '.') > 0")
-    ends = known.select(F.col("host").alias("v"))
-    linked = links.join(ends, "v", "left_semi").select("u", "v", "w")
-    family = parents.join(ends, F.col("parent") == F.col("v"), "left_semi")
+    links = written(links, "host-links")
+    known = pages.filter("host <> ''").select("host").distinct()
+    family = family_edges(known.union(links.select("v")).distinct(), known)
     weak = F.lit(family_weight)
-    return linked.union(family.select(F.col("host").alias("u"), F.col("parent").alias("v"), weak.alias("w"))) \
-        .union(family.select(F.col("parent").alias("u"), F.col("host").alias("v"), weak.alias("w"))) \
+    return links.union(family.select(F.col("child").alias("u"), F.col("parent").alias("v"), weak.alias("w"))) \
+        .union(family.select(F.col("parent").alias("u"), F.col("child").alias("v"), weak.alias("w"))) \
         .groupBy("u", "v").agg(F.sum("w").alias("w"))
 
 
@@ -130,7 +142,10 @@ def filter_urls(pages: DataFrame, rules=RULES, threshold: float = 0.5, damping:
         F.count_if(F.col("action") == "allow").alias("trusted"), F.count_if(F.col("action") == "block").alias("blocked"),
         F.count_if(F.col("action").isNull()).alias("undecided")), "hosts")
     edges = written(host_edges(marked), "host-edges")
-    scores = propagate(hosts, edges, damping, tolerance)
+    seeds = hosts.select("host", "trusted", "blocked")
+    ends = edges.select(F.explode(F.array("u", "v")).alias("host"), F.lit(0).cast("long").alias("trusted"), F.lit(0).cast("long").alias("blocked"))
+    nodes = written(seeds.union(ends).groupBy("host").agg(F.sum("trusted").alias("trusted"), F.sum("blocked").alias("blocked")), "host-nodes")
+    scores = propagate(nodes, edges, damping, tolerance)
     judged_hosts = written(hosts.join(scores, "host").select(
         F.col("host").alias("h"), "trust", "distrust",
         (F.col("distrust") > threshold * (F.col("distrust") + F.col("trust") + F.col("undecided"))).alias("bad")), "host-verdicts")

@@ -264,6 +264,18 @@ def test_distrust_reaches_hosts_that_link_to_blocked_ones(spark):
     assert out["nice.org"]["trust"] > 1 and out["farm.org"]["distrust"] > 1
 
 
+def test_siblings_meet_at_parents_and_targets_without_pages(spark):
+    rows = [(i, f"http://a.shop.net/fr/{i}", "") for i in range(10)] + [(20, "http://b.shop.net/x", ""), (21, "http://m.c.shop.net/x", "")]
+    rows += [(30, "http://q.org/", '<a href="http://c.shop.net/">c</a>'), (40, "http://lone.net/x", ""), (50, "http://10.0.0.1/x", ""), (51, "http://20.0.0.1/es/", "")]
+    out = trust_rank.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert Counter(r["page_id"] for r in out) == Counter(r[0] for r in rows)  # shop.net and c.shop.net have no pages and get no rows
+    by = {r["host"]: r for r in out}
+    assert by["b.shop.net"]["verdict"] == "block" and by["b.shop.net"]["distrust"] > 1
+    assert by["m.c.shop.net"]["distrust"] > 0 and by["q.org"]["distrust"] > 0  # by the grandparent; by a link to a host without pages
+    assert by["lone.net"]["distrust"] == by["10.0.0.1"]["distrust"] == 0  # sites of a top-level domain and addresses are no family
+    assert sum({r["host"]: r["distrust"] for r in out}.values()) < 10  # the rest is with shop.net and c.shop.net
+
+
 def test_propagation_against_power_iteration(spark):
     rnd = np.random.default_rng(4)
     n = 12
