@@ -4,7 +4,8 @@ Rules judge a url by its host and path, the longest fitting rule wins.  Where no
 link graph decides: trust is personalised PageRank from the hosts of allowed pages along the links, distrust is
 personalised PageRank from the hosts of blocked pages against the links (who links to blocked hosts
 inherits).  Seeds weigh by their pages, so both scores count pages; a host is blocked when distrust is more
-than ``threshold`` of distrust, trust and its undecided pages together.
+than ``threshold`` of distrust and trust together, however many pages it has.  A host whose scores are both at most
+``evidence`` times the mean of trust and distrust together over all nodes is too weakly reached to be judged.
 
 Host edges: the links of a host's pages to other hosts (a host's links to itself, as all relative ones, say nothing of
 its standing), and, as tables may hold few links between hosts, a weak edge between a host and its parent domain, up
@@ -14,7 +15,7 @@ itself; numeric addresses have no parent.
 
 Definitions: a null url or one without ``://`` has empty host and path and no part in the graph, and is allowed
 unless a rule fits; null html has no links; repeated rows count each; pages without rule on hosts that
-neither score reaches are allowed; an empty table gives no rows; other columns are ignored.
+neither score reaches, or only weakly, are allowed; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -134,21 +135,22 @@ def propagate(hosts: DataFrame, edges: DataFrame, damping: float = 0.85, toleran
                                      F.sum(F.when(~F.col("along"), F.col("score"))).alias("distrust"))
 
 
-def filter_urls(pages: DataFrame, rules=RULES, threshold: float = 0.5, damping: float = 0.85, tolerance: float = 1e-3) -> DataFrame:
+def filter_urls(pages: DataFrame, rules=RULES, threshold: float = 0.5, damping: float = 0.85, tolerance: float = 1e-3,
+                evidence: float = 0.01) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust for every page."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     marked = judged(rows, rules)
     hosts = written(marked.filter("host <> ''").groupBy("host").agg(
-        F.count_if(F.col("action") == "allow").alias("trusted"), F.count_if(F.col("action") == "block").alias("blocked"),
-        F.count_if(F.col("action").isNull()).alias("undecided")), "hosts")
+        F.count_if(F.col("action") == "allow").alias("trusted"), F.count_if(F.col("action") == "block").alias("blocked")), "hosts")
     edges = written(host_edges(marked), "host-edges")
-    seeds = hosts.select("host", "trusted", "blocked")
     ends = edges.select(F.explode(F.array("u", "v")).alias("host"), F.lit(0).cast("long").alias("trusted"), F.lit(0).cast("long").alias("blocked"))
-    nodes = written(seeds.union(ends).groupBy("host").agg(F.sum("trusted").alias("trusted"), F.sum("blocked").alias("blocked")), "host-nodes")
+    nodes = written(hosts.union(ends).groupBy("host").agg(F.sum("trusted").alias("trusted"), F.sum("blocked").alias("blocked")), "host-nodes")
     scores = propagate(nodes, edges, damping, tolerance)
-    judged_hosts = written(hosts.join(scores, "host").select(
+    mean = scores.agg(F.avg(F.col("trust") + F.col("distrust")).alias("mean"))
+    judged_hosts = written(hosts.join(scores, "host").crossJoin(mean).select(
         F.col("host").alias("h"), "trust", "distrust",
-        (F.col("distrust") > threshold * (F.col("distrust") + F.col("trust") + F.col("undecided"))).alias("bad")), "host-verdicts")
+        ((F.col("distrust") > threshold * (F.col("distrust") + F.col("trust")))
+         & (F.greatest("distrust", "trust") > evidence * F.col("mean"))).alias("bad")), "host-verdicts")
     out = marked.select("page_id", "host", "path", "rule", "action").join(judged_hosts, F.col("host") == F.col("h"), "left")
     graph = F.when(F.coalesce("bad", F.lit(False)), "block").otherwise("allow")
     return out.select("page_id", "host", "path", "rule", F.coalesce("action", graph).alias("verdict"), "trust", "distrust")

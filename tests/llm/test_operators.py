@@ -276,6 +276,17 @@ def test_siblings_meet_at_parents_and_targets_without_pages(spark):
     assert sum({r["host"]: r["distrust"] for r in out}.values()) < 10  # the rest is with shop.net and c.shop.net
 
 
+def test_verdicts_do_not_depend_on_the_number_of_pages(spark):
+    farm = '<a href="http://bad.net/">x</a>' * 20
+    rows = [(i, f"http://bad.net/fr/{i}", "") for i in range(10)] + [(100 + i, f"http://farm.org/{i}", farm) for i in range(50)]
+    rows += [(200 + i, f"http://good.com/{i}", '<a href="http://fair.org/">f</a>') for i in range(10)]
+    rows += [(300, "http://fair.org/a", '<a href="http://bad.net/">x</a>'), (400, "http://thin.org/a", '<a href="http://bad.net/">x</a>')]
+    out = {r["host"]: r for r in trust_rank.filter_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    # thin.org's share of the distrust is one link in 1,002: too little to judge by
+    assert {h: r["verdict"] for h, r in out.items()} == {"bad.net": "block", "farm.org": "block", "good.com": "allow", "fair.org": "allow", "thin.org": "allow"}
+    assert out["farm.org"]["distrust"] < 10 and 0 < out["thin.org"]["distrust"] < 0.01
+
+
 def test_propagation_against_power_iteration(spark):
     rnd = np.random.default_rng(4)
     n = 12
