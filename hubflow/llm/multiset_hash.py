@@ -3,7 +3,7 @@
 A paragraph (a line that is not empty) hashes to a wide vector; a document's fingerprint is the sum of its paragraphs'
 vectors.  Sums do not depend on order, equal multisets give equal sums, and a paragraph is inserted or deleted by
 adding or subtracting its vector (``combine``).  The vector has two parts: EQUAL lanes modulo 2^32, which
-tell multisets apart, and SIGN lanes of +1 or -1 modulo 2^16, whose inner products estimate how many
+tell multisets apart, and SIGN lanes of +1 or -1 modulo 2^32, whose inner products estimate how many
 paragraphs two documents share (the noise of a cosine is about 1 / sqrt(SIGN)).
 
 Definitions: a null text is an empty one, whose fingerprint is all zero; equal fingerprints have likeness 1;
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from hubflow.llm.common import parallelism, written
 
 EQUAL, SIGN = 8, 64
-EQUAL_MODULUS, SIGN_MODULUS = 1 << 32, 1 << 16
+EQUAL_MODULUS, SIGN_MODULUS = 1 << 32, 1 << 32
 
 
 def lane_sums(paragraph) -> list:
@@ -47,15 +47,15 @@ def fingerprints(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     equal = [F.coalesce(F.col(f"e{k}"), F.lit(0)) % EQUAL_MODULUS for k in range(EQUAL)]
     sign = [F.coalesce(F.col(f"s{k}"), F.lit(0)) for k in range(SIGN)]
     return summed.select(*keys, F.concat(*[F.lpad(F.lower(F.hex(x)), 8, "0") for x in equal],
-                                         *[F.lpad(F.lower(F.hex(F.pmod(x, F.lit(SIGN_MODULUS)))), 4, "0") for x in sign]).alias("fingerprint"),
-                         F.array(*[signed(x).cast("smallint") for x in sign]).alias("signs"))
+                                         *[F.lpad(F.lower(F.hex(F.pmod(x, F.lit(SIGN_MODULUS)))), 8, "0") for x in sign]).alias("fingerprint"),
+                         F.array(*[signed(x).cast("int") for x in sign]).alias("signs"))
 
 
 def numbers(fingerprint) -> tuple:
     """(EQUAL lanes, signed SIGN lanes) of a hex fingerprint."""
     one = lambda at, width: F.conv(F.substring(fingerprint, at, width), 16, 10).cast("long")
     equal = F.array(*[one(1 + 8 * k, 8) for k in range(EQUAL)])
-    sign = F.array(*[signed(one(1 + 8 * EQUAL + 4 * k, 4)) for k in range(SIGN)])
+    sign = F.array(*[signed(one(1 + 8 * EQUAL + 8 * k, 8)) for k in range(SIGN)])
     return equal, sign
 
 
@@ -64,7 +64,7 @@ def combine(a, b, minus: bool = False):
     side = -1 if minus else 1
     (ea, sa), (eb, sb) = numbers(a), numbers(b)
     return F.concat(*[F.lpad(F.lower(F.hex(F.pmod(ea[k] + side * eb[k], F.lit(EQUAL_MODULUS)))), 8, "0") for k in range(EQUAL)],
-                    *[F.lpad(F.lower(F.hex(F.pmod(sa[k] + side * sb[k], F.lit(SIGN_MODULUS)))), 4, "0") for k in range(SIGN)])
+                    *[F.lpad(F.lower(F.hex(F.pmod(sa[k] + side * sb[k], F.lit(SIGN_MODULUS)))), 8, "0") for k in range(SIGN)])
 
 
 def likeness(a, b, signs_a, signs_b):

@@ -362,6 +362,13 @@ def test_multiset_hash_is_homomorphic(spark):
     assert (out["s"], out["d"]) == (fp[3], fp[0])
 
 
+def test_likeness_of_a_line_repeated_very_often(spark):
+    got = prints(spark, ["same\n" * 40_000, "same\n" * 20_000])
+    pair = spark.createDataFrame([(got[0]["fingerprint"], got[1]["fingerprint"], got[0]["signs"], got[1]["signs"])], "a string, b string, x array<int>, y array<int>")
+    assert pair.select(multiset_hash.likeness(F.col("a"), F.col("b"), F.col("x"), F.col("y"))).first()[0] > 0.99
+    assert {abs(x) for x in got[0]["signs"]} == {40_000}
+
+
 def test_edited_fingerprints(spark, odd):
     df, rows = odd
     got = multiset_hash.edited_fingerprints(df).collect()
