@@ -1,4 +1,4 @@
-"""The queries ``op1_`` to ``op10_`` and ``pipeline``, with DuckDB SQL where SQL can express them.
+"""The queries ``op1_`` to ``op13_`` and ``pipeline``, with DuckDB SQL where SQL can express them.
 
 Each query applies its operator, with production parameters, to its whole table.
 """
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hubflow.llm import (collision_links, cube_mix, multiset_hash, packing, resharding, simhash, string_kernel, token_files,
-                         trust_rank, warc)
+                         trust_rank, warc, winnowing)
 from hubflow.llm.common import table
 
 
@@ -64,10 +64,16 @@ def op10_multiset_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_resharding, op3_token_files, op4_collision_links, op5_packing, op6_simhash,
-                                   op7_trust_rank, op8_string_kernel, op9_cube_mix, op10_multiset_hash)}
+                                   op7_trust_rank, op8_string_kernel, op9_cube_mix, op10_multiset_hash, op11_winnowing)}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
-#: op1 in plain SQL: digests, the largest page_id of equal payloads.
+#: op1 in plain SQL: digests, the largest page_id of equal payloads.  op11: every window of every text, word by word.
 ORACLES = {
     "op1_warc": """WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
 s AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
@@ -75,4 +81,18 @@ s AS (SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_byte
 SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN payload_bytes >= 1000 AND page_id <> keeper THEN keeper END AS refers_to FROM s""",
+    "op11_winnowing": f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+bp AS (SELECT item_id, w, least(len(w), 10) AS size, unnest(generate_series(1, len(w) - least(len(w), 10) + 1)) AS i FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS t FROM bp),
+dp AS (SELECT r, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i FROM d, (SELECT DISTINCT size FROM win) WHERE len(w) >= size),
+dw AS (SELECT r, size, i, array_to_string(w[i:i + size - 1], ' ') AS t FROM dp),
+hit AS (SELECT r, i, dw.size, item_id FROM dw JOIN win ON dw.size = win.size AND dw.t = win.t),
+covered AS (SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + size - 1)) AS at FROM hit) GROUP BY r),
+named AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)""",
 }
