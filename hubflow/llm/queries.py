@@ -8,8 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hubflow.llm import (collision_links, cube_mix, multiset_hash, packing, resharding, simhash, string_kernel, token_files,
-                         trust_rank, warc, winnowing)
+from hubflow.llm import (collision_links, cube_mix, lexical_search, multiset_hash, packing, resharding, simhash, spelling_variants,
+                         string_kernel, token_files, trust_rank, warc, winnowing)
 from hubflow.llm.common import table
 
 
@@ -68,8 +68,17 @@ def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_warc, op2_resharding, op3_token_files, op4_collision_links, op5_packing, op6_simhash,
-                                   op7_trust_rank, op8_string_kernel, op9_cube_mix, op10_multiset_hash, op11_winnowing)}
+                                   op7_trust_rank, op8_string_kernel, op9_cube_mix, op10_multiset_hash, op11_winnowing,
+                                   op12_lexical_search, op13_spelling_variants)}
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -89,10 +98,38 @@ win AS (SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') A
 dp AS (SELECT r, w, size, unnest(generate_series(1, len(w) - size + 1)) AS i FROM d, (SELECT DISTINCT size FROM win) WHERE len(w) >= size),
 dw AS (SELECT r, size, i, array_to_string(w[i:i + size - 1], ' ') AS t FROM dp),
 hit AS (SELECT r, i, dw.size, item_id FROM dw JOIN win ON dw.size = win.size AND dw.t = win.t),
-covered AS (SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + size - 1)) AS at FROM hit) GROUP BY r),
+covered AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + size - 1)) AS place FROM hit) GROUP BY r),
 named AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
   FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM hit) GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r)""",
+    "op12_lexical_search": f"""WITH dt AS (SELECT row_number() OVER () AS r, doc_id,
+  regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+d AS (SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n FROM dt WHERE len(w) > 0),
+total AS (SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM d),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark),
+p AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+weight AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(all_docs) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM p, total GROUP BY term),
+scored AS (SELECT item_id, r, doc_id,
+  sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + ((90 * n * all_docs) // all_terms))))) AS score
+  FROM q JOIN p USING (term) JOIN weight USING (term), total GROUP BY ALL)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM
+  (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10""",
+    "op13_spelling_variants": f"""WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\u00C0-\u00FF]{{{{6,}}}}')) AS run FROM documents),
+c AS (SELECT doc_id, run, count(*) AS n, hex(encode(concat(doc_id, ':', run))) AS x FROM r GROUP BY ALL),
+h AS (SELECT run, n, xor(4294967295, list_reduce(list_transform(generate_series(0, CAST(length(x) AS BIGINT) * 4 - 1), lambda j:
+    CASE WHEN j % 8 = 0 THEN CAST('0x' || substr(x, j // 4 + 1, 2) AS BIGINT) ELSE 0 END),
+  lambda s, e: xor(xor(s, e) >> 1, 3988292384 * (xor(s, e) & 1)), 4294967295)) AS h FROM c),
+t AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM t WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, unnest(generate_series(1, length(word))) AS i FROM w)),
+near AS (SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT cut.word, w.word FROM cut JOIN w ON cut.rest = w.word UNION SELECT w.word, cut.word FROM cut JOIN w ON cut.rest = w.word),
+counted AS (SELECT near.word, near.near, w.n FROM near JOIN w ON near.near = w.word),
+best AS (SELECT word, count(*) AS n_near, max(n) AS top, min(near) FILTER (n = most) AS form
+  FROM (SELECT *, max(n) OVER (PARTITION BY word) AS most FROM counted) GROUP BY word),
+f AS (SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 5 * n THEN form END AS form, CASE WHEN top >= 5 * n THEN top END AS form_n FROM w LEFT JOIN best USING (word)),
+chain AS (SELECT word, word AS stop, form AS next FROM f UNION ALL SELECT chain.word, chain.next, f.form FROM chain JOIN f ON chain.next = f.word)
+SELECT word, form, stop AS root, n, n_near, form_n FROM f JOIN chain USING (word) WHERE next IS NULL""",
 }
