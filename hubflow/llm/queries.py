@@ -116,7 +116,7 @@ scored AS (SELECT item_id, r, doc_id,
   FROM q JOIN p USING (term) JOIN weight USING (term), total GROUP BY ALL)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, CAST(score AS BIGINT) AS score FROM
   (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10""",
-    "op13_spelling_variants": f"""WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\u00C0-\u00FF]{{{{6,}}}}')) AS run FROM documents),
+    "op13_spelling_variants": f"""WITH RECURSIVE r AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\u00C0-\u00FF]{{6,}}')) AS run FROM documents),
 c AS (SELECT doc_id, run, count(*) AS n, hex(encode(concat(doc_id, ':', run))) AS x FROM r GROUP BY ALL),
 h AS (SELECT run, n, xor(4294967295, list_reduce(list_transform(generate_series(0, CAST(length(x) AS BIGINT) * 4 - 1), lambda j:
     CASE WHEN j % 8 = 0 THEN CAST('0x' || substr(x, j // 4 + 1, 2) AS BIGINT) ELSE 0 END),
