@@ -76,6 +76,20 @@ def file_list(manifest: DataFrame, *columns: str) -> DataFrame:
     return df.repartition(max(1, len(files)))
 
 
+def slices(column, max_bytes: int = 2 << 20):
+    """(first position, values) of an Arrow string or binary column in runs of at most ``max_bytes`` (or of one value)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    ends, at = np.cumsum(sizes, dtype=np.int64), 0
+    while at < len(sizes):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + max_bytes, side="right")))
+        yield at, column.slice(at, stop - at).to_pylist()
+        at = stop
+
+
 def gapless_rank(df: DataFrame, groups: list[str], order: list[str], name: str,
                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Adds ``name``: 0, 1, 2 ... without gaps within each group, in no promised order.

@@ -164,7 +164,7 @@ def _cut(path: str, end_id: int, capacity: int, with_ids: bool):
     def run(batches):
         for b in batches:
             keys, out = b.column(0).to_pylist(), []
-            for i, ids in encoded(path, b.column(1).to_pylist(), end_id):
+            for i, ids in encoded(path, b.column(1), end_id):
                 wide = ids.astype("<u4")
                 first = len(wide) % capacity or capacity
                 for piece, stop in enumerate(range(first, len(wide) + 1, capacity)):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hubflow.llm.common import CommittedFile, file_list, filesystem, parallelism, work_dir, written
+from hubflow.llm.common import CommittedFile, file_list, filesystem, parallelism, slices, work_dir, written
 from hubflow.llm.tokenization import encoded, vocabulary_size
 
 HEAD, TAIL = b"SVBTOK01", b"SVBEND01"
@@ -28,6 +28,8 @@ HEAD, TAIL = b"SVBTOK01", b"SVBEND01"
 BLOCK, TRAILER = "<?qQQ", "<QQ8s"
 #: Documents that one file holds on average, beyond the cluster's parallelism.
 DOCS_PER_FILE = 100_000
+#: Bytes of ids that a task holds before it hands them on.
+HELD_BYTES = 4 << 20
 
 _LENGTHS = ((np.arange(256)[:, None] >> np.array([0, 2, 4, 6])) & 3).astype(np.uint8) + 1
 _MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
@@ -59,24 +61,21 @@ def unpack_ids(control: bytes, data: bytes, n: int) -> np.ndarray:
     return words & _MASKS[lengths]
 
 
-def _tokenize(path: str, end_id: int, bounds: list[float], vocab: int, width: str):
-    schema = pa.schema([("doc_id", pa.int64()), ("bucket", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
+def _tokenize(path: str, end_id: int, vocab: int, width: str):
+    schema = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
 
     def run(batches):
         counts = np.zeros(vocab, np.int64)
         for b in batches:
-            keys = b.column(0).to_pylist()
-            at = np.searchsorted(bounds, [float("-inf") if k is None else float(k) for k in keys], side="right")
-            texts = b.column(1).to_pylist()
-            out = []
-            for i, ids in encoded(path, texts, end_id):
-                out.append((keys[i], int(at[i]), ids.astype(width, copy=False).tobytes()))
-                if len(out) == 1000 or i == len(texts) - 1:
-                    k, v, x = zip(*out)
-                    counts += np.bincount(np.frombuffer(b"".join(x), width), minlength=vocab)
-                    yield pa.record_batch([pa.array(k, pa.int64()), pa.array(v, pa.int64()), pa.array(x, pa.binary()),
-                                           pa.nulls(len(k), pa.binary())], schema=schema)
-                    out = []
+            first, held, size = 0, [], 0
+            for i, ids in encoded(path, b.column(1), end_id):
+                held.append(ids.astype(width, copy=False).tobytes())
+                size += len(held[-1])
+                if size > HELD_BYTES or i == b.num_rows - 1:
+                    counts += np.bincount(np.frombuffer(b"".join(held), width), minlength=vocab)
+                    yield pa.record_batch([b.column(0).slice(first, len(held)), pa.array(map(zlib.crc32, held), pa.int64()),
+                                           pa.array(held, pa.binary()), pa.nulls(len(held), pa.binary())], schema=schema)
+                    first, held, size = i + 1, [], 0
         if counts.any():  # one row for each task: how often it met each id
             yield pa.record_batch([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()),
                                    pa.array([counts.tobytes()], pa.binary())], schema=schema)
@@ -85,26 +84,36 @@ def _tokenize(path: str, end_id: int, bounds: list[float], vocab: int, width: st
 
 def _frequencies(batches):
     for b in batches:
-        total = sum(np.frombuffer(c, np.int64) for c in b.column(0).to_pylist())
-        at = np.flatnonzero(total) if b.num_rows else np.array([], np.int64)
-        yield pa.record_batch([pa.array(at, pa.int64()), pa.array(total[at] if len(at) else [], pa.int64())], names=["id", "n"])
+        total = np.zeros(0, np.int64)
+        for _, some in slices(b.column(0)):
+            for c in some:
+                total = np.frombuffer(c, np.int64) + (total if len(total) else 0)
+        at = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["id", "n"])
 
 
 def _write_files(folder: str, rank_of: np.ndarray, width: str):
+    """One file for the rows of a task; its name is the task's place among the ranges, so a retry replaces it."""
     def run(batches):
-        rows = ((v, k, x) for b in batches for k, v, x in zip(*(b.column(c).to_pylist() for c in range(3))))
-        row = next(rows, None)
-        while row is not None:
-            bucket, docs, tokens = row[0], 0, 0
-            name = f"{folder}/part-{bucket:08d}.svb"
-            with CommittedFile(name) as f:
-                f.write(HEAD)
-                while row is not None and row[0] == bucket:
-                    ids = np.frombuffer(row[2], width)
+        from pyspark import TaskContext
+
+        bucket, docs, tokens = TaskContext.get().partitionId(), 0, 0
+        name, out = f"{folder}/part-{bucket:08d}.svb", None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            if out is None:
+                out = CommittedFile(name)
+                out.write(HEAD)
+            keys = b.column(0)
+            for first, some in slices(b.column(1)):
+                for i, raw in enumerate(some, first):
+                    key, ids = keys[i].as_py(), np.frombuffer(raw, width)
                     control, data = pack_ids(rank_of[ids])
-                    f.write(struct.pack(BLOCK, row[1] is not None, row[1] or 0, len(ids), len(data)) + control + data)
+                    out.write(struct.pack(BLOCK, key is not None, key or 0, len(ids), len(data)) + control + data)
                     docs, tokens = docs + 1, tokens + len(ids)
-                    row = next(rows, None)
+        if out is not None:
+            with out as f:
                 f.write(struct.pack(BLOCK, False, -1, 0, 0) + struct.pack(TRAILER, docs, tokens, TAIL))
             yield pa.record_batch([pa.array([bucket], pa.int64()), pa.array([name]), pa.array([docs], pa.int64()),
                                    pa.array([tokens], pa.int64())], names=["bucket", "path", "docs", "tokens"])
@@ -115,19 +124,17 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     """Writes ``documents`` (doc_id, text) as token files in ascending doc_id; returns the file manifest.
 
     One pass tokenizes and counts; the counts of all tasks are summed per id, which gives the ranks (ties:
-    smaller id first; the table is as long as the vocabulary).  The ids then move once, to their range of doc_id.
+    smaller id first; the table is as long as the vocabulary).  The ids then move once, to their range of doc_id
+    and, within one doc_id, of a checksum.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     n = rows.count()
     files = max(2 * parallelism(spark), n // DOCS_PER_FILE)
-    cuts = rows.select(F.col("doc_id").cast("double").alias("k")).na.drop().approxQuantile(
-        "k", [i / files for i in range(1, files)], 1 / (4 * files)) if n else []
-    bounds = sorted(set(cuts))
     vocab = vocabulary_size(tokenizer)
     width = "<u2" if vocab <= 1 << 16 else "<u4"
-    tokens = written(rows.mapInArrow(_tokenize(tokenizer, end_id, bounds, vocab, width),
-                                     "doc_id long, bucket long, ids binary, counts binary"), "token-ids")
+    tokens = written(rows.mapInArrow(_tokenize(tokenizer, end_id, vocab, width),
+                                     "doc_id long, mark long, ids binary, counts binary"), "token-ids")
     counted = (tokens.filter("counts is not null").select("counts").mapInArrow(_frequencies, "id long, n long")
                .groupBy("id").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "id").collect())
     by_rank = np.array([r["id"] for r in counted], "<u4")
@@ -135,8 +142,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
     with CommittedFile(f"{folder}/ranks.u32") as f:
         f.write(by_rank.tobytes())
-    sorted_rows = (tokens.filter("bucket is not null").select("doc_id", "bucket", "ids")
-                   .repartition(files, "bucket").sortWithinPartitions("bucket", "doc_id", F.xxhash64("ids")))
+    order = [F.col("doc_id").asc_nulls_first(), F.col("mark")]  # rows without a doc_id, or with one, spread by their marks
+    sorted_rows = (tokens.filter("ids is not null").select("doc_id", "ids", "mark")
+                   .repartitionByRange(files, *order).sortWithinPartitions(*order).select("doc_id", "ids"))
     return written(sorted_rows.mapInArrow(_write_files(folder, rank_of, width),
                                           "bucket long, path string, docs long, tokens long"), "token-manifest")
 

@@ -1,30 +1,32 @@
 """Whole texts to token ids with a byte-level BPE of the ``tokenizers`` library.
 
-The BPE never merges across its pre-tokens, and a pre-token never crosses a space that starts a
-word.  So a text's ids are the ids of its space-separated pieces in a row, and a worker asks the library
-once for each distinct piece that it keeps.  Texts where such a cut could break a white-space run are
-cut by the pattern below; pieces with rarer characters and texts with separator controls go through the
-library's whole pipeline.
+The BPE never merges across its pre-tokens, so a text's ids are the ids of its pre-tokens in a row, and a worker asks
+the library once for each distinct one that it keeps.  Texts of the characters of ``PLAIN`` are cut into pre-tokens by
+the pattern below.  Others are cut before the spaces that start a word, which no pre-token crosses; their pieces
+with rarer characters, and texts with separator controls, go through the library's whole pipeline.
 """
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
 
+from hubflow.llm.common import slices
+
 #: The letter and number classes of the pre-tokenizer within Latin and Latin Extended A/B,
 #: its contractions, and the characters for which these classes are complete.
 LETTERS, NUMBERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 PRETOKENS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^\s{LETTERS}{NUMBERS}]+|\s+(?!\S)|\s+")
 PLAIN = re.compile("[\x00-\x1b -ɏ‐-‧‰-⁞€]*")
 RUNS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-BROKEN_RUN = re.compile(r"\s \s|\s \Z")
 SEPARATORS = re.compile("[\x1c-\x1f]")
-#: Key of a piece that no space begins; any other key stands for a space and itself.
-BARE = "\x1c"
-#: Pieces longer than this are not kept; a worker's memory is emptied at this many pieces.
-KEPT_CHARS, KEPT_PIECES = 40, 2_000_000
+#: Pieces longer than this are not kept.  A worker keeps this many pieces (some 200 bytes each), the first ones it
+#: meets, frequent ones among them; it starts anew after MISSES times as many that it could not keep.
+KEPT_CHARS, KEPT_PIECES, MISSES = 40, 200_000, 8
+#: Characters beyond which a text is cut into pieces little by little, and pieces taken at a time then.
+LONG_TEXT, AT_ONCE = 1 << 18, 1 << 16
 
 
 def byte_alphabet() -> list[str]:
@@ -35,7 +37,7 @@ def byte_alphabet() -> list[str]:
 
 
 class Encoder:
-    """ids(texts) -> one array of ids per text; ``dtype`` is the narrowest that holds the vocabulary."""
+    """ids(text) -> the text's ids; ``dtype`` is the narrowest that holds the vocabulary."""
 
     def __init__(self, path: str):
         import os
@@ -49,74 +51,63 @@ class Encoder:
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.width = self.dtype.itemsize
         self.alphabet = dict(enumerate(byte_alphabet()))
+        self.space = self.alphabet[32]
         self.merge = self.library.model.tokenize
         self.id_bytes = [i.to_bytes(self.width, "little") for i in range(self.size)]
-        self.known: dict[str, bytes] = {BARE: b""}
+        self.known: dict[str, bytes] = {}
+        self.missed = 0
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
     def _pretoken(self, part: str) -> bytes:
         """A pre-token goes straight to the library's merges."""
-        if part.isascii() and part[1:].isalnum() and part[0] == " ":
-            shown = self.alphabet[32] + part[1:]
+        if part.isascii() and part.isprintable():
+            shown = part.replace(" ", self.space)
         else:
             shown = part.encode().decode("latin-1").translate(self.alphabet)
         id_bytes = self.id_bytes
         return b"".join([id_bytes[t.id] for t in self.merge(shown)])
 
-    def _piece(self, key: str) -> bytes:
-        text = key[1:] if key[:1] == BARE else " " + key
-        if key.isalpha() and key.isascii() and len(key) < KEPT_CHARS:
-            return self._pretoken(text)
+    def _piece(self, text: str) -> bytes:
         if len(text) > KEPT_CHARS or not PLAIN.fullmatch(text):
             return self._whole(text)
-        parts = PRETOKENS.findall(text)
-        if len(parts) == 1:
-            return self._pretoken(text)
-        out = []
-        for p in parts:
-            k = p[1:] if p[0] == " " else BARE + p
-            if (ids := self.known.get(k)) is None:
-                ids = self.known[k] = self._pretoken(p)
-            out.append(ids)
-        return b"".join(out)
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return b"".join(map(self._pretoken, PRETOKENS.findall(text)))
+
+    def _keep(self, key: str, ids: bytes) -> None:
+        if len(self.known) < KEPT_PIECES:
+            self.known[key] = ids
+        else:
+            self.missed += 1
+            if self.missed > MISSES * KEPT_PIECES:
+                self.known, self.missed = {}, 0
+
+    def _joined(self, keys: list[str], ids_of) -> bytes:
         known = self.known
-        if len(known) > KEPT_PIECES:
-            known.clear()
-            known[BARE] = b""
-        out: list = [None] * len(texts)
-        keys: list[str] = []
-        spans: list[tuple[int, int, int]] = []
-        for i, text in enumerate(texts):
-            if SEPARATORS.search(text):
-                out[i] = np.frombuffer(self._whole(text), self.dtype)
-                continue
-            begin = len(keys)
-            if BROKEN_RUN.search(text):
-                keys += [p[1:] if p[0] == " " else BARE + p for p in RUNS.findall(text)]
-            else:
-                pieces = text.split(" ")
-                pieces[0] = BARE + pieces[0]
-                keys += pieces
-            spans.append((i, begin, len(keys)))
         found, at = list(map(known.get, keys)), -1
+        fresh: dict[str, bytes] = {}
         try:
             while True:
                 at = found.index(None, at + 1)
                 key = keys[at]
-                if (ids := known.get(key)) is None:
-                    ids = self._piece(key)
+                if (ids := fresh.get(key)) is None:
+                    ids = fresh[key] = ids_of(key)
                     if len(key) <= KEPT_CHARS:
-                        known[key] = ids
+                        self._keep(key, ids)
                 found[at] = ids
         except ValueError:  # none is missing any more
             pass
-        for i, begin, end in spans:
-            out[i] = np.frombuffer(b"".join(found[begin:end]), self.dtype)
-        return out
+        return b"".join(found)
+
+    def ids(self, text: str) -> np.ndarray:
+        """Ids of a whole text."""
+        if SEPARATORS.search(text):
+            return np.frombuffer(self._whole(text), self.dtype)
+        cut, ids_of = (PRETOKENS, self._pretoken) if PLAIN.fullmatch(text) else (RUNS, self._piece)
+        if len(text) <= LONG_TEXT:
+            return np.frombuffer(self._joined(cut.findall(text), ids_of), self.dtype)
+        pieces = (m.group() for m in cut.finditer(text))
+        return np.frombuffer(b"".join(iter(lambda: self._joined(list(itertools.islice(pieces, AT_ONCE)), ids_of), b"")), self.dtype)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -129,13 +120,13 @@ def encoder(path: str) -> Encoder:
     return _ENCODERS[path]
 
 
-def encoded(path: str, texts: list, end_id: int | None, at_once: int = 500):
-    """(position, ids) of each text, null as empty, in bounded groups; ``end_id`` is appended."""
+def encoded(path: str, texts, end_id: int | None):
+    """(position, ids) of each text of an Arrow column, null as empty; ``end_id`` is appended."""
     coder = encoder(path)
     tail = np.array([] if end_id is None else [end_id], coder.dtype)
-    for k in range(0, len(texts), at_once):
-        for i, ids in enumerate(coder.ids([t or "" for t in texts[k:k + at_once]])):
-            yield k + i, np.concatenate([ids, tail])
+    for first, some in slices(texts):
+        for i, text in enumerate(some):
+            yield first + i, np.concatenate([coder.ids(text or ""), tail])
 
 
 def vocabulary_size(path: str) -> int:

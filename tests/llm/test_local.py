@@ -4,7 +4,10 @@ import io
 import itertools
 import math
 import random
+import re
+import string
 import struct
+import zlib
 
 import numpy as np
 import pytest
@@ -13,7 +16,8 @@ import zstandard as zstd
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from hubflow.llm import collision_links, cube_mix, packing, resharding, simhash, string_kernel, token_files, warc
+from hubflow.llm import (collision_links, cube_mix, lexical_search, packing, resharding, simhash, spelling_variants, string_kernel,
+                         token_files, warc)
 from hubflow.llm.queries import tokenizer_path
 from hubflow.llm.tokenization import encoder
 
@@ -25,14 +29,14 @@ PIECES = ["a", "Bc", "é", " ", "  ", "\n", "\t", "'s", "'", "²", "½", "1", "
 @given(st.lists(st.sampled_from(PIECES), max_size=14).map("".join))
 def test_ids_equal_the_librarys(text):
     coder = encoder(tokenizer_path())
-    assert coder.ids([text])[0].tolist() == coder.library.encode(text, add_special_tokens=False).ids
+    assert coder.ids(text).tolist() == coder.library.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=200, deadline=None)
 @given(st.text(max_size=60))
 def test_ids_equal_the_librarys_on_any_text(text):
     coder = encoder(tokenizer_path())
-    assert coder.ids([text, "x " * 3 + text])[0].tolist() == coder.library.encode(text, add_special_tokens=False).ids
+    assert coder.ids(text).tolist() == coder.library.encode(text, add_special_tokens=False).ids
 
 
 @settings(max_examples=200, deadline=None)
@@ -265,9 +269,70 @@ def test_kernel_regression_tells_languages():
     langs = ["xx", "yy"] * 30
     model = string_kernel.fit([make(x, 12) for x in langs], langs, landmarks_per_lang=8)
     test = ["xx", "yy"] * 40
-    got = model.responses([make(x, 5) for x in test])
-    assert [model.langs[k] for k in got.argmax(axis=1)] == test
-    assert model.responses([""]).shape == (1, 2)
+    got, familiar = model.responses([make(x, 5) for x in test])
+    assert [model.langs[k] for k in got.argmax(axis=1)] == test and familiar.min() > 0.5
+    assert model.responses([""])[0].shape == (1, 2) and model.responses(["0123456789"])[1][0] < 0.25
+
+
+def test_kernel_and_ridge_equal_the_formulas(monkeypatch):
+    """Presence kernel, K(L, L)^(-1/2), ridge weights and responses, written out with sets and dense matrices."""
+    rnd = random.Random(11)
+    langs = [rnd.choice(["a", "b", "c"]) for _ in range(30)]
+    texts = ["".join(rnd.choice({"a": "abcde", "b": "cdefg é", "c": "fgha "}[x]) for _ in range(rnd.randrange(3, 60))) for x in langs]
+    sets = lambda t: {(n, t.lower().encode()[i:i + n]) for n in string_kernel.ORDERS for i in range(len(t.lower().encode()) - n + 1)}
+    kern = lambda x, y: len(sets(x) & sets(y)) / np.sqrt(len(sets(x)) * len(sets(y)))
+    names = sorted(set(langs))
+    marks = [i for name in names for i in [i for i, x in enumerate(langs) if x == name][:4]]
+    k = np.array([[kern(t, texts[m]) for m in marks] for t in texts])
+    values, vectors = np.linalg.eigh(k[marks])
+    half = vectors @ np.diag(np.where(values > 1e-6 * values.max(), 1 / np.sqrt(np.maximum(values, 1e-12)), 0)) @ vectors.T
+    z = k @ half
+    y = np.array([[float(x == name) for name in names] for x in langs])
+    w = np.linalg.solve(z.T @ z + string_kernel.RIDGE * len(texts) * np.eye(len(marks)), z.T @ y)
+    new = ["abcab", "fgfg", "edé g", "zzz", ""]
+    want = np.array([[kern(t, texts[m]) if t else 0.0 for m in marks] for t in new]) @ half @ w
+    for block in (string_kernel.BLOCK_BYTES, 4096):  # one dense block, several blocks
+        monkeypatch.setattr(string_kernel, "BLOCK_BYTES", block)
+        model = string_kernel.fit(texts, langs, landmarks_per_lang=4)
+        assert np.allclose(model.kernel(texts)[0], k, atol=1e-6)
+        assert np.allclose(model.responses(new)[0], want, atol=1e-4)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 12), st.integers(0, 30), st.integers(1, 9)), max_size=120), st.lists(st.integers(0, 13), max_size=8, unique=True),
+       st.integers(1, 6), st.sampled_from([0.0, 0.2, 0.6, 1.0]), st.sampled_from([3, 1024]))
+def test_search_of_a_shard_equals_full_scoring(postings, terms, k, short, block):
+    """Any split into short and long lists and any block give the k best of all documents, ties by doc_id (none last)."""
+    cells = {(t, d): i for t, d, i in postings}
+    rows = sorted(cells, key=lambda c: random.Random(str(c)).random())
+    doc = np.array([100 + d for _, d in rows], np.int64)
+    ids = np.array([d * 7 % 31 for _, d in rows], np.int64)
+    nameless = np.array([d % 11 == 5 for _, d in rows], bool)
+    ids[nameless] = 0
+    shard = lexical_search.Shard(doc, ids, nameless, np.array([t for t, _ in rows], np.int64), np.array([cells[c] for c in rows], np.int64))
+    weights = [t % 4 for t in terms]
+    found, scores = shard.search(terms, weights, k, short, block)
+    total = {}
+    for (t, d), i in cells.items():
+        if t in terms:
+            total[d] = total.get(d, 0) + i * (t % 4)
+    best = sorted(((-s, d % 11 == 5, 0 if d % 11 == 5 else d * 7 % 31, 100 + d) for d, s in total.items() if s > 0))[:k]
+    assert [(-int(s), int(doc[r])) for r, s in zip(shard.row[found], scores)] == [(b[0], b[3]) for b in best]
+
+
+def test_typos_and_counts():
+    text = "Éclair éclairs ABCdef " * 3 + "x" * 5
+    got = spelling_variants.runs_of(3, text)
+    want = {}
+    for run in re.findall("[a-zÀ-ÿ]+", "".join(c.lower() if c in string.ascii_uppercase else c for c in text)):
+        h = zlib.crc32(f"3:{run}".encode())
+        run = run if h % 199 else run[:h % len(run)] + run[h % len(run) + 1:]
+        if len(run) >= 6:
+            want[run] = want.get(run, 0) + 1
+    assert got == want and spelling_variants.runs_of(None, None) == {}
+    hit = next(w for w in map("letters{}".format, map("".join, itertools.product("abcdefgh", repeat=3))) if zlib.crc32(f"9:{w}".encode()) % 199 == 0)
+    h = zlib.crc32(f"9:{hit}".encode())
+    assert spelling_variants.runs_of(9, hit) == {hit[:h % len(hit)] + hit[h % len(hit) + 1:]: 1}
 
 
 @settings(max_examples=80, deadline=None)
