@@ -5,7 +5,8 @@ Each stage gets what its predecessor kept, as a table that was written and read
 decisions back once, so that no text passes through a Python worker on its way to the next stage.
 
 Definitions: rows with equal doc_id and text share a decision; nulls compare equal in that join; an empty table passes
-through as an empty table; further columns of ``documents`` are carried along.
+through as an empty table; further columns of ``documents`` are carried along; very long texts are scored, hashed and
+cut whole, a bounded part at a time.
 """
 
 from __future__ import annotations
@@ -17,6 +18,9 @@ from hubflow.llm import cube_mix, packing, simhash, string_kernel
 from hubflow.llm.common import work_dir, written
 from hubflow.llm.queries import tokenizer_path
 
+#: Share of a language's usual mean n-gram weight below which a text is rejected.
+UNFAMILIAR = 0.25
+
 
 def _decided(docs: DataFrame, decisions: DataFrame, *columns: str) -> DataFrame:
     """Rows of ``docs`` whose key is among the distinct keys of ``decisions``, with its columns as _name."""
@@ -25,10 +29,14 @@ def _decided(docs: DataFrame, decisions: DataFrame, *columns: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter; every document in a learned language stays."""
+    """Drops documents without a letter and those whose n-grams are unlike every learned language's.
+
+    A winner whose mean n-gram weight is below UNFAMILIAR of what is usual in its language is no language: other
+    scripts, encoded data.  Short, mixed or marked-up text in a learned language stays well above it.
+    """
     model = string_kernel.train(docs)
     verdicts = string_kernel.identify(docs, model)
-    kept = verdicts.filter("lang_pred <> 'und'").select("doc_id", "text_key").distinct()
+    kept = verdicts.filter((F.col("lang_pred") != "und") & (F.col("familiar") >= UNFAMILIAR)).select("doc_id", "text_key").distinct()
     return _decided(docs, written(kept, "language-kept")).select(*docs.columns)
 
 
