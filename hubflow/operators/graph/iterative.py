@@ -7,8 +7,7 @@ Every loop follows the same discipline:
   ``spark.checkpoint.dir`` (survives executor loss, truncates the lineage);
 * a ``max_iter`` guard raises instead of returning a half-converged answer.
 
-Path metrics use the double edge length ``dist`` (see ``with_flow_distance``); "is this a shortest path"
-is an equality up to the relative tolerance ``TIE``.
+Path metrics from many sources are in ``paths``.
 """
 
 from __future__ import annotations
@@ -18,8 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from hubflow import schema as S
-from hubflow.operators.graph.edges import TIE, vertices
 from hubflow.operators.graph.contract import star_components
+from hubflow.operators.graph.edges import undirected_projection, vertices
+from hubflow.operators.graph.paths import HUBS_PER_PART, betweenness, distance_sums  # noqa: F401 (betweenness: one import path for all metrics)
 from hubflow.session import NoConvergence, cut_lineage
 
 CHECKPOINT_EVERY = 4
@@ -112,166 +112,55 @@ def largest_component(components: DataFrame) -> DataFrame:
 
 # ---- DAG test -------------------------------------------------------------------------------
 
+def _to_roots(parent: DataFrame) -> DataFrame | None:
+    """(x, root) of a parent table (x, p) by pointer doubling; None if some hub never leaves the table: a cycle."""
+    table = cut_lineage(parent.select("x", F.col("p").alias("root")))
+    n = table.count()
+    for _ in range(n.bit_length() + 1):
+        ahead = table.select(F.col("x").alias("y"), F.col("root").alias("further"))
+        stepped = cut_lineage(table.join(ahead, F.col("root") == F.col("y"), "left")
+                              .select("x", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("inside")))
+        table = stepped.select("x", "root")
+        if stepped.filter("inside").isEmpty():
+            return table
+    return None
+
+
 def is_dag(edges: DataFrame, max_iter: int = 100000) -> bool:
     """True iff the directed graph has no cycle (a self-loop is a cycle).
 
-    Kahn peeling on edges: drop every edge whose source has no incoming edge, until nothing
-    changes; a DAG loses all its edges.
+    A round drops the lanes out of hubs that no lane enters -- if there are lanes but no such hub, some cycle exists --
+    and merges every hub that one lane enters into the lane's start, whole chains and trees at once by pointer
+    doubling; a cycle through a merged hub shows as a self-loop.  The next round does the same against the lanes'
+    direction.  A chain of n lanes takes about log2(n) joins, not n.
     """
-    cur = _step(edges.select("u", "v").filter(F.col("u").isNotNull()).distinct(), 1, held := [])
-    m = cur.count()
-    for i in range(1, max_iter + 1):
-        if m == 0:
-            _release(held)
-            return True
-        nxt = cur.join(cur.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
-        nxt = _step(nxt, i + 1, held)
-        m2 = nxt.count()
-        if m2 == m:
-            _release(held)
+    cur = cut_lineage(edges.select("u", "v").filter(F.col("u").isNotNull() & F.col("v").isNotNull()).distinct())
+    for _ in range(max_iter):
+        lanes, loops = cur.agg(F.count(F.lit(1)), F.count_if(F.col("u") == F.col("v"))).first()
+        if not lanes or loops:
+            return not loops
+        entered = cur.groupBy(F.col("v").alias("x")).agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("p"))
+        inner = cut_lineage(cur.join(entered.select(F.col("x").alias("u")), "u", "left_semi"))
+        if inner.count() == lanes:
+            return False
+        # counted after the trimming: a hub may have lost all lanes but one
+        single = inner.groupBy(F.col("v").alias("x")).agg(F.count(F.lit(1)).alias("n"), F.min("u").alias("p")).filter("n = 1")
+        roots = _to_roots(single)
+        if roots is None:
             return False
-        cur, m = nxt, m2
+        kept = inner.join(roots.select(F.col("x").alias("v")), "v", "left_anti")
+        merged = kept.join(roots, F.col("u") == F.col("x"), "left").select(F.coalesce("root", "u").alias("u"), "v").distinct()
+        cur = cut_lineage(merged.select(F.col("v").alias("u"), F.col("u").alias("v")))
     raise NoConvergence("is_dag exceeded max_iter")
 
 
-# ---- shortest paths, path counts, betweenness, closeness ------------------------------------
-
-def shortest_distances(edges: DataFrame, sources: DataFrame | None = None, directed: bool = True,
-                       length: str = "dist", max_iter: int = 100000) -> DataFrame:
-    """All shortest distances (s, t, d) from every source (or the given ``sources``), on the
-    edge ``length`` as doubles; self-loops never shorten a path.
-
-    Frontier relaxation on one state table (s, t, d, fresh): only pairs whose distance improved
-    in the last round are expanded; the frontier is a flag, so periodic checkpoints of the state
-    truncate the whole loop's lineage.
-    """
-    e = edges.select("u", "v", F.col(length).cast("double").alias("w")).filter(F.col("u") != F.col("v"))
-    if not directed:
-        e = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v"), "w"))
-    e = e.groupBy("u", "v").agg(F.min("w").alias("w")).repartition("u").persist()
-    src = (sources.select(F.col("hub_id").alias("s")) if sources is not None
-           else vertices(edges).select(F.col("hub_id").alias("s")))
-    state = _step(src.select("s", F.col("s").alias("t"), F.lit(0.0).alias("d"),
-                             F.lit(True).alias("fresh")), 1, held := [])
-    for i in range(1, max_iter + 1):
-        cand = (state.filter("fresh").select("s", "t", "d").join(e.withColumnRenamed("u", "t"), "t")
-                     .groupBy("s", F.col("v").alias("t")).agg(F.min(F.col("d") + F.col("w")).alias("cd")))
-        new = (state.select("s", "t", "d").join(cand, ["s", "t"], "full_outer")
-                    .select("s", "t", F.least("d", "cd").alias("d"),
-                            (F.col("cd").isNotNull() & (F.col("d").isNull() | (F.col("cd") < F.col("d") * (1 - TIE)))).alias("fresh")))
-        state = _step(new, i + 1, held)
-        if state.filter("fresh").isEmpty():
-            break
-    else:
-        raise NoConvergence("shortest_distances exceeded max_iter")
-    out = cut_lineage(state.select("s", "t", "d"))
-    _release(held)
-    e.unpersist()
-    return out
-
-
-def _sp_dag(edges: DataFrame, dist: DataFrame) -> DataFrame:
-    """Edges (s, x, y) lying on some shortest path from s: d(s,x) + len(x,y) = d(s,y), up to TIE."""
-    e = edges.select(F.col("u").alias("x"), F.col("v").alias("y"), F.col("dist").alias("w")).filter(F.col("x") != F.col("y"))
-    e = e.groupBy("x", "y").agg(F.min("w").alias("w"))
-    a = dist.select("s", F.col("t").alias("x"), F.col("d").alias("dx"))
-    b = dist.select("s", F.col("t").alias("y"), F.col("d").alias("dy"))
-    return (a.join(e, "x").join(b, ["s", "y"]).filter(F.col("dx") + F.col("w") <= F.col("dy") * (1 + TIE))
-             .select("s", "x", "y"))
-
-
-def _level_sums(dag: DataFrame, seed: DataFrame, frm: str, to: str, value_type: str,
-                max_iter: int = 100000) -> tuple[DataFrame, int]:
-    """Sum a per-(s, node) quantity along DAG edges level by level until no level is left.
-
-    State (s, node, total, level): each round pushes the current level across the DAG edges
-    (``frm`` -> ``to``) and adds it to the total.  Returns (s, node, total) and the level count.
-    """
-    seed = seed.select("s", "node", F.col("val").cast(value_type).alias("total"),
-                       F.col("val").cast(value_type).alias("level"))
-    state = _step(seed, 1, held := [])
-    levels = 0
-    for i in range(1, max_iter + 1):
-        pushed = (state.filter(F.col("level").isNotNull()).select("s", F.col("node").alias(frm), "level")
-                       .join(dag, ["s", frm]).groupBy("s", F.col(to).alias("node"))
-                       .agg(F.sum("level").cast(value_type).alias("nl")))
-        new = (state.select("s", "node", "total").join(pushed, ["s", "node"], "full_outer")
-                    .select("s", "node", (F.coalesce("total", F.lit(0).cast(value_type))
-                                          + F.coalesce("nl", F.lit(0).cast(value_type))).alias("total"),
-                            F.col("nl").alias("level")))
-        state = _step(new, i + 1, held)
-        if state.filter(F.col("level").isNotNull()).isEmpty():
-            break
-        levels = i
-    else:
-        raise NoConvergence("level sums exceeded max_iter")
-    out = cut_lineage(state.select("s", "node", "total"))
-    _release(held)
-    return out, levels
-
-
-def path_counts(dag: DataFrame, sources: DataFrame) -> DataFrame:
-    """sigma(s, t): number of shortest s->t paths, summed level by level over the shortest-path
-    DAG (level k = paths of exactly k hops).  Counts are exact BIGINTs (ANSI mode raises on
-    overflow rather than wrapping)."""
-    dagx = dag.repartition("s", "x").persist()
-    seed = sources.select(F.col("hub_id").alias("s"), F.col("hub_id").alias("node"), F.lit(1).alias("val"))
-    sigma, _ = _level_sums(dagx, seed, "x", "y", "bigint")
-    dagx.unpersist()
-    return sigma.select("s", F.col("node").alias("t"), F.col("total").alias("sigma"))
-
-
-def betweenness(edges: DataFrame, normalized: bool = True, sources: DataFrame | None = None,
-                method: str = "auto") -> DataFrame:
-    """Directed shortest-path betweenness on the flow distance, endpoints excluded,
-    scaled by 1/((n-1)(n-2)) when normalized.
-
-    ``method``: "sharded" runs exact per-source Brandes on source shards (edge table replicated
-    per shard; needs the edge count under ``sharded.MAX_REPLICATED_EDGES``), "supersteps" the
-    pure DataFrame version below (O(hop diameter) rounds, no replication), "auto" picks sharded
-    when the size check passes.
-
-    Brandes' dependency in a level-synchronous form: with f(s,v) = delta(s,v)/sigma(s,v),
-      f(s,v) = sum over DAG successors w of (1/sigma(s,w) + f(s,w)),
-    which unrolls to h_1(s,v) = sum_w 1/sigma(s,w), h_{k+1}(s,v) = sum_w h_k(s,w) and
-    f = sum_k h_k -- the same frontier join as the path counts, run from the other end.
-    Finally bc(v) = sum over s != v of sigma(s,v) * f(s,v).  ``sources`` restricts s (pivot
-    sampling for very large hub sets; the result is then rescaled by n / |sources|).
-    """
-    from hubflow.operators.graph import sharded as SH
-    nodes = vertices(edges)
-    n = nodes.count()
-    if sources is None and (method == "sharded" or (method == "auto" and SH.edge_count_within(edges))):
-        return cut_lineage(SH.betweenness_sharded(edges, nodes, n, normalized))
-    srcs = sources if sources is not None else nodes
-    n_src = srcs.count() if sources is not None else n
-    dist = shortest_distances(edges, srcs)
-    dag = cut_lineage(_sp_dag(edges, dist))
-    sigma = path_counts(dag, srcs)
-    inv = sigma.select("s", F.col("t").alias("y"), (1.0 / F.col("sigma")).alias("inv"))
-    dagy = dag.repartition("s", "y").persist()
-    h1 = dagy.join(inv, ["s", "y"]).groupBy("s", F.col("x").alias("node")).agg(F.sum("inv").alias("val"))
-    f, _ = _level_sums(dagy, h1, "y", "x", "double")
-    dep = (f.join(sigma.withColumnRenamed("t", "node"), ["s", "node"]).filter(F.col("s") != F.col("node"))
-             .groupBy(F.col("node").alias("hub_id")).agg(F.sum(F.col("sigma") * F.col("total")).alias("raw")))
-    scale = 1.0
-    if normalized:
-        scale = 1.0 / ((n - 1) * (n - 2)) if n > 2 else 1.0
-    if sources is not None and n_src:
-        scale *= n / n_src
-    out = nodes.join(dep, "hub_id", "left").select(
-        "hub_id", (F.coalesce("raw", F.lit(0.0)) * scale).alias("betweenness_centrality"))
-    out = cut_lineage(out)
-    dagy.unpersist()
-    return out
-
+# ---- closeness ------------------------------------------------------------------------------
 
-def closeness(edges: DataFrame, method: str = "auto") -> DataFrame:
+def closeness(edges: DataFrame, hubs_per_part: int = HUBS_PER_PART) -> DataFrame:
     """Closeness on the largest weak component of the undirected projection (weights of both
     directions summed), distance = that weight, Wasserman-Faust scaling; other hubs get null."""
-    from hubflow.operators.graph.edges import undirected_projection
     und = undirected_projection(edges).select(F.col("a").alias("u"), F.col("b").alias("v"),
-                                              F.col("weight").cast("bigint").alias("dist"))
+                                              F.col("weight").cast("double").alias("length"))
     comps = connected_components(edges)
     big = largest_component(comps).select("hub_id")
     m = big.count()
@@ -279,13 +168,8 @@ def closeness(edges: DataFrame, method: str = "auto") -> DataFrame:
               .join(big.withColumnRenamed("hub_id", "v"), "v", "left_semi"))
     if m <= 1:
         return vertices(edges).select("hub_id", F.lit(None).cast("double").alias("closeness_centrality"))
-    from hubflow.operators.graph import sharded as SH
-    if method == "sharded" or (method == "auto" and SH.edge_count_within(sub)):
-        return vertices(edges).join(SH.closeness_sharded(sub, big, m), "hub_id", "left")
-    dist = shortest_distances(sub, big, directed=False)
-    agg = (dist.filter(F.col("s") != F.col("t")).groupBy(F.col("s").alias("hub_id"))
-               .agg(F.count(F.lit(1)).alias("r"), F.sum("d").alias("tot")))
-    cl = agg.select("hub_id", F.when(F.col("tot") > 0, (F.col("r") / F.col("tot")) * (F.col("r") / F.lit(m - 1)))
+    agg = distance_sums(sub, cut_lineage(big), hubs_per_part)
+    cl = agg.select("hub_id", F.when(F.col("total") > 0, (F.col("r") / F.col("total")) * (F.col("r") / F.lit(m - 1)))
                     .otherwise(F.lit(0.0)).alias("closeness_centrality"))
     return vertices(edges).join(cl, "hub_id", "left")
 

@@ -1,6 +1,10 @@
 """Hand-sized graphs with known answers (FIXTURES.md §3)."""
 
+import heapq
 import math
+import random
+from collections import defaultdict
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +12,7 @@ from pyspark.sql import functions as F
 from hubflow.operators.graph import communities as CM
 from hubflow.operators.graph import edges as G
 from hubflow.operators.graph import iterative as IT
+from hubflow.operators.graph import paths as PT
 
 PATH4 = [("a", "b", 1), ("b", "c", 1), ("c", "d", 1)]
 STAR = [("c", f"x{i}", 1) for i in range(1, 5)] + [(f"x{i}", "c", 1) for i in range(1, 5)]
@@ -49,12 +54,12 @@ def test_betweenness_counts_equal_paths(graph):
     assert b["b"] == pytest.approx(0.5) and b["c"] == pytest.approx(0.5)
 
 
-@pytest.mark.parametrize("method", ["sharded", "supersteps"])
-def test_betweenness_ties_of_unequal_hops(graph, method):
+@pytest.mark.parametrize("per_part", [1, 256])
+def test_betweenness_ties_of_unequal_hops(graph, per_part):
     # 1/3 + 1/6 == 1/2: c carries half of a-d; three hops of 1/3 tie with one of 1
-    b = as_map(IT.betweenness(graph([("a", "d", 2), ("a", "c", 3), ("c", "d", 6)]), normalized=False, method=method), "hub_id", "betweenness_centrality")
+    b = as_map(IT.betweenness(graph([("a", "d", 2), ("a", "c", 3), ("c", "d", 6)]), normalized=False, hubs_per_part=per_part), "hub_id", "betweenness_centrality")
     assert b["c"] == pytest.approx(0.5)
-    b = as_map(IT.betweenness(graph([("a", "d", 1), ("a", "b", 3), ("b", "c", 3), ("c", "d", 3)]), normalized=False, method=method),
+    b = as_map(IT.betweenness(graph([("a", "d", 1), ("a", "b", 3), ("b", "c", 3), ("c", "d", 3)]), normalized=False, hubs_per_part=per_part),
                "hub_id", "betweenness_centrality")
     # b: half of a-d, all of a-c; c: half of a-d, all of b-d
     assert b["b"] == pytest.approx(1.5) and b["c"] == pytest.approx(1.5)
@@ -99,6 +104,17 @@ def test_dag(graph):
     assert IT.is_dag(graph(PATH4))
     assert not IT.is_dag(graph(CYCLE3))
     assert not IT.is_dag(graph(SELFLOOP))
+    # the cycle lies behind sources, before sinks, and between hubs with several lanes
+    assert not IT.is_dag(graph([("s", "a", 1), ("a", "b", 1), ("b", "c", 1), ("c", "a", 1), ("c", "t", 1), ("s", "b", 1), ("a", "c", 1)]))
+    rnd = random.Random(2)
+    order = [(f"h{i:02d}", f"h{j:02d}", 1) for i in range(30) for j in rnd.sample(range(i + 1, 31), min(3, 30 - i))]
+    assert IT.is_dag(graph(order)) and not IT.is_dag(graph([*order, ("h29", "h03", 1)]))
+
+
+def test_dag_of_a_long_chain(spark):
+    chain = spark.range(100_000).select(F.col("id").cast("string").alias("u"), (F.col("id") + 1).cast("string").alias("v"))
+    assert IT.is_dag(chain)
+    assert not IT.is_dag(chain.union(spark.createDataFrame([("100000", "70000")], "u string, v string")))
 
 
 def test_components_and_closeness(graph):
@@ -137,13 +153,96 @@ def test_modularity_beats_baselines(spark):
     assert not math.isnan(q)
 
 
-@pytest.mark.parametrize("edges", [PATH4, STAR, CYCLE3, TWO_CLIQUES,
-                                   [("a", "b", 1), ("b", "d", 1), ("a", "c", 1), ("c", "d", 1), ("d", "a", 3)]])
-def test_sharded_matches_supersteps(graph, edges):
-    e = graph(edges)
-    a = as_map(IT.betweenness(e, method="sharded"), "hub_id", "betweenness_centrality")
-    b = as_map(IT.betweenness(e, method="supersteps"), "hub_id", "betweenness_centrality")
-    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k], abs=1e-12) for k in a)
-    c = as_map(IT.closeness(e, method="sharded"), "hub_id", "closeness_centrality")
-    d = as_map(IT.closeness(e, method="supersteps"), "hub_id", "closeness_centrality")
-    assert c.keys() == d.keys() and all((c[k] is None and d[k] is None) or c[k] == pytest.approx(d[k]) for k in c)
+def exact_betweenness(edges):
+    """Brandes on exact fractions."""
+    best = {}
+    for u, v, w in edges:
+        if u != v:
+            best[u, v] = min(best.get((u, v), Fraction(2)), Fraction(1, max(w, 1)))
+    hubs = sorted({h for u, v, _ in edges for h in (u, v)})
+    out = defaultdict(list)
+    for (u, v), d in best.items():
+        out[u].append((v, d))
+    score = dict.fromkeys(hubs, 0.0)
+    for s in hubs:
+        dist, count, before, order, done, heap = {s: Fraction(0)}, {s: 1}, {s: []}, [], set(), [(Fraction(0), s)]
+        while heap:
+            d, x = heapq.heappop(heap)
+            if x in done:
+                continue
+            done.add(x)
+            order.append(x)
+            for y, w in out[x]:
+                if y not in dist or d + w < dist[y]:
+                    dist[y], count[y], before[y] = d + w, count[x], [x]
+                    heapq.heappush(heap, (d + w, y))
+                elif d + w == dist[y]:
+                    count[y] += count[x]
+                    before[y].append(x)
+        dep = dict.fromkeys(order, 0.0)
+        for w in reversed(order):
+            for v in before[w]:
+                dep[v] += count[v] * (1 + dep[w]) / count[w]
+            if w != s:
+                score[w] += dep[w]
+    return score
+
+
+def random_lanes(hubs, lanes, seed, weights=(1, 1, 2, 3, 6)):
+    rnd = random.Random(seed)
+    return [(u, v, w) for (u, v), w in {(f"h{rnd.randrange(hubs):03d}", f"h{rnd.randrange(hubs):03d}"): rnd.choice(weights) for _ in range(lanes)}.items()]
+
+
+@pytest.mark.parametrize("edges, per_part", [(STAR, 2), (TWO_CLIQUES, 3), (random_lanes(40, 160, 1), 6), (random_lanes(60, 120, 2), 256),
+                                             ([(f"h{i:03d}", f"h{(i + k) % 90:03d}", 90 + i % 7) for i in range(90) for k in (1, 2, 3)] + [("h010", "h050", 1)], 30)])
+def test_betweenness_of_any_parts_equals_exact(graph, monkeypatch, edges, per_part):
+    monkeypatch.setattr(PT, "LANES_AT_ONCE", 7)
+    got = as_map(IT.betweenness(graph(edges), normalized=False, hubs_per_part=per_part), "hub_id", "betweenness_centrality")
+    want = exact_betweenness(edges)
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
+
+
+def test_betweenness_in_waves(graph, monkeypatch):
+    edges = random_lanes(50, 200, 5)
+    monkeypatch.setattr(PT, "STATE_VALUES", 50 * 128 * 2)  # two blocks at a time
+    got = as_map(IT.betweenness(graph(edges), normalized=False, hubs_per_part=9), "hub_id", "betweenness_centrality")
+    assert got == pytest.approx(exact_betweenness(edges), abs=1e-9)
+
+
+def test_backward_ties_between_a_long_and_a_short_lane(graph):
+    # both lanes of a lie on shortest paths; their heads' distances differ by far more than the tie tolerance of the sum
+    edges = [("s", "a", 20), ("a", "far", 1), ("a", "near", 110), ("near", "x", 90), ("far", "y", 50)]
+    got = as_map(IT.betweenness(graph(edges), normalized=False), "hub_id", "betweenness_centrality")
+    assert got == pytest.approx(exact_betweenness(edges), abs=1e-9)
+
+
+def test_pivots_keep_their_error(graph):
+    edges = random_lanes(120, 700, 8)
+    n = len({h for u, v, _ in edges for h in (u, v)})
+    want = {h: x / ((n - 1) * (n - 2)) for h, x in exact_betweenness(edges).items()}
+    rows = PT.betweenness_by_pivots(graph(edges), error=0.9, first=32).collect()
+    assert {r["hub_id"] for r in rows} == set(want) and 0 < rows[0]["pivots"] < n
+    assert all(abs(r["betweenness_centrality"] - want[r["hub_id"]]) <= r["error_bound"] <= 0.9 for r in rows)
+    every = PT.betweenness_by_pivots(graph(edges), error=0.0, first=100).collect()  # all sources: exact
+    assert all(r["pivots"] == n and r["error_bound"] == 0 and r["betweenness_centrality"] == pytest.approx(want[r["hub_id"]], abs=1e-9) for r in every)
+
+
+def test_closeness_of_any_parts(graph):
+    edges = random_lanes(40, 90, 4)
+    a, b = (as_map(IT.closeness(graph(edges), hubs_per_part=k), "hub_id", "closeness_centrality") for k in (5, 256))
+    weight = defaultdict(int)
+    for u, v, w in edges:
+        weight[min(u, v), max(u, v)] += w
+    hubs = sorted({h for e in weight for h in e})
+    d = {(x, y): 0 if x == y else math.inf for x in hubs for y in hubs}
+    for (x, y), w in weight.items():
+        if x != y:
+            d[x, y] = d[y, x] = min(d[x, y], w)
+    for k in hubs:
+        for x in hubs:
+            for y in hubs:
+                d[x, y] = min(d[x, y], d[x, k] + d[k, y])
+    big = max(({y for y in hubs if d[x, y] < math.inf} for x in hubs), key=lambda c: (len(c), [-ord(ch) for ch in min(c)]))
+    for x in hubs:
+        want = (len(big) - 1) / sum(d[x, y] for y in big) if x in big else None
+        assert a[x] == b[x] == (pytest.approx(want) if want is not None else None)
