@@ -158,13 +158,14 @@ def training_sample(docs: DataFrame, per_lang: int | None = None) -> tuple[list[
     wanted = per_lang or max(1, min(TRAIN_PER_LANG, TRAIN_ALL // max(1, len(counts))))
     tops = [(r["lang"], min((1 << 63) - 1, -(1 << 63) + SPARE * wanted * (1 << 64) // r["n"])) for r in counts if r["n"]]
     below = spark.createDataFrame(tops, "l string, top long")
-    near = (rows.filter(short).join(below, (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("top")))
+    # one row for each language, as just counted: broadcast, so that texts do not move before the threshold
+    near = (rows.filter(short).join(F.broadcast(below), (F.col("lang") == F.col("l")) & (F.col("h") <= F.col("top")))
             .groupBy("lang", "h").agg(F.first("text").alias("text")))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
     got = [(r["lang"], r["h"], r["text"]) for r in near.withColumn("r", rank).filter(F.col("r") <= wanted).collect()]
     others = [r["lang"] for r in counts if not r["n"]]
     if others:
-        shortest = rows.join(spark.createDataFrame([(x,) for x in others], "l string"), F.col("lang") == F.col("l")).groupBy("lang").agg(
+        shortest = rows.join(F.broadcast(spark.createDataFrame([(x,) for x in others], "l string")), F.col("lang") == F.col("l")).groupBy("lang").agg(
             F.min_by(F.struct("text", "h"), F.struct("chars", "h")).alias("x"))
         got += [(r["lang"], r["x"]["h"], r["x"]["text"]) for r in shortest.collect()]
     got.sort()
