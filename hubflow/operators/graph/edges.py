@@ -14,6 +14,8 @@ from hubflow.functions.exprs import route_lane
 #: Two path lengths are equal if they differ by no more than this share: sums of the same lengths in
 #: another order differ by rounding alone, sums of different lengths by far more.
 TIE = 1e-10
+#: Lanes of one hub that a partition may hold.
+HEAVY_HUB = 100_000
 
 
 def aggregate_lane_edges(df: DataFrame) -> DataFrame:
@@ -97,6 +99,26 @@ def degree_centrality(edges: DataFrame) -> DataFrame:
         .alias("degree_centrality"))
 
 
+def mirrors(lanes: DataFrame, key: str, other: str, heavy: int = HEAVY_HUB) -> tuple[DataFrame, DataFrame]:
+    """Splits the lanes of heavy hubs over mirrors of the hub.
+
+    Returns the lanes with ``mirror`` (0 for most; a hash of ``other`` below the number of mirrors for a hub with more
+    than ``heavy`` lanes) and the table (key, mirrors) of the hubs with lanes.  Partitioned by (key, mirror) no
+    partition holds much more than ``heavy`` lanes of one hub; the state of a hub goes to each of its mirrors, and sums by the
+    other end are partial ones that a grouped aggregate adds up.
+    """
+    copies = lanes.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / heavy).cast("int").alias("mirrors"))
+    several = copies.filter("mirrors > 1")
+    split = lanes.join(several, key, "left").withColumn(
+        "mirror", F.coalesce(F.pmod(F.xxhash64(other), F.col("mirrors")), F.lit(0)).cast("int")).drop("mirrors")
+    return split, copies
+
+
+def to_mirrors(state: DataFrame, count: str = "mirrors") -> DataFrame:
+    """A row for each mirror of a row's hub (none for a null count: a hub without lanes)."""
+    return state.withColumn("mirror", F.explode(F.sequence(F.lit(0), F.col(count) - 1))).drop(count)
+
+
 def high_degree_nodes(edges: DataFrame, k: int = 10) -> DataFrame:
     return degree_table(edges).orderBy(F.col("degree").desc(), "hub_id").limit(k)
 

@@ -18,7 +18,7 @@ from pyspark.storagelevel import StorageLevel
 
 from hubflow import schema as S
 from hubflow.operators.graph.contract import star_components
-from hubflow.operators.graph.edges import undirected_projection, vertices
+from hubflow.operators.graph.edges import HEAVY_HUB, mirrors, to_mirrors, undirected_projection, vertices
 from hubflow.operators.graph.paths import HUBS_PER_PART, betweenness, distance_sums  # noqa: F401 (betweenness: one import path for all metrics)
 from hubflow.session import NoConvergence, cut_lineage
 
@@ -46,19 +46,20 @@ def _release(previous: list) -> None:
 # ---- PageRank ---------------------------------------------------------------------------
 
 def pagerank(edges: DataFrame, alpha: float = S.PAGERANK_ALPHA, tol: float = S.PAGERANK_TOL,
-             max_iter: int = S.PAGERANK_MAX_ITER, iterations: int | None = None) -> DataFrame:
+             max_iter: int = S.PAGERANK_MAX_ITER, iterations: int | None = None, heavy: int = HEAVY_HUB) -> DataFrame:
     """Weighted PageRank with uniform teleport and dangling mass spread uniformly.
 
     Stops when the L1 change is below ``n * tol`` (or after exactly ``iterations`` rounds when
-    given).  Each round: ranks JOIN out-normalised edges -> sum by target (partial aggregate),
-    plus the dangling mass as a 1-row broadcast.
+    given).  Each round: ranks, copied to the mirrors of heavy hubs, JOIN out-normalised edges -> sum by target
+    (partial aggregate), plus the dangling mass as a 1-row broadcast.
     """
     spark = edges.sparkSession
     e = edges.select("u", "v", F.col("weight").cast("double").alias("w"))
     ow = e.groupBy("u").agg(F.sum("w").alias("sw"))
-    en = (e.join(ow, "u").select("u", "v", (F.col("w") / F.col("sw")).alias("p"))
-            .filter(F.col("p").isNotNull()).repartition("u").persist())
-    nodes = vertices(edges).withColumnRenamed("hub_id", "h").persist()
+    shares = e.join(ow, "u").select("u", "v", (F.col("w") / F.col("sw")).alias("p")).filter(F.col("p").isNotNull())
+    split, copies = mirrors(shares, "u", "v", heavy)
+    en = split.repartition("u", "mirror").persist()
+    nodes = vertices(edges).withColumnRenamed("hub_id", "h").join(copies.withColumnRenamed("u", "h"), "h", "left").persist()
     n = nodes.count()
     if n == 0:
         return spark.createDataFrame([], "hub_id string, pagerank double")
@@ -66,14 +67,14 @@ def pagerank(edges: DataFrame, alpha: float = S.PAGERANK_ALPHA, tol: float = S.P
     ranks = _step(nodes.withColumn("r", F.lit(1.0 / n)), 1, held := [])
     rounds = iterations or max_iter
     for i in range(1, rounds + 1):
-        contrib = (en.join(ranks.withColumnRenamed("h", "u"), "u")
+        contrib = (en.join(to_mirrors(ranks).withColumnRenamed("h", "u"), ["u", "mirror"])
                      .groupBy(F.col("v").alias("h")).agg(F.sum(F.col("r") * F.col("p")).alias("s")))
         dsum = ranks.join(dangling, "h", "left_semi").agg(F.coalesce(F.sum("r"), F.lit(0.0)).alias("dm"))
         new = (nodes.join(contrib, "h", "left").crossJoin(F.broadcast(dsum))
-                    .select("h", ((1 - alpha) / n + alpha * (F.coalesce("s", F.lit(0.0)) + F.col("dm") / n)).alias("r")))
+                    .select("h", "mirrors", ((1 - alpha) / n + alpha * (F.coalesce("s", F.lit(0.0)) + F.col("dm") / n)).alias("r")))
         new = _step(new, i + 1, held)
         if iterations is None:
-            err = (new.join(ranks.withColumnRenamed("r", "r0"), "h")
+            err = (new.join(ranks.select("h", F.col("r").alias("r0")), "h")
                       .agg(F.sum(F.abs(F.col("r") - F.col("r0"))).alias("e")).first()["e"])
             ranks = new
             if err < n * tol:

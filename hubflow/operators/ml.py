@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from hubflow import schema as S
 from hubflow.functions.exprs import hash_percent, hash_order
 from hubflow.operators.profile import histogram
+from hubflow.session import cut_lineage
 
 
 # ---- split --------------------------------------------------------------------------------
@@ -151,39 +152,27 @@ def graph_ablation(train: DataFrame, test: DataFrame, base_features, all_feature
     return both.crossJoin(F.broadcast(d.select((F.col("_a") - F.col("_b")).alias("mae_gain"))))
 
 
-def feature_importance(model: PipelineModel, features, k: int = 20) -> DataFrame:
-    """Top ``k`` impurity importances of the tree stage, flagged when a feature is a graph feature."""
-    imp = model.stages[-1].featureImportances.toArray().tolist()
-    from pyspark.sql import SparkSession
-    sp = SparkSession.getActiveSession()
-    df = sp.createDataFrame([(f, float(v)) for f, v in zip(features, imp)], "feature string, importance double")
-    return (df.withColumn("is_graph_feature", F.col("feature").isin(*S.GRAPH_FEATURES))
-              .orderBy(F.col("importance").desc(), "feature").limit(k))
-
-
-def permute_column(df: DataFrame, column: str, key: str, seed: int = S.SEED, buckets: int | None = None) -> DataFrame:
-    """Randomly re-assign ``column`` across rows: rows are hashed into ``buckets`` groups and the
-    values rotate by one position inside each group (hash order).  Marginals are kept exactly,
-    the link to the row is broken, and every group is a balanced hash slice (no hot group) of about
-    ``ROWS_PER_BUCKET`` rows."""
+def permuted_columns(df: DataFrame, columns: list[str], key: str, seed: int = S.SEED, buckets: int | None = None) -> DataFrame:
+    """Adds ``<column>_permuted`` for every column: rows are hashed into ``buckets`` groups and the values rotate by
+    one place inside each group (hash order).  Marginals are kept exactly, the link to the row is broken, every
+    group is a balanced hash slice of about ``ROWS_PER_BUCKET`` rows, and all columns share one exchange."""
     buckets = buckets or 1 + df.count() // ROWS_PER_BUCKET
-    b = (F.abs(F.xxhash64(F.col(key), F.lit(seed))) % buckets).alias("_b")
     w = Window.partitionBy("_b").orderBy(hash_order(key, seed + 1), key)
     wall = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    out = df.withColumn("_b", b)
-    return (out.withColumn(column, F.coalesce(F.lag(column, 1).over(w), F.last(column).over(wall)))
-               .drop("_b"))
+    dealt = df.withColumn("_b", F.abs(F.xxhash64(F.col(key), F.lit(seed))) % buckets)
+    before = F.lag(F.struct(*columns), 1).over(w)
+    moved = dealt.withColumn("_x", F.coalesce(before, F.last(F.struct(*columns)).over(wall)))
+    return moved.select(*df.columns, *[F.col("_x")[c].alias(f"{c}_permuted") for c in columns])
 
 
 def permutation_importance(model: PipelineModel, test: DataFrame, features, key: str = "segment_key",
                            label: str = S.TARGET) -> DataFrame:
     """MAE increase when one feature is permuted (model-agnostic explainability)."""
-    test = test.persist()
-    buckets = 1 + test.count() // ROWS_PER_BUCKET
+    test = cut_lineage(permuted_columns(test, list(features), key))
     base = regression_metrics(model.transform(test), label).select(F.col("MAE").alias("base_mae"))
     out = None
     for f in features:
-        m = regression_metrics(model.transform(permute_column(test, f, key, buckets=buckets)), label).select(
+        m = regression_metrics(model.transform(test.withColumn(f, F.col(f"{f}_permuted"))), label).select(
             F.lit(f).alias("feature"), F.col("MAE").alias("permuted_mae"))
         out = m if out is None else out.unionByName(m)
     return (out.crossJoin(F.broadcast(base))

@@ -3,12 +3,12 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from hubflow import schema as S
+from hubflow.operators import explain as EX
 from hubflow.operators import features as FE
 from hubflow.operators import ml as ML
 from hubflow.operators import preprocess as PP
@@ -119,102 +119,155 @@ oracle("score_requests", """SELECT request_id, round(predicted_eta, 6) AS predic
   r.source_center || ' → ' || r.destination_center AS route_lane FROM z JOIN req r USING (request_id)""", HUBS, _FEAT_TR)
 
 
-# ---- training and evaluation: trees have no SQL equivalent, so each query returns properties that must hold ----
+# ---- training and evaluation: trees have no SQL equivalent, so their metrics stand beside exact counts and baselines ----
 
-def _learned(tr, te, model):
-    """One row: R2 above 0, and MAE below that of always predicting the training mean."""
-    mean = tr.agg(F.avg(S.TARGET).alias("_m"))
-    base = te.crossJoin(F.broadcast(mean)).agg(F.avg(F.abs(F.col(S.TARGET) - F.col("_m"))).alias("_base"))
-    return ML.regression_metrics(model.transform(te)).crossJoin(base).select(
-        (F.col("R2") > 0).alias("r2_above_0"), (F.col("MAE") < F.col("_base")).alias("beats_mean"))
+def _fit_report(tr, te, model, name):
+    """One row: the split's sizes and the error of the training mean (exact), and whether the fit's metrics beat it."""
+    mean = tr.agg(F.avg(S.TARGET).alias("_m"), F.count(F.lit(1)).alias("train_rows"))
+    base = te.crossJoin(F.broadcast(mean)).agg(F.first("train_rows").alias("train_rows"), F.count(F.lit(1)).alias("test_rows"),
+                                               F.avg(F.abs(F.col(S.TARGET) - F.col("_m"))).alias("baseline_mae"))
+    m = ML.metrics_frame(name, ML.regression_metrics(model.transform(te)))
+    return m.crossJoin(base).select(F.col("Model").alias("model"), "train_rows", "test_rows", F.round("baseline_mae", 6).alias("baseline_mae"),
+                                    (F.col("MAE") < F.col("baseline_mae")).alias("beats_mean"), (F.col("R2") > 0.5).alias("explains_half"),
+                                    (F.col("RMSE") >= F.col("MAE")).alias("rmse_above_mae"))
 
 
-LEARNED_SQL = "SELECT true AS r2_above_0, true AS beats_mean"
+_SPLIT = """sp AS (SELECT *, CAST('0x' || substr(md5(trip_uuid || '|42'), 1, 8) AS BIGINT) % 100 < 20 AS held FROM clean),
+base AS (SELECT (SELECT count(*) FROM sp WHERE NOT held) AS train_rows, count(*) AS test_rows,
+  avg(abs(actual_time - (SELECT avg(actual_time) FROM sp WHERE NOT held))) AS baseline_mae FROM sp WHERE held)"""
+
+
+def _fit_sql(*names):
+    return "SELECT t.m AS model, train_rows, test_rows, round(baseline_mae, 6) AS baseline_mae, true AS beats_mean, true AS explains_half, true AS rmse_above_mae " \
+           f"FROM base, (VALUES {', '.join(f'({n!r})' for n in names)}) t(m)"
 
 
 @query("train_eta")
 def q_train_eta(spark, sf):
     """Boosted trees on the 24 features."""
     tr, te, art = matrices(spark, sf)
-    return _learned(tr, te, ML.train_eta(tr, art.feature_columns, **CHECK_GBT))
+    return _fit_report(tr, te, ML.train_eta(tr, art.feature_columns, **CHECK_GBT), "GBT+graph")
+
+
+oracle("train_eta", _fit_sql("GBT+graph"), _SPLIT)
 
 
 @query("train_generic")
 def q_train_generic(spark, sf):
     tr, te, art = matrices(spark, sf)
-    return _learned(tr, te, ML.train_generic(tr, art.feature_columns, LinearRegression(featuresCol="features", labelCol=S.TARGET)))
+    return _fit_report(tr, te, ML.train_generic(tr, art.feature_columns, LinearRegression(featuresCol="features", labelCol=S.TARGET)), "any")
+
+
+oracle("train_generic", _fit_sql("any"), _SPLIT)
 
 
 @query("model_linear")
 def q_model_linear(spark, sf):
+    """A row per feature: least squares leaves residuals of the training rows that no feature is correlated with."""
     tr, te, art = matrices(spark, sf)
-    return _learned(tr, te, ML.model_linear(tr, art.feature_columns))
+    model = ML.model_linear(tr, art.feature_columns)
+    left = F.col(S.TARGET) - F.col("prediction")
+    fitted = model.transform(tr).select(left.alias("residual"), *art.feature_columns)
+    sums = fitted.agg(*[(F.abs(F.avg(F.col("residual") * F.col(c)) - F.avg("residual") * F.avg(c))
+                         / (1e-9 + F.stddev_pop("residual") * F.stddev_pop(c))).alias(c) for c in art.feature_columns]).first()
+    report = _fit_report(tr, te, model, "LinearRegression")
+    rows = spark.createDataFrame([(c, bool(v is None or v < 1e-6)) for c, v in sums.asDict().items()], "feature string, orthogonal boolean")
+    return rows.crossJoin(F.broadcast(report))
+
+
+oracle("model_linear", "SELECT f AS feature, true AS orthogonal, x.* FROM (" + _fit_sql("LinearRegression") + ") x, (VALUES "
+       + ", ".join(f"('{c}')" for c in FE.feature_list(CATS)) + ") v(f)", _SPLIT)
 
 
 @query("model_forest")
 def q_model_forest(spark, sf):
     tr, te, art = matrices(spark, sf)
-    return _learned(tr, te, ML.model_forest(tr, art.feature_columns, num_trees=20, max_depth=8))
+    return _fit_report(tr, te, ML.model_forest(tr, art.feature_columns, num_trees=20, max_depth=8), "RandomForest")
 
 
-for _key in ("train_eta", "train_generic", "model_linear", "model_forest"):
-    oracle(_key, LEARNED_SQL)
+oracle("model_forest", _fit_sql("RandomForest"), _SPLIT)
 
 
 @query("model_comparison")
 def q_model_comparison(spark, sf):
-    """Each model once, the one of least MAE marked best, all better than the mean."""
+    """A row per model: the split's sizes and baseline, metrics that beat it, the one of least error marked."""
     tr, te, art = matrices(spark, sf)
     feats = art.feature_columns
-    models = {"LinearRegression": ML.model_linear(tr, feats),
-              "RandomForest": ML.model_forest(tr, feats, num_trees=20, max_depth=8),
+    models = {"LinearRegression": ML.model_linear(tr, feats), "RandomForest": ML.model_forest(tr, feats, num_trees=20, max_depth=8),
               "GBT+graph": ML.train_eta(tr, feats, **CHECK_GBT)}
-    rows = ML.model_comparison(te, models)
-    return rows.agg(F.sort_array(F.collect_list("Model")).alias("m"), F.count_if("is_best").alias("best_rows"), F.min("MAE").alias("least"),
-                    F.max(F.when(F.col("is_best"), F.col("MAE"))).alias("best"), F.min("R2").alias("r2")).select(
-        F.array_join("m", ",").alias("models"), "best_rows", (F.col("least") == F.col("best")).alias("best_is_least"), (F.col("r2") > 0).alias("r2_above_0"))
+    rows = cut_lineage(ML.model_comparison(te, models))
+    least = rows.agg(F.min("MAE").alias("least"))
+    marked = rows.crossJoin(F.broadcast(least)).select(F.col("Model").alias("model"), (F.col("is_best") == (F.col("MAE") == F.col("least"))).alias("marked_right"))
+    reports = None
+    for name, m in models.items():
+        r = _fit_report(tr, te, m, name)
+        reports = r if reports is None else reports.unionByName(r)
+    return reports.join(marked, "model")
 
 
-oracle("model_comparison", """SELECT 'GBT+graph,LinearRegression,RandomForest' AS models, CAST(1 AS BIGINT) AS best_rows, true AS best_is_least,
-  true AS r2_above_0""")
+oracle("model_comparison", "SELECT *, true AS marked_right FROM (" + _fit_sql("LinearRegression", "RandomForest", "GBT+graph") + ")", _SPLIT)
 
 
 @query("graph_ablation")
 def q_graph_ablation(spark, sf):
-    """Both fits learn, and the gain is the difference of their errors."""
+    """A row per fit with its test rows; both learn, and the gain is the difference of their errors."""
     tr, te, art = matrices(spark, sf)
     base = [c for c in art.feature_columns if c not in S.GRAPH_FEATURES]
-    rows = ML.graph_ablation(tr, te, base, art.feature_columns, **CHECK_GBT)
-    return rows.agg(F.count(F.lit(1)).alias("fits"), F.min("R2").alias("r2"), F.max("mae_gain").alias("gain"),
-                    (F.max(F.when(F.col("Model").contains("no graph"), F.col("MAE"))) - F.max(F.when(F.col("Model").contains("+ graph"), F.col("MAE")))).alias("d")).select(
-        "fits", (F.col("r2") > 0).alias("r2_above_0"), (F.abs(F.col("gain") - F.col("d")) < 1e-6).alias("gain_is_difference"))
+    rows = cut_lineage(ML.graph_ablation(tr, te, base, art.feature_columns, **CHECK_GBT))
+    d = rows.agg((F.max(F.when(F.col("Model").contains("no graph"), F.col("MAE"))) - F.max(F.when(F.col("Model").contains("+ graph"), F.col("MAE")))).alias("d"))
+    n = te.agg(F.count(F.lit(1)).alias("test_rows"))
+    return rows.crossJoin(F.broadcast(d)).crossJoin(F.broadcast(n)).select(
+        F.col("Model").alias("model"), "test_rows", (F.col("R2") > 0.5).alias("explains_half"), (F.abs(F.col("mae_gain") - F.col("d")) < 1e-6).alias("gain_is_difference"))
 
 
-oracle("graph_ablation", "SELECT CAST(2 AS BIGINT) AS fits, true AS r2_above_0, true AS gain_is_difference")
+oracle("graph_ablation", """SELECT m AS model, test_rows, true AS explains_half, true AS gain_is_difference
+  FROM base, (VALUES ('GBT (no graph)'), ('GBT (+ graph)')) t(m)""", _SPLIT)
 
 
 @query("feature_importance")
 def q_feature_importance(spark, sf):
-    """20 features in falling order, shares of one, graph features marked."""
+    """A row per feature: mean gain of its splits, as shares of one in falling order; graph features marked."""
     tr, _, art = matrices(spark, sf)
-    rows = ML.feature_importance(ML.train_eta(tr, art.feature_columns, **CHECK_GBT), art.feature_columns)
-    return rows.agg(F.count(F.lit(1)).alias("features"), (F.min("importance") >= 0).alias("none_negative"),
-                    (F.sum("importance").between(0.5, 1 + 1e-9)).alias("shares_of_one"),
-                    F.min(F.col("is_graph_feature") == F.col("feature").isin(*S.GRAPH_FEATURES)).alias("graph_marked"))
+    rows = cut_lineage(EX.gain_importance(ML.train_eta(tr, art.feature_columns, **CHECK_GBT), art.feature_columns, spark))
+    total = rows.agg((F.abs(F.sum("importance") - 1) < 1e-9).alias("shares_of_one"))
+    return rows.crossJoin(F.broadcast(total)).select("feature", "is_graph_feature", ((F.col("importance") > 0) == (F.col("splits") > 0)).alias("gain_only_if_split"),
+                                                     "shares_of_one")
 
 
-oracle("feature_importance", "SELECT CAST(20 AS BIGINT) AS features, true AS none_negative, true AS shares_of_one, true AS graph_marked")
+oracle("feature_importance", "SELECT f AS feature, g AS is_graph_feature, true AS gain_only_if_split, true AS shares_of_one FROM (VALUES "
+       + ", ".join(f"('{c}', {str(c in S.GRAPH_FEATURES).lower()})" for c in FE.feature_list(CATS)) + ") v(f, g)")
 
 
 @query("explainability")
 def q_explainability(spark, sf):
-    """Permutation importance (re-aimed tree explainer) of all features: some feature matters, no error is missing."""
+    """A row per held-out segment: its contributions and the base add up to the model's prediction for it."""
     tr, te, art = matrices(spark, sf)
-    rows = ML.permutation_importance(ML.train_eta(tr, art.feature_columns, **CHECK_GBT), te, art.feature_columns)
-    return rows.agg(F.count("mae_increase").alias("features"), (F.max("mae_increase") > 0).alias("some_feature_matters"))
+    model = ML.train_eta(tr, art.feature_columns, **CHECK_GBT)
+    te = cut_lineage(te)
+    shown = EX.explain_rows(model, te, art.feature_columns, "segment_key")
+    both = shown.join(model.transform(te).select("segment_key", "prediction"), "segment_key")
+    total = F.aggregate("contributions", F.col("base"), lambda s, x: s + x)
+    return both.select("segment_key", F.size("contributions").alias("features"),
+                       (F.abs(total - F.col("prediction")) <= 1e-9 * (1 + F.abs("prediction"))).alias("adds_up"))
 
 
-oracle("explainability", f"SELECT CAST({len(FE.feature_list(CATS))} AS BIGINT) AS features, true AS some_feature_matters")
+oracle("explainability", f"SELECT segment_key, {len(FE.feature_list(CATS))} AS features, true AS adds_up FROM sp WHERE held", _SPLIT)
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, sf):
+    """A row per feature; one that no split uses does not change the error, and some feature does."""
+    tr, te, art = matrices(spark, sf)
+    model = ML.train_eta(tr, art.feature_columns, max_iter=5, max_depth=4)
+    rows = ML.permutation_importance(model, te, art.feature_columns)
+    used = EX.gain_importance(model, art.feature_columns, spark).select("feature", "splits")
+    some = rows.agg((F.max("mae_increase") > 0).alias("some_matters"))
+    return rows.join(used, "feature").crossJoin(F.broadcast(some)).select(
+        "feature", ((F.col("splits") > 0) | (F.abs("mae_increase") < 1e-9)).alias("unused_are_neutral"), "some_matters")
+
+
+oracle("permutation_importance", "SELECT f AS feature, true AS unused_are_neutral, true AS some_matters FROM (VALUES "
+       + ", ".join(f"('{c}')" for c in FE.feature_list(CATS)) + ") v(f)")
 
 
 @query("smoke_train")
@@ -222,10 +275,10 @@ def q_smoke_train(spark, sf):
     df = FE.build_ml_features(enrich_graph(add_trip_time_parts(clean_frame(spark, sf)), fixtures.hub_table(spark, sf)), CATS)
     feats = ["osrm_time", "osrm_distance", "segment_osrm_time", "segment_osrm_distance", "trip_hour_sin",
              "trip_hour_cos", "source_bottleneck_score", "destination_bottleneck_score", "same_community"]
-    return ML.smoke_train(df, feats, trees=10, depth=5).select((F.col("R2") > 0).alias("r2_above_0"))
+    return ML.smoke_train(df, feats, trees=10, depth=5).select(F.col("n").cast("bigint").alias("test_rows"), (F.col("R2") > 0.5).alias("explains_half"))
 
 
-oracle("smoke_train", "SELECT true AS r2_above_0")
+oracle("smoke_train", "SELECT test_rows, true AS explains_half FROM base", _SPLIT)
 
 
 @query("prepare_training")
@@ -242,47 +295,53 @@ oracle("prepare_training", "SELECT segment_key, " + ", ".join(f"round({c}, 6) AS
 
 # ---- stores and sources ---------------------------------------------------------------------
 
-def _saved_bundle(spark, sf, metrics):
-    _, _, art = split_features(spark, sf)
+def _trained_bundle(spark, sf):
+    """The production path on the segments: split, preprocessing, a few boosted trees, evaluation, saved bundle."""
+    from hubflow.plans.production import train_production
     path = files.scratch_path(spark, "bundle")
-    store.save_bundle(spark, path, PipelineModel([standin_model()]), art, standin_tables(spark, sf), metrics)
-    return path, art
+    return path, train_production(spark, clean_frame(spark, sf), path, standin_tables(spark, sf), **CHECK_GBT)
 
 
 @query("bundle_io")
 def q_bundle_io(spark, sf):
-    """Save model + artifact + hub tables + metrics, load it back, score with the loaded bundle."""
+    """Train, save, load: the loaded bundle scores every request as the fitted model does."""
     from hubflow.plans.production import score_with_bundle
-    path, art = _saved_bundle(spark, sf, {"MAE": 0.0})
+    path, trained = _trained_bundle(spark, sf)
     b = store.load_bundle(spark, path)
-    same = b["preprocessor"] == art
-    return round_doubles(score_with_bundle(spark, fixtures.requests(spark, sf), b).select(
-        "request_id", "predicted_eta", "risk_level", F.lit(same).alias("same_preprocessor")))
+    same = b["preprocessor"] == trained["preprocessor"]
+    req = fixtures.requests(spark, sf)
+    mine = score_with_bundle(spark, req, trained).select("request_id", F.col("predicted_eta").alias("p"), F.col("risk_level").alias("r"))
+    both = score_with_bundle(spark, req, b).join(mine, "request_id")
+    return round_doubles(both.select("request_id", "osrm_time", (F.col("predicted_eta") == F.col("p")).alias("same_prediction"),
+                                     F.col("risk_level").eqNullSafe(F.col("r")).alias("same_risk"), F.lit(same).alias("same_preprocessor")))
 
 
-oracle("bundle_io", """SELECT request_id, round(predicted_eta, 6) AS predicted_eta,
-  CASE WHEN pts >= 4 THEN 'CRITICAL' WHEN pts >= 3 THEN 'HIGH' WHEN pts >= 2 THEN 'MEDIUM' ELSE 'LOW' END AS risk_level,
-  true AS same_preprocessor FROM z""", HUBS, _FEAT_TR)
+oracle("bundle_io", """SELECT request_id, round(osrm_time, 6) AS osrm_time, true AS same_prediction, true AS same_risk, true AS same_preprocessor FROM z""",
+       HUBS, _FEAT_TR)
 
 
 @query("metadata_json")
 def q_metadata_json(spark, sf):
-    """Model type, number of features and metrics as the bundle's metadata names them."""
-    rows = clean_frame(spark, sf).count()
-    path, _ = _saved_bundle(spark, sf, {"rows": float(rows), "R2": 0.5})
-    return store.metadata_frame(spark, path).select("model_type", F.size("feature_columns").alias("features"), F.col("metrics")["rows"].alias("rows"),
-                                                    F.col("metrics")["R2"].alias("r2"), F.col("trained_at").isNotNull().alias("dated"))
+    """What the trained bundle's metadata says: model type, number of features, the split's sizes, metrics, date."""
+    path, trained = _trained_bundle(spark, sf)
+    m = F.col("metrics")
+    return store.metadata_frame(spark, path).select(
+        "model_type", F.size("feature_columns").alias("features"), m["train_rows"].alias("train_rows"), m["test_rows"].alias("test_rows"),
+        (m["R2"] > 0.5).alias("explains_half"), (m["MAE"] == trained["metrics"]["MAE"]).alias("same_mae"), F.col("trained_at").isNotNull().alias("dated"))
 
 
 oracle("metadata_json", f"""SELECT 'GBTRegressor' AS model_type, CAST({len(FE.feature_list(CATS))} AS INT) AS features,
-  CAST(count(*) AS DOUBLE) AS rows, CAST(0.5 AS DOUBLE) AS r2, true AS dated FROM clean""")
+  CAST(train_rows AS DOUBLE) AS train_rows, CAST(test_rows AS DOUBLE) AS test_rows, true AS explains_half, true AS same_mae, true AS dated FROM base""", _SPLIT)
 
 
 @query("graph_tables_io")
 def q_graph_tables_io(spark, sf):
+    """A reader that pins a version keeps it when a newer one is published."""
     path = files.scratch_path(spark, "hubs")
-    store.persist_graph_tables(spark, standin_tables(spark, sf), path)
-    back = store.load_graph_tables(spark, path)
+    tables = standin_tables(spark, sf)
+    version = store.publish_graph_tables(spark, tables, path)
+    store.publish_graph_tables(spark, {k: v.limit(0) for k, v in tables.items()}, path)
+    back = store.load_graph_tables(spark, path, version)
     return round_doubles(back["pagerank"].join(back["bottleneck"].select("hub_id", "bottleneck_score"), "hub_id"))
 
 
@@ -292,14 +351,14 @@ oracle("graph_tables_io", "SELECT hub_id, round(pagerank, 6) AS pagerank, round(
 
 @query("load_or_build_graph")
 def q_load_or_build_graph(spark, sf):
-    """Where the hub tables come from (fresh store, exports, rebuild) and how many hubs of the segments they cover."""
+    """Where the hub tables come from (fresh store, exports, a rebuild of the segments' network) and how many hubs they cover."""
     from hubflow.operators.joins import hub_coverage
     seg, tables = clean_frame(spark, sf), standin_tables(spark, sf)
     home, exports = files.scratch_path(spark, "hubs"), files.scratch_path(spark, "exports")
     store.persist_graph_tables(spark, tables, home)
     store.save_graph_exports(tables, exports)
     out = None
-    for wanted, given in (("store", {"store": home, "exports": exports}), ("exports", {"exports": exports}), ("built", {"build": lambda _: tables})):
+    for wanted, given in (("store", {"store": home, "exports": exports}), ("exports", {"exports": exports}), ("built", {})):
         found, origin = store.load_or_build_graph(spark, seg, **given)
         row = hub_coverage(seg, found["pagerank"]).select(F.lit(wanted).alias("wanted"), F.lit(origin).alias("origin"), "coverage",
                                                           F.lit(found["pagerank"].count()).alias("hubs"))

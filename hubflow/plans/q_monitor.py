@@ -81,21 +81,23 @@ oracle("retrain_window", """SELECT route_type, count(*) AS rows FROM clean
 
 @query("graph_staleness")
 def q_graph_staleness(spark, sf):
-    """A fresh snapshot is used, the same one dated ten days back is stale and rebuilt; rows of the table used."""
+    """A fresh snapshot is used, the same one dated ten days back is stale: the tables are rebuilt from the segments and
+    published as the next version; rows of the table used, versions in the store."""
     from hubflow.plans.q_ml import standin_tables
     seg, tables, out = clean_frame(spark, sf), standin_tables(spark, sf), None
     for days in (0, 10):
         path, built = files.scratch_path(spark, "hubs"), datetime.now(timezone.utc) - timedelta(days=days)
         store.persist_graph_tables(spark, tables, path, built_at=built)
-        found, origin = store.load_or_build_graph(spark, seg, store=path, build=lambda _: tables)
+        found, origin = store.load_or_build_graph(spark, seg, store=path)
         row = found["pagerank"].agg(F.count(F.lit(1)).alias("hubs")).select(
-            F.lit(days).alias("days"), F.lit(bool(MO.graph_staleness(built)["stale"])).alias("stale"), F.lit(origin).alias("origin"), "hubs")
+            F.lit(days).alias("days"), F.lit(bool(MO.graph_staleness(built)["stale"])).alias("stale"), F.lit(origin).alias("origin"), "hubs",
+            F.lit(len(store.graph_versions(spark, path))).alias("versions"))
         out = row if out is None else out.unionByName(row)
     return out
 
 
 oracle("graph_staleness", """SELECT d AS days, d > 7 AS stale, CASE WHEN d > 7 THEN 'built' ELSE 'store' END AS origin,
-  (SELECT count(*) FROM hubs) AS hubs FROM (VALUES (0), (10)) t(d)""", HUBS)
+  (SELECT count(*) FROM hubs) AS hubs, CASE WHEN d > 7 THEN 2 ELSE 1 END AS versions FROM (VALUES (0), (10)) t(d)""", HUBS)
 
 
 @query("inference_log")
@@ -130,10 +132,14 @@ def _scored_stream(spark, sf):
 
 @query("stream_score")
 def q_stream_score(spark, sf):
-    out, ck = files.scratch_path(spark, "stream-out"), files.scratch_path(spark, "stream-ck")
-    ST.run_to_parquet(_scored_stream(spark, sf).select("request_id", "predicted_eta", "risk_level", "bottleneck_warning"),
-                      out, ck)
-    return round_doubles(files.load_parquet(spark, out))
+    """Requests scored in micro-batches with a pinned version of the published hub tables."""
+    from hubflow.plans.q_ml import standin_tables
+    out, ck, home = files.scratch_path(spark, "stream-out"), files.scratch_path(spark, "stream-ck"), files.scratch_path(spark, "hubs")
+    store.publish_graph_tables(spark, standin_tables(spark, sf), home)
+    _, _, art = split_features(spark, sf)
+    ST.run_scored(ST.read_requests(spark, _request_files(spark, sf)), standin_model(), art, home, out, ck,
+                  ["request_id", "predicted_eta", "risk_level", "bottleneck_warning"])
+    return round_doubles(files.load_parquet(spark, out).drop("batch"))
 
 
 oracle("stream_score", """SELECT request_id, round(predicted_eta, 6) AS predicted_eta,

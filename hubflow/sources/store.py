@@ -1,15 +1,21 @@
 """Persisted hub feature store and model bundle.
 
-Hub tables are written as a timestamped snapshot of four Parquet tables; the bundle is a Spark ML
-``PipelineModel`` directory next to its preprocessing artifact and metrics as one-row JSON.
+Hub tables are published as versions: four Parquet tables in a folder of their own under ``data``, then, last, one
+manifest under ``log`` that names the version, its folder and its time.  A version exists once its manifest does: a
+write that breaks before leaves nothing that a reader would find, no version is ever changed, and readers that
+pin a version keep it while newer ones appear.  Two writers of one version number cannot both commit; the later one takes the next number.
+
+The bundle is a Spark ML ``PipelineModel`` directory next to its preprocessing artifact and metrics as one-row JSON.
 Everything is written with Spark writers, so the same code targets local disks or object stores.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,29 +40,61 @@ EXPORT_COLUMNS = {"pagerank": ["hub_id", "pagerank"], "degree": ["hub_id", "degr
                   "communities": ["hub_id", "community_id", "community_size"]}
 
 
-def _write_json_row(spark: SparkSession, path: str, payload: dict) -> None:
+def _write_json_row(spark: SparkSession, path: str, payload: dict, mode: str = "overwrite") -> None:
     spark.createDataFrame([(json.dumps(payload, sort_keys=True),)], "value string").coalesce(1) \
-         .write.mode("overwrite").text(path)
+         .write.mode(mode).text(path)
 
 
 def _read_json_row(spark: SparkSession, path: str) -> dict:
     return json.loads(spark.read.text(path).first()["value"])
 
 
-def persist_graph_tables(spark: SparkSession, tables: dict, path: str, built_at: datetime | None = None) -> str:
+def graph_versions(spark: SparkSession, path: str) -> list[dict]:
+    """Manifests of the committed versions, oldest first (one small row for each publication)."""
+    if not _fs_exists(spark, f"{path}/log"):
+        return []
+    rows = spark.read.option("recursiveFileLookup", "true").text(f"{path}/log").collect()
+    return sorted((json.loads(r["value"]) for r in rows), key=lambda m: m["version"])
+
+
+def graph_version(spark: SparkSession, path: str, version: int | None = None) -> dict:
+    """Manifest of a version, by default of the newest."""
+    found = [m for m in graph_versions(spark, path) if version is None or m["version"] == version]
+    if not found:
+        raise FileNotFoundError(f"no hub tables {'' if version is None else f'of version {version} '}under {path}")
+    return found[-1]
+
+
+def publish_graph_tables(spark: SparkSession, tables: dict, path: str, built_at: datetime | None = None, attempts: int = 5) -> int:
+    """Writes the tables and commits them as the next version, which is returned."""
+    folder = f"data/{uuid.uuid4().hex}"
     for name, df in tables.items():
-        df.write.mode("overwrite").parquet(f"{path}/{name}")
+        df.write.parquet(f"{path}/{folder}/{name}")
     ts = (built_at or datetime.now(timezone.utc)).isoformat()
-    _write_json_row(spark, f"{path}/_meta", {"built_at": ts})
+    for _ in range(attempts):
+        version = max((m["version"] for m in graph_versions(spark, path)), default=0) + 1
+        try:
+            _write_json_row(spark, f"{path}/log/{version:08d}", {"version": version, "folder": folder, "built_at": ts, "tables": sorted(tables)}, "errorifexists")
+            return version
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_ALREADY_EXISTS":
+                raise
+    raise RuntimeError(f"could not commit a version under {path} in {attempts} attempts")
+
+
+def persist_graph_tables(spark: SparkSession, tables: dict, path: str, built_at: datetime | None = None) -> str:
+    publish_graph_tables(spark, tables, path, built_at)
     return path
 
 
-def load_graph_tables(spark: SparkSession, path: str) -> dict:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in HUB_TABLES}
+def load_graph_tables(spark: SparkSession, path: str, version: int | None = None) -> dict:
+    """The tables of a version (default: the newest); later publications do not change them."""
+    folder = graph_version(spark, path, version)["folder"]
+    return {name: spark.read.parquet(f"{path}/{folder}/{name}") for name in HUB_TABLES}
 
 
-def graph_snapshot_age_days(spark: SparkSession, path: str, now: datetime | None = None) -> float:
-    built = datetime.fromisoformat(_read_json_row(spark, f"{path}/_meta")["built_at"])
+def graph_snapshot_age_days(spark: SparkSession, path: str, now: datetime | None = None, version: int | None = None) -> float:
+    built = datetime.fromisoformat(graph_version(spark, path, version)["built_at"])
     return ((now or datetime.now(timezone.utc)) - built).total_seconds() / 86400
 
 
@@ -80,7 +118,7 @@ def load_or_build_graph(spark: SparkSession, segments: DataFrame, store: str | N
                         exports: str | None = None, max_age_days: float = 7.0, build=None) -> tuple[dict, str]:
     """Persisted store (if fresh and covering) -> analyst exports (if covering) -> rebuild.
 
-    Returns (tables, origin).  Unlike the reference, a stored snapshot must also pass the age
+    Returns (tables, origin); rebuilt tables are published as the store's next version.  Unlike the reference, a stored snapshot must also pass the age
     and coverage checks.
     """
     from hubflow.operators.joins import hub_coverage
@@ -89,9 +127,10 @@ def load_or_build_graph(spark: SparkSession, segments: DataFrame, store: str | N
         cov = hub_coverage(segments, tables["pagerank"]).first()["coverage"]
         return cov >= S.GRAPH_COVERAGE_THRESHOLD
 
-    if store and _fs_exists(spark, f"{store}/_meta"):
-        tables = load_graph_tables(spark, store)
-        if graph_snapshot_age_days(spark, store) <= max_age_days and covers(tables):
+    if store and (known := graph_versions(spark, store)):
+        newest = known[-1]["version"]
+        tables = load_graph_tables(spark, store, newest)
+        if graph_snapshot_age_days(spark, store, version=newest) <= max_age_days and covers(tables):
             return tables, "store"
     if exports and all(_fs_exists(spark, f"{exports}/{f}.csv") for f in EXPORT_FILES.values()):
         tables = load_graph_tables_from_exports(spark, exports)
@@ -107,6 +146,8 @@ def load_or_build_graph(spark: SparkSession, segments: DataFrame, store: str | N
         tables = lane_graph_tables(edges)
     else:
         tables = build(segments)
+    if store:
+        tables = load_graph_tables(spark, store, publish_graph_tables(spark, tables, store))
     return tables, "built"
 
 

@@ -92,6 +92,28 @@ def test_traffic_selfloop(graph):
     assert t["a"] == 5 and t["b"] == 1
 
 
+def test_heavy_hubs_are_split_over_mirrors(graph):
+    edges = [("hot", f"x{i}", 1 + i % 3) for i in range(300)] + [(f"x{i}", "hot", 1) for i in range(300)] + random_lanes(50, 100, 3)
+    e = graph(edges)
+    split, copies = G.mirrors(e, "u", "v", 20)
+    assert as_map(copies, "u", "mirrors")["hot"] == 15
+    most = split.repartition("u", "mirror").groupBy("u", "mirror").count().agg(F.max("count")).first()[0]
+    assert most < 60 and split.count() == e.count()  # no mirror holds more than a small part of the 300 lanes
+    a, b = (as_map(IT.pagerank(e, heavy=k), "hub_id", "pagerank") for k in (20, 10**6))
+    assert a == pytest.approx(b)
+    c, d = (as_map(CM.louvain(e, heavy=k), "hub_id", "community") for k in (20, 10**6))
+    assert c == d
+
+
+def test_communities_are_connected(graph):
+    # two pairs that only a hub of another community joins
+    e = graph(TWO_CLIQUES)
+    und = G.undirected_projection(e).select("a", "b", F.col("weight").cast("double").alias("w"))
+    comm = G.vertices(e).select(F.col("hub_id").alias("i"), F.when(F.col("hub_id").isin("p0", "q0"), F.lit("m")).otherwise(F.lit("z")).alias("c"))
+    got = as_map(CM._connected(und, comm), "i", "c")
+    assert got == {"p0": "p0", "q0": "p0", **{f"p{i}": "p1" for i in (1, 2, 3)}, **{f"q{i}": "q1" for i in (1, 2, 3)}}
+
+
 def test_pagerank_cycle_and_dangling(graph):
     p = as_map(IT.pagerank(graph(CYCLE3)), "hub_id", "pagerank")
     assert all(v == pytest.approx(1 / 3, abs=1e-6) for v in p.values())
