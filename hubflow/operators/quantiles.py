@@ -19,7 +19,8 @@ def grouped_quantiles(df: DataFrame, keys: list[str], value: str, probabilities:
     """keys, q: array with a double for each probability.  Null and non-finite values do not count; groups without
     values have no row.  Null keys form a group."""
     rows = df.select(*keys, finite_or_null(F.col(value).cast("double")).alias("_x")).filter("_x is not null")
-    counted = cut_lineage(rows.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_n")))
+    counted = rows.groupBy(*keys, "_x").agg(F.count(F.lit(1)).alias("_n"))
+    # the ranges are read twice below: written once; finding their bounds reads the counted values' shuffle, not the rows
     ranged = cut_lineage(counted.repartitionByRange(*keys, "_x").withColumn("_part", F.spark_partition_id()))
     sums = ranged.groupBy(*keys, "_part").agg(F.sum("_n").alias("_sum"))
     inside = Window.partitionBy(*keys, "_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)

@@ -63,11 +63,12 @@ def run_scored(requests: DataFrame, model, artifact, store_path: str, out: str,
     """Drains what is available, scores it batch by batch, returns the version of the hub tables that was used."""
     spark = requests.sparkSession
     version = pinned_version(spark, store_path, checkpoint)
-    hubs = hub_feature_table(store.load_graph_tables(spark, store_path, version))
+    hubs = hub_feature_table(store.load_graph_tables(spark, store_path, version)).persist()
     dedup = requests.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
     q = (dedup.writeStream.foreachBatch(lambda batch, n: write_batch(predict_batch(batch, model, artifact, hubs).select(*columns), out, n))
          .option("checkpointLocation", f"{checkpoint}/query").trigger(availableNow=True).start())
     q.awaitTermination()
+    hubs.unpersist()
     return version
 
 
