@@ -140,8 +140,11 @@ def plan_resharding(layout: DataFrame, shards: int, cost=None) -> tuple[DataFram
 
 
 def with_block(layout: DataFrame, alone: int) -> DataFrame:
-    """Documents above ``alone`` bytes are blocks of their own (negative hash), others share BLOCKS classes."""
-    h = F.xxhash64("doc_id", "size")
+    """Documents above ``alone`` bytes are blocks of their own (negative hash), others share BLOCKS classes.
+
+    A layout's ``mark``, if it has one, tells rows with equal or no doc_id apart, so that many of them are many blocks.
+    """
+    h = F.xxhash64("doc_id", "size", *["mark"] * ("mark" in layout.columns))
     return layout.withColumn("block", F.when(F.col("size") > alone, -(F.shiftrightunsigned(h, 1)) - 1)
                              .otherwise(F.pmod(h, F.lit(BLOCKS)).cast("long")))
 
@@ -150,7 +153,7 @@ def reshard(spark: SparkSession, folder: str, schema, shards: int, cost=None) ->
     """Evens out a layout written by ``write_layout``: plans, rewrites the shards that give, returns the new
     layout (``shard`` is the new one, ``old_shard`` the one before)."""
     old = read_layout(spark, folder, schema)
-    plan, alone = plan_resharding(old.select("doc_id", "size", "shard"), shards, cost)
+    plan, alone = plan_resharding(old.drop("text"), shards, cost)
     plan = F.broadcast(plan)  # at most shards * BLOCKS classes and as many documents above a thousandth of a shard
     givers = [r[0] for r in plan.filter("shard <> new_shard").select("shard").distinct().orderBy("shard").collect()]
     giving = F.col("shard").isin(givers)
@@ -171,7 +174,7 @@ def shard_documents(docs: DataFrame, shards: int = 16, old_shards: int = 16) ->
     """
     spark = docs.sparkSession
     first = sized(docs.select("doc_id", "text", "source")).withColumn(
-        "shard", F.pmod(F.xxhash64("source"), F.lit(old_shards)).cast("int"))
+        "shard", F.pmod(F.xxhash64("source"), F.lit(old_shards)).cast("int")).withColumn("mark", F.monotonically_increasing_id())
     folder = work_dir(spark, "shards")
     write_layout(first, folder)
     layout = reshard(spark, folder, first.schema, shards)

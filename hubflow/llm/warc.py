@@ -35,6 +35,10 @@ RECORDS = ("path string, frame_offset long, record_id string, record_type string
            "payload_bytes long, payload_digest string, payload binary")
 
 
+#: Bytes that a frame's decoder is given at a time.
+PIECE = 4096
+
+
 class BadRecord(ValueError):
     pass
 
@@ -117,48 +121,48 @@ def frames(stream, chunk: int = 1 << 20):
     """(offset, decoded bytes) of each frame of a stream; loads the dictionary of the leading skippable frame."""
     import zstandard as zstd
 
-    data, offset, dictionary, leading = b"", 0, None, True
+    data, at, offset, leading = b"", 0, 0, True  # offset: of data[at] in the archive
     decoder = zstd.ZstdDecompressor()
 
     def more(need: int) -> bool:
-        nonlocal data
-        while len(data) < need:
-            if not (got := stream.read(max(chunk, need - len(data)))):
+        """At least ``need`` bytes from ``at`` on; what lies before is dropped when a chunk is added."""
+        nonlocal data, at
+        while len(data) - at < need:
+            if not (got := stream.read(max(chunk, need - (len(data) - at)))):
                 return False
-            data += got
+            data, at = data[at:] + got, 0
         return True
 
-    while more(4) or data:
-        if len(data) < 4:
-            raise BadRecord(f"{len(data)} stray bytes at {offset}")
-        magic = struct.unpack("<I", data[:4])[0]
+    while more(4) or at < len(data):
+        if len(data) - at < 4:
+            raise BadRecord(f"{len(data) - at} stray bytes at {offset}")
+        magic = struct.unpack_from("<I", data, at)[0]
         if magic & 0xFFFFFFF0 == 0x184D2A50:
-            if not more(8) or not more(8 + struct.unpack("<I", data[4:8])[0]):
+            if not more(8) or not more(8 + struct.unpack_from("<I", data, at + 4)[0]):
                 raise BadRecord(f"skippable frame cut off at {offset}")
-            size = struct.unpack("<I", data[4:8])[0]
+            size = struct.unpack_from("<I", data, at + 4)[0]
             if leading and magic == DICTIONARY_MAGIC:
-                raw = data[8:8 + size]
+                raw = data[at + 8:at + 8 + size]
                 dictionary = zstd.ZstdCompressionDict(zstd.ZstdDecompressor().decompress(raw) if raw[:4] == FRAME_MAGIC else raw)
                 decoder = zstd.ZstdDecompressor(dict_data=dictionary)
-            data, offset, leading = data[8 + size:], offset + 8 + size, False
+            at, offset, leading = at + 8 + size, offset + 8 + size, False
             continue
         leading = False
-        if data[:4] != FRAME_MAGIC:
+        if data[at:at + 4] != FRAME_MAGIC:
             raise BadRecord(f"no frame at {offset}")
         one, out, used = decoder.decompressobj(), [], 0
         try:
-            while True:
-                out.append(one.decompress(data))
-                used += len(data)
-                if one.eof:
-                    break
-                if not (data := stream.read(chunk)):
+            while not one.eof:
+                if at == len(data) and not more(1):
                     raise BadRecord(f"frame cut off at {offset}")
+                piece = memoryview(data)[at:at + PIECE]  # what the decoder leaves over is at most a piece
+                out.append(one.decompress(piece))
+                taken = len(piece) - len(one.unused_data)
+                at, used = at + taken, used + taken
         except zstd.ZstdError as e:
             raise BadRecord(f"frame at {offset}: {e}") from e
-        data = one.unused_data
         yield offset, b"".join(out)
-        offset += used - len(data)
+        offset += used
 
 
 def parse(data: bytes, offset: int = 0) -> tuple[dict, bytes]:
