@@ -22,9 +22,9 @@ PRETOKENS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+|
 PLAIN = re.compile("[\x00-\x1b -ɏ‐-‧‰-⁞€]*")
 RUNS = re.compile(r" ?\S+|\s+(?!\S)|\s+")
 SEPARATORS = re.compile("[\x1c-\x1f]")
-#: Pieces longer than this are not kept.  A worker keeps this many pieces (some 200 bytes each), the first ones it
+#: Pieces longer than this are not kept.  A worker keeps this many pieces (some 130 bytes each), the first ones it
 #: meets, frequent ones among them; it starts anew after MISSES times as many that it could not keep.
-KEPT_CHARS, KEPT_PIECES, MISSES = 40, 200_000, 8
+KEPT_CHARS, KEPT_PIECES, MISSES = 40, 600_000, 8
 #: Characters beyond which a text is cut into pieces little by little, and pieces taken at a time then.
 LONG_TEXT, AT_ONCE = 1 << 18, 1 << 16
 
