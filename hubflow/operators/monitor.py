@@ -83,6 +83,51 @@ def retrain_window(df: DataFrame, ts: str = "trip_creation_time", days: int = 90
               .filter(F.col(ts) > F.col("_mx") - F.expr(f"INTERVAL {int(days)} DAYS")).drop("_mx"))
 
 
+# ---- rolling lane network: a day is added, a day is dropped ---------------------------------------
+
+LANE = ["source_center", "destination_center"]
+_SUMMED = {"delay": "segment_delay_ratio", "actual": "segment_actual_time", "osrm": "segment_osrm_time"}
+
+
+def lane_day_partials(df: DataFrame, ts: str = "trip_creation_time") -> DataFrame:
+    """One row per lane and day: segments, and for each mean its sum and count; a table that days are appended to.
+
+    Rows without a hub or a time belong to no lane or day and are left out.
+    """
+    rows = df.filter(F.col(LANE[0]).isNotNull() & F.col(LANE[1]).isNotNull() & F.col(ts).isNotNull()).withColumn("day", F.to_date(ts))
+    sums = [x for name, c in _SUMMED.items() for x in (F.coalesce(F.sum(c), F.lit(0.0)).alias(f"{name}_sum"), F.count(c).alias(f"{name}_n"))]
+    return rows.groupBy(*LANE, "day").agg(F.count(F.lit(1)).alias("weight"), *sums)
+
+
+def _numbers(partials: DataFrame) -> list[str]:
+    return [c for c in partials.columns if c not in (*LANE, "day")]
+
+
+def window_sums(partials: DataFrame, last_day, days: int = 90) -> DataFrame:
+    """Lanes of the ``days`` days up to and with ``last_day``, summed from the day partials."""
+    inside = (F.col("day") <= F.lit(last_day)) & (F.col("day") > F.date_sub(F.lit(last_day), days))
+    return partials.filter(inside).groupBy(*LANE).agg(*[F.sum(c).alias(c) for c in _numbers(partials)])
+
+
+def roll_window(window: DataFrame, partials: DataFrame, from_day, to_day, days: int = 90) -> DataFrame:
+    """The window that ends at ``from_day`` moved on to ``to_day``: the days between are added, as many at its start are
+    subtracted, so only those days' partials are read.  A lane whose last segment left the window goes."""
+    names = _numbers(partials)
+    day, old, new = F.col("day"), F.lit(from_day), F.lit(to_day)
+    came = (day > old) & (day <= new) & (day > F.date_sub(new, days))
+    went = (day > F.date_sub(old, days)) & (day <= F.date_sub(new, days)) & (day <= old)
+    change = partials.filter(came | went).select(*LANE, *[F.when(came, F.col(c)).otherwise(-F.col(c)).alias(c) for c in names])
+    moved = window.select(*LANE, *names).unionByName(change).groupBy(*LANE).agg(*[F.sum(c).alias(c) for c in names])
+    return moved.filter("weight > 0")
+
+
+def window_lanes(window: DataFrame) -> DataFrame:
+    """(u, v, weight, avg_delay, avg_actual_time, avg_osrm_time) of summed lanes, as the full aggregation gives them."""
+    mean = lambda name: F.when(F.col(f"{name}_n") > 0, F.col(f"{name}_sum") / F.col(f"{name}_n"))
+    return window.select(F.col(LANE[0]).alias("u"), F.col(LANE[1]).alias("v"), "weight", mean("delay").alias("avg_delay"),
+                         mean("actual").alias("avg_actual_time"), mean("osrm").alias("avg_osrm_time"))
+
+
 def inference_log(scored: DataFrame, model_version: str, graph_built_at: str,
                   inputs=("source_center", "destination_center", "osrm_distance", "trip_hour", "route_type")) -> DataFrame:
     """Audit rows: inputs, prediction, risk, model version and graph snapshot date."""

@@ -12,6 +12,7 @@ from hubflow.operators.score import attach_risk
 from hubflow.plans.common import clean_frame, query, round_doubles
 from hubflow.plans.oracle import HUBS, RISK, oracle
 from hubflow.plans.q_ml import _FEAT_TR, split_features, standin_model
+from hubflow.session import cut_lineage
 from hubflow.sources import files, fixtures, store
 from hubflow.streaming import scoring as ST
 
@@ -79,6 +80,28 @@ oracle("retrain_window", """SELECT route_type, count(*) AS rows FROM clean
   WHERE trip_creation_time > (SELECT max(trip_creation_time) FROM clean) - INTERVAL 90 DAY GROUP BY route_type""")
 
 
+@query("rolling_lane_graph")
+def q_rolling_lane_graph(spark, sf):
+    """The 90-day lane network of the last day, rolled on from a week before: days added and dropped, nothing rebuilt."""
+    path = files.scratch_path(spark, "lane-days")
+    MO.lane_day_partials(clean_frame(spark, sf)).repartitionByRange("day").write.parquet(path)  # files hold ranges of days
+    partials = files.load_parquet(spark, path)
+    last = partials.agg(F.max("day")).first()[0]
+    day = last - timedelta(days=7)
+    window = MO.window_sums(partials, day)
+    for step in (3, 1, 3):
+        window = cut_lineage(MO.roll_window(window, partials, day, day + timedelta(days=step)))
+        day += timedelta(days=step)
+    return round_doubles(MO.window_lanes(window))
+
+
+oracle("rolling_lane_graph", """SELECT source_center AS u, destination_center AS v, count(*) AS weight, round(avg(segment_delay_ratio), 6) AS avg_delay,
+  round(avg(segment_actual_time), 6) AS avg_actual_time, round(avg(segment_osrm_time), 6) AS avg_osrm_time FROM clean
+  WHERE source_center IS NOT NULL AND destination_center IS NOT NULL
+  AND CAST(trip_creation_time AS DATE) > (SELECT CAST(max(trip_creation_time) AS DATE) FROM clean WHERE source_center IS NOT NULL AND destination_center IS NOT NULL) - 90
+  GROUP BY 1, 2""")
+
+
 @query("graph_staleness")
 def q_graph_staleness(spark, sf):
     """A fresh snapshot is used, the same one dated ten days back is stale: the tables are rebuilt from the segments and
