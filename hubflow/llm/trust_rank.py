@@ -3,14 +3,16 @@
 Rules judge a url by its host and path, the longest fitting rule wins.  Where no rule fits, the host's place in the
 link graph decides: trust is personalised PageRank from the hosts of allowed pages along the links, distrust is
 personalised PageRank from the hosts of blocked pages against the links (who links to blocked hosts
-inherits).  Both are compared with what a host of its place has anyway: the same propagation from all pages.  A host's
+inherits).  Both are compared with what a host of its place has anyway: the same propagation from all hosts with pages
+alike, however many they have.  A host's
 relative distrust is its share of all distrust over its share of that usual score, likewise its relative trust.  With
 the usual as a third part, suspicion is relative distrust / (1 + relative trust + relative distrust): a trace of
 distrust is little suspicion even where there is no trust.  A host above ``threshold`` is blocked.
 
 The threshold is calibrated on hosts with rule pages: a fifth of the hosts (by hash) lends no seeds to a second pair
 of scores, and the threshold is taken that tells their blocked from their allowed pages best (the mean of the two
-shares recovered; nearest to 0.5 if several do; 0.5 if the held-out hosts lack one kind).
+shares recovered; nearest to a third if several do; a third, which is half the usual distrust and no trust, if the held-out
+hosts lack one kind).
 
 Host edges: the links of a host's pages to other hosts (a host's links to itself, as all relative ones, say nothing of
 its standing), and, as tables may hold few links between hosts, a weak edge between a host and its parent domain, up
@@ -38,9 +40,10 @@ RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Scores: their seeds' column and whether they run along the links.
 SIDES = {"trust": ("trusted", True), "distrust": ("blocked", False)}
-ALL_SIDES = SIDES | {"usual_along": ("pages", True), "usual_against": ("pages", False), "trust_held": ("trusted_kept", True), "distrust_held": ("blocked_kept", False)}
+ALL_SIDES = SIDES | {"usual_along": ("site", True), "usual_against": ("site", False), "trust_held": ("trusted_kept", True), "distrust_held": ("blocked_kept", False)}
 #: Rounds in one written table, one host of how many is held out, thresholds tried (in hundredths).
 STEPS, HELD_OUT, GRID = 5, 5, range(5, 100, 5)
+UNCALIBRATED = 1 / 3
 HREF = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -146,9 +149,9 @@ def calibrated(scores: DataFrame, totals: dict) -> tuple[float, float | None]:
                        *[F.sum(F.when(F.col("x") > g / 100, F.col("blocked")).otherwise(0)).alias(f"b{g}") for g in GRID],
                        *[F.sum(F.when(F.col("x") <= g / 100, F.col("trusted")).otherwise(0)).alias(f"t{g}") for g in GRID]).first()
     if not row["t"] or not row["b"]:
-        return 0.5, None
+        return UNCALIBRATED, None
     right = {g: (row[f"b{g}"] / row["b"] + row[f"t{g}"] / row["t"]) / 2 for g in GRID}
-    best = max(GRID, key=lambda g: (right[g], -abs(g - 50), -g))
+    best = max(GRID, key=lambda g: (right[g], -abs(g / 100 - UNCALIBRATED), -g))
     return best / 100, right[best]
 
 
@@ -161,7 +164,7 @@ def host_scores(pages: DataFrame, rules=RULES, damping: float = 0.85, tolerance:
     ends = edges.select(F.explode(F.array("u", "v")).alias("host"), zero.alias("trusted"), zero.alias("blocked"), zero.alias("pages"))
     held_out = F.crc32(F.encode("host", "UTF-8")) % HELD_OUT == 0
     nodes = written(hosts.union(ends).groupBy("host").agg(F.sum("trusted").alias("trusted"), F.sum("blocked").alias("blocked"), F.sum("pages").alias("pages"))
-                    .withColumn("held", held_out).withColumn("trusted_kept", F.when(held_out, 0).otherwise(F.col("trusted")))
+                    .withColumn("site", (F.col("pages") > 0).cast("int")).withColumn("held", held_out).withColumn("trusted_kept", F.when(held_out, 0).otherwise(F.col("trusted")))
                     .withColumn("blocked_kept", F.when(held_out, 0).otherwise(F.col("blocked"))), "host-nodes")
     columns = {c for c, _ in ALL_SIDES.values()}
     sums = nodes.agg(*[F.sum(c).alias(c) for c in columns]).first()
