@@ -11,7 +11,7 @@ from hubflow.operators import monitor as MO
 from hubflow.operators.score import attach_risk
 from hubflow.plans.common import clean_frame, query, round_doubles
 from hubflow.plans.oracle import HUBS, RISK, oracle
-from hubflow.plans.q_ml import _FEAT_TR, split_features, standin_model
+from hubflow.plans.q_ml import _FEAT_TR, fitted, standin_model
 from hubflow.session import cut_lineage
 from hubflow.sources import files, fixtures, store
 from hubflow.streaming import scoring as ST
@@ -125,9 +125,9 @@ oracle("graph_staleness", """SELECT d AS days, d > 7 AS stale, CASE WHEN d > 7 T
 
 @query("inference_log")
 def q_inference_log(spark, sf):
-    _, _, art = split_features(spark, sf)
+    art, hubs = fitted(spark, sf)
     from hubflow.operators.score import predict_batch
-    scored = predict_batch(fixtures.requests(spark, sf), standin_model(), art, fixtures.hub_table(spark, sf))
+    scored = predict_batch(fixtures.requests(spark, sf), standin_model(), art, hubs)
     path = files.scratch_path(spark, "inference-log")
     log = MO.inference_log(scored, "standin-v1", "snapshot")
     MO.append_inference_log(log, path)
@@ -148,9 +148,9 @@ def _request_files(spark, sf) -> str:
 
 
 def _scored_stream(spark, sf):
-    _, _, art = split_features(spark, sf)
+    art, hubs = fitted(spark, sf)
     src = ST.read_requests(spark, _request_files(spark, sf))
-    return ST.stream_score(src, standin_model(), art, fixtures.hub_table(spark, sf))
+    return ST.stream_score(src, standin_model(), art, hubs)
 
 
 @query("stream_score")
@@ -158,8 +158,8 @@ def q_stream_score(spark, sf):
     """Requests scored in micro-batches with a pinned version of the published hub tables."""
     from hubflow.plans.q_ml import standin_tables
     out, ck, home = files.scratch_path(spark, "stream-out"), files.scratch_path(spark, "stream-ck"), files.scratch_path(spark, "hubs")
-    store.publish_graph_tables(spark, standin_tables(spark, sf), home)
-    _, _, art = split_features(spark, sf)
+    art, hubs = fitted(spark, sf)
+    store.publish_graph_tables(spark, standin_tables(spark, sf, hubs), home)
     ST.run_scored(ST.read_requests(spark, _request_files(spark, sf)), standin_model(), art, home, out, ck,
                   ["request_id", "predicted_eta", "risk_level", "bottleneck_warning"])
     return round_doubles(files.load_parquet(spark, out).drop("batch"))
