@@ -11,14 +11,14 @@ from hubflow.operators.graph import iterative as IT
 from hubflow.operators.graph import paths as PT
 from hubflow.plans.common import clean_frame, query, round_doubles
 from hubflow.plans.oracle import oracle
-from hubflow.session import cut_lineage
+from hubflow.session import written
 from hubflow.sources import fixtures
 
 
 def graph_edges(spark, sf):
     """Lane edge table (u, v, weight, avg_delay, flow_distance, dist), materialized once so the
     iterative jobs never re-run the segment scan."""
-    return cut_lineage(G.with_flow_distance(G.lane_edges(clean_frame(spark, sf))))
+    return written(G.with_flow_distance(G.lane_edges(clean_frame(spark, sf))))
 
 
 # oracle side: lane edges with length 1/weight, node set, both-direction adjacency
@@ -366,7 +366,7 @@ def q_communities(spark, sf):
     whether the finished partition has it in exactly one connected community and beats label propagation."""
     e = graph_edges(spark, sf)
     start = CM.first_rounds(e, _ROUNDS)
-    done = cut_lineage(CM.louvain(e))
+    done = written(CM.louvain(e))
     named = done.select("hub_id", "community")
     better = CM.modularity(e, named) >= CM.modularity(e, CM.label_propagation(e)) - 1e-9
     a, b = named.select(F.col("hub_id").alias("u"), F.col("community").alias("cu")), named.select(F.col("hub_id").alias("v"), F.col("community").alias("cv"))
@@ -405,7 +405,7 @@ oracle("communities", f"""SELECT i AS hub_id, c AS first_community, 1 AS communi
 def q_community_summary(spark, sf):
     """Totals of the summary and of the size histogram, which hold for any partition."""
     e = graph_edges(spark, sf)
-    table = cut_lineage(CM.community_table(CM.louvain(e)))
+    table = written(CM.community_table(CM.louvain(e)))
     s = CM.community_summary(table).agg(F.sum("hubs").alias("hubs"), F.min(F.size("sample_hubs") == F.least("hubs", F.lit(5))).alias("samples_full"),
                                         F.count(F.lit(1)).alias("n"))
     h = CM.community_size_histogram(table).agg(F.sum("count").alias("binned"), F.max("bin").alias("last"))

@@ -5,6 +5,8 @@ import math
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from hubflow.operators.graph import communities as CM
+from hubflow.operators.graph import iterative as IT
 from hubflow.operators.graph import paths as PT
 from hubflow.operators.joins import enrich_graph
 from hubflow.plans import q_ml
@@ -45,3 +47,18 @@ def test_path_state_waits_on_disk(graph, monkeypatch):
     PT.betweenness(graph([("a", "b", 1), ("b", "c", 1)])).collect()
     state = [level for columns, level in levels if "data" in columns]
     assert state and all(level == (StorageLevel.DISK_ONLY,) for level in state)
+
+
+def test_loops_over_small_tables_start_few_tasks(spark, graph):
+    lanes = graph([("a", "b", 3), ("b", "c", 3), ("c", "a", 3), ("c", "d", 1), ("d", "e", 3), ("e", "f", 3), ("f", "d", 3), ("g", "g", 1)])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        found, ranks = CM.louvain(lanes), IT.pagerank(lanes)
+        adj, strength = CM._split(lanes.select(F.col("u").alias("a"), F.col("v").alias("b"), F.col("weight").cast("double").alias("w")), 100)
+        tables = [found, ranks, adj, strength, CM.first_rounds(lanes, 1)]
+        assert all(t.rdd.getNumPartitions() <= 8 for t in tables)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert {tuple(r) for r in found.collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "d"), ("f", "d"), ("g", "g")}
+    assert abs(ranks.agg(F.sum("pagerank")).first()[0] - 1) < 1e-9
