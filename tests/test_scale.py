@@ -62,3 +62,16 @@ def test_loops_over_small_tables_start_few_tasks(spark, graph):
         spark.conf.set("spark.sql.shuffle.partitions", before)
     assert {tuple(r) for r in found.collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "d"), ("f", "d"), ("g", "g")}
     assert abs(ranks.agg(F.sum("pagerank")).first()[0] - 1) < 1e-9
+
+
+def test_pivots_that_cannot_be_enough_are_taken_in_one_batch(graph, monkeypatch):
+    lanes = graph([(f"h{i:03d}", f"h{(i + d) % 300:03d}", 1 + i % 3) for i in range(300) for d in (1, 2)])
+    asked, sums = [], PT.dependency_sums
+    monkeypatch.setattr(PT, "dependency_sums", lambda net, sources, *lanes: (asked.append((net, sources)), sums(net, sources, *lanes))[1])
+    found = PT.betweenness_by_pivots(lanes, error=0.9, first=8, hubs_per_part=50).collect()
+    sizes = [s.count() for _, s in asked]
+    # ln(3 * 300 * 7 / 0.05) * 3 / k is above 0.9 for k = 8, 16 and 32
+    assert sizes[0] == 64 and {r["pivots"] for r in found} == {sum(sizes)}
+    net, sources = asked[0]
+    blocks = net.numbered(sources, 32).groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.max("column").alias("last")).collect()
+    assert sorted((r["block"], r["n"], r["last"]) for r in blocks) == [(0, 32, 31), (1, 32, 31)]
