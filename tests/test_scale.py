@@ -41,6 +41,13 @@ def test_rounding_and_folding_keep_their_values(spark):
     assert all(same(y, x if x is not None and math.isfinite(x) else None) for x, y in zip(values, folded))
 
 
+def test_segments_keep_their_plan(spark):
+    """Line items are dealt out once whatever the size: no broadcast at small sizes, no sort at large ones, no join for the number of hubs."""
+    plan = fixtures.segments(spark, SF0001)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("ShuffledHashJoin") == 2
+    assert not any(other in plan for other in ("SortMergeJoin", "BroadcastHashJoin", "BroadcastNestedLoopJoin"))
+
+
 def test_path_state_waits_on_disk(graph, monkeypatch):
     levels, cut = [], PT.cut_lineage
     monkeypatch.setattr(PT, "cut_lineage", lambda df, *level: (levels.append((df.columns, level)), cut(df, *level))[1])
