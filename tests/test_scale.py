@@ -1,6 +1,7 @@
 """Steps that the larger tables broke: what is read again, what is shuffled, what memory holds."""
 
 import math
+import random
 
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -48,6 +49,19 @@ def test_segments_keep_their_plan(spark):
     assert not any(other in plan for other in ("SortMergeJoin", "BroadcastHashJoin", "BroadcastNestedLoopJoin"))
 
 
+def test_rounding_leaves_decimal_arithmetic_to_ties(spark):
+    rnd = random.Random(7)
+    values = [rnd.uniform(-1, 1) * 10 ** rnd.randrange(-9, 18) for _ in range(4000)]
+    values += [sign * (n + half) * 1e-6 for n in (0, 1, 2, 7, 12345, 999999, 10 ** 11) for half in (0.4989, 0.499, 0.4999999, 0.5, 0.5000001, 0.501) for sign in (1, -1)]
+    values += [sign * x for x in (1e6, 999999.999999, 1000000.0000005, 1e15, 4.9e-324, 1.005, 2.675, 1.0000005, 0.0000015) for sign in (1, -1)]
+    df = spark.createDataFrame([*enumerate(values)], "i int, x double")
+    got, want = round_doubles(df).orderBy("i"), df.select("i", F.round("x", 6).alias("x")).orderBy("i")
+    assert [str(r["x"]) for r in got.collect()] == [str(r["x"]) for r in want.collect()]
+    assert "* 1000000.0" in round_doubles(df)._jdf.queryExecution().optimizedPlan().toString()
+    kinds = dict(round_doubles(spark.createDataFrame([(1.5, 2.25)], "f float, d double")).dtypes)
+    assert kinds == {"f": "double", "d": "double"}
+
+
 def test_path_state_waits_on_disk(graph, monkeypatch):
     levels, cut = [], PT.cut_lineage
     monkeypatch.setattr(PT, "cut_lineage", lambda df, *level: (levels.append((df.columns, level)), cut(df, *level))[1])
