@@ -12,6 +12,7 @@ from hubflow.operators.clean import add_trip_time_parts
 from hubflow.operators.graph import edges as G
 from hubflow.plans.common import clean_frame, query, round_doubles
 from hubflow.plans.oracle import HUBS, oracle
+from hubflow.session import written
 from hubflow.sources import fixtures
 
 
@@ -239,7 +240,7 @@ oracle("fit_preprocessor", " UNION ALL ".join(
 @query("transform_features")
 def q_transform_features(spark, sf):
     from hubflow.operators.ml import trip_split
-    df = trip_split(_featured(spark, sf))
+    df = written(trip_split(_featured(spark, sf)).select("segment_key", "split", *_PP_FEATS))  # the fit and the transform read it
     art = PP.fit_preprocessor(df.filter(F.col("split") == "train"), _PP_FEATS)
     out = PP.transform_features(df.filter(F.col("split") == "test"), art, keep=["segment_key"])
     return round_doubles(out)
@@ -254,7 +255,7 @@ oracle("transform_features", "SELECT segment_key, " + ", ".join(
 @query("sanitize_global")
 def q_sanitize_global(spark, sf):
     from hubflow.operators.ml import trip_split
-    df = trip_split(_featured(spark, sf)).select("segment_key", "split", *_PP_FEATS)
+    df = written(trip_split(_featured(spark, sf)).select("segment_key", "split", *_PP_FEATS))  # two fits and the transform read it
     out = PP.sanitize_global(df, df.filter(F.col("split") == "train"), _PP_FEATS)
     return round_doubles(out.drop("split"))
 

@@ -6,11 +6,14 @@ import random
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from hubflow.operators import features as FE
+from hubflow.operators import ml as ML
+from hubflow.operators import preprocess as PP
 from hubflow.operators.graph import communities as CM
 from hubflow.operators.graph import iterative as IT
 from hubflow.operators.graph import paths as PT
 from hubflow.operators.joins import enrich_graph
-from hubflow.plans import q_ml
+from hubflow.plans import production, q_features, q_ml
 from hubflow.plans.common import clean_frame, round_doubles
 from hubflow.sources import fixtures
 from hubflow.functions.exprs import finite_or_null
@@ -62,6 +65,19 @@ def test_rounding_leaves_decimal_arithmetic_to_ties(spark):
     assert kinds == {"f": "double", "d": "double"}
 
 
+def test_fits_read_a_written_table(spark, monkeypatch):
+    """What reads its rows several times reads Parquet of its own, not the segments again."""
+    read, fit, types, limits = [], ML.train_eta, FE.route_type_values, PP.fit_preprocessor
+    note = lambda df: read.append(any("lineitem" in f for f in df.inputFiles()))
+    monkeypatch.setattr(ML, "train_eta", lambda df, *a, **b: (note(df), fit(df, *a, **b))[1])
+    monkeypatch.setattr(FE, "route_type_values", lambda df, *a: (note(df), types(df, *a))[1])
+    monkeypatch.setattr(PP, "fit_preprocessor", lambda df, *a: (note(df), limits(df, *a))[1])
+    q_ml.q_smoke_train(spark, SF0001).collect()
+    q_features.q_sanitize_global(spark, SF0001).collect()
+    production.train_production(spark, clean_frame(spark, SF0001), None, q_ml.standin_tables(spark, SF0001), max_iter=1, max_depth=2)
+    assert read == [False] * 6
+
+
 def test_path_state_waits_on_disk(graph, monkeypatch):
     levels, cut = [], PT.cut_lineage
     monkeypatch.setattr(PT, "cut_lineage", lambda df, *level: (levels.append((df.columns, level)), cut(df, *level))[1])
