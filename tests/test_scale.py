@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -86,6 +87,32 @@ def test_path_state_waits_on_disk(graph, monkeypatch):
     assert state and all(level == (StorageLevel.DISK_ONLY,) for level in state)
 
 
+def test_path_state_is_never_written(graph, monkeypatch):
+    """Betweenness and closeness write their lanes; the distances from every hub to every hub stay in the tasks."""
+    n, sizes, cut = 400, [], PT.cut_lineage
+    lanes = graph([(f"h{i:03d}", f"h{(i + d) % n:03d}", 1 + i % 3) for i in range(n) for d in (1, 2)])
+    monkeypatch.setattr(PT, "cut_lineage", lambda df, *level: (out := cut(df, *level), sizes.append(
+        out.agg(F.sum(F.octet_length("data"))).first()[0] or 0 if "data" in out.columns else 0))[0])
+    IT.betweenness(lanes, hubs_per_part=100).collect()
+    IT.closeness(lanes, hubs_per_part=100).collect()
+    assert 0 < sum(sizes) < n * n  # 16 to 32 bytes for each lane, not 8 for each pair of hubs
+
+
+def test_lanes_are_mapped_part_by_part(monkeypatch):
+    """Parts without lanes or hubs, several targets a part, one source with more lanes than are taken at a time."""
+    monkeypatch.setattr(PT, "LANES_AT_ONCE", 3)
+    lanes = PT.Lanes([(0, 3), (2, 1), (5, 4)])  # part 1 has no hubs; 8 hubs
+    raw = lambda s, t, w: (np.array([s, t], "<i4").tobytes(), np.array(w, "<f8").tobytes())
+    lanes.add(0, 5, *raw([1, 0, 1], [3, 0, 1], [0.5, 1.0, 2.0]))
+    lanes.add(0, 0, *raw([1, 0], [2, 1], [0.25, 1.0]))
+    lanes.add(5, 2, *raw([3], [0], [4.0]))
+    lanes.finish()
+    assert lanes.degree.tolist() == [2, 3, 0, 0, 0, 0, 0, 1] and lanes.target.tolist() == [4, 1, 7, 5, 2, 3]
+    dist = PT.distances(lanes, np.array([0, 7])).reshape(2, 8)
+    assert dist[0].tolist() == [0, 1, 1.25, 5.5, 1, 3, math.inf, 1.5] and dist[1].tolist() == [math.inf] * 3 + [4] + [math.inf] * 3 + [0]
+    assert PT.dependencies(lanes, np.array([0, 7])).tolist() == [[0, 4, 0, 0, 0, 0, 0, 1], [0] * 8]
+
+
 def test_loops_over_small_tables_start_few_tasks(spark, graph):
     lanes = graph([("a", "b", 3), ("b", "c", 3), ("c", "a", 3), ("c", "d", 1), ("d", "e", 3), ("e", "f", 3), ("f", "d", 3), ("g", "g", 1)])
     before = spark.conf.get("spark.sql.shuffle.partitions")
