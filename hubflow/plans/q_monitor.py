@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from hubflow.operators import ml as ML
 from hubflow.operators import monitor as MO
 from hubflow.operators.score import attach_risk
-from hubflow.plans.common import clean_frame, query, round_doubles
+from hubflow.plans.common import clean_frame, lane_frame, query, round_doubles
 from hubflow.plans.oracle import HUBS, RISK, oracle
 from hubflow.plans.q_ml import _FEAT_TR, fitted, standin_model
 from hubflow.session import cut_lineage
@@ -107,7 +107,8 @@ def q_graph_staleness(spark, sf):
     """A fresh snapshot is used, the same one dated ten days back is stale: the tables are rebuilt from the segments and
     published as the next version; rows of the table used, versions in the store."""
     from hubflow.plans.q_ml import standin_tables
-    seg, tables, out = clean_frame(spark, sf), standin_tables(spark, sf), None
+    seg, out = lane_frame(spark, sf), None
+    tables = standin_tables(spark, sf, fixtures.hub_table(spark, sf, seg))
     for days in (0, 10):
         path, built = files.scratch_path(spark, "hubs"), datetime.now(timezone.utc) - timedelta(days=days)
         store.persist_graph_tables(spark, tables, path, built_at=built)

@@ -13,10 +13,11 @@ from hubflow.operators import preprocess as PP
 from hubflow.operators.graph import communities as CM
 from hubflow.operators.graph import iterative as IT
 from hubflow.operators.graph import paths as PT
+from hubflow.operators import joins as J
 from hubflow.operators.joins import enrich_graph
-from hubflow.plans import production, q_features, q_ml
+from hubflow.plans import production, q_features, q_graph, q_ml, q_monitor
 from hubflow.plans.common import clean_frame, round_doubles
-from hubflow.sources import fixtures
+from hubflow.sources import fixtures, store
 from hubflow.functions.exprs import finite_or_null
 
 SF0001 = "/root/testdata/sf0.001"
@@ -139,3 +140,22 @@ def test_pivots_that_cannot_be_enough_are_taken_in_one_batch(graph, monkeypatch)
     net, sources = asked[0]
     blocks = net.numbered(sources, 32).groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.max("column").alias("last")).collect()
     assert sorted((r["block"], r["n"], r["last"]) for r in blocks) == [(0, 32, 31), (1, 32, 31)]
+
+
+def test_jobs_that_read_the_segments_often_read_written_lanes(spark, monkeypatch):
+    """Staleness and load-or-build run the segment scan once: coverage, hub tables and the rebuild read what it wrote."""
+    read = []
+    hubs = spark.createDataFrame([("H000000",)], "hub_id string")
+    monkeypatch.setattr(store, "load_or_build_graph", lambda spark, seg, **k: (read.append(seg), ({"pagerank": hubs}, "built"))[1])
+    monkeypatch.setattr(q_ml, "standin_tables", lambda spark, sf, hubs=None: {k: spark.createDataFrame([], ", ".join(f"{c} string" for c in v)) for k, v in store.HUB_TABLES.items()})
+    shown = q_ml.q_load_or_build_graph(spark, SF0001)
+    q_monitor.q_graph_staleness(spark, SF0001)
+    assert len(read) == 5 and not any("lineitem" in f for df in [*read, shown] for f in df.inputFiles())
+
+
+def test_coverage_reads_its_rows_once(spark):
+    rows = spark.createDataFrame([("a", "b"), ("b", None), (None, "c"), ("c", "c")], "source_center string, destination_center string")
+    known = spark.createDataFrame([("a",), ("b",), ("b",), ("z",)], "hub_id string")
+    found = J.hub_coverage(rows, known)
+    assert found.first()["coverage"] == 0.5  # of a, b, c and the unnamed hub
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
