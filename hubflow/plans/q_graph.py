@@ -251,11 +251,11 @@ oracle("betweenness", "SELECT hub_id, round(betweenness_centrality, 6) AS betwee
 
 @query("betweenness_pivots")
 def q_betweenness_pivots(spark, sf):
-    """Betweenness from seeded pivots, as many as the stopping rule takes, with its error bound."""
-    return round_doubles(PT.betweenness_by_pivots(graph_edges(spark, sf), error=0.7, risk=0.05, seed=42, first=16))
+    """Betweenness from seeded pivots, as many as the stopping rule takes for an error of 0.05, with its error bound."""
+    return round_doubles(PT.betweenness_by_pivots(graph_edges(spark, sf)))
 
 
-# the same pivots and the same rule: dependencies of each source, sums over the first 16, 32, 64 ... pivots
+# the same pivots and the same rule: dependencies of each source, sums over the first 64, 128, 256 ... pivots
 _LOOKS = 24
 oracle("betweenness_pivots", """SELECT d.h AS hub_id, round(m * n / (n - 1), 6) AS betweenness_centrality, round(err * n / (n - 1), 6) AS error_bound, d.k AS pivots
   FROM bound d JOIN chosen ON d.k = chosen.k""", E_SQL, NODES_SQL, *_BETWEEN,
@@ -264,13 +264,13 @@ oracle("betweenness_pivots", """SELECT d.h AS hub_id, round(m * n / (n - 1), 6)
   JOIN sg a ON a.s = v.u AND a.y = v.v JOIN sg b ON b.s = v.v AND b.y = t.v JOIN sg st ON st.s = v.u AND st.y = t.v GROUP BY 1, 2)""",
        "size AS (SELECT count(*) AS n FROM nodes)",
        "drawn AS (SELECT h AS s, row_number() OVER (ORDER BY md5('42:' || h), h) AS r FROM nodes)",
-       f"look AS (SELECT DISTINCT CAST(least(16 * pow(2, i), n) AS BIGINT) AS k, n FROM range({_LOOKS}) t(i), size)",
+       f"look AS (SELECT DISTINCT CAST(least(64 * pow(2, i), n) AS BIGINT) AS k, n FROM range({_LOOKS}) t(i), size)",
        """moment AS (SELECT look.k, any_value(look.n) AS n, nodes.h, coalesce(sum(dep), 0) / (look.k * (any_value(look.n) - 2.0)) AS m,
   coalesce(sum(dep * dep), 0) / (look.k * pow(any_value(look.n) - 2.0, 2)) AS m2
   FROM look CROSS JOIN nodes JOIN drawn ON drawn.r <= look.k LEFT JOIN per ON per.s = drawn.s AND per.h = nodes.h GROUP BY look.k, nodes.h)""",
        """bound AS (SELECT *, CASE WHEN k >= n THEN 0.0 ELSE sqrt(2 * greatest(0, m2 - m * m) * lg / k) + 3 * lg / k END AS err
-  FROM (SELECT *, ln(3.0 * n * greatest(1, ceil(log2(greatest(1, n / 16.0))) + 1) / 0.05) AS lg FROM moment))""",
-       "chosen AS (SELECT min(k) AS k FROM (SELECT k, n, max(err * n / (n - 1)) AS worst FROM bound GROUP BY k, n) WHERE worst <= 0.7 OR k >= n)")
+  FROM (SELECT *, ln(3.0 * n * greatest(1, ceil(log2(greatest(1, n / 64.0))) + 1) / 0.05) AS lg FROM moment))""",
+       "chosen AS (SELECT min(k) AS k FROM (SELECT k, n, max(err * n / (n - 1)) AS worst FROM bound GROUP BY k, n) WHERE worst <= 0.05 OR k >= n)")
 
 
 @query("bottleneck_prod")

@@ -159,3 +159,11 @@ def test_coverage_reads_its_rows_once(spark):
     found = J.hub_coverage(rows, known)
     assert found.first()["coverage"] == 0.5  # of a, b, c and the unnamed hub
     assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
+
+
+def test_pivots_query_takes_the_operators_error(spark, monkeypatch):
+    """All hubs of a small network, as an error of 0.05 asks; with 0.7 some hundred pivots were enough for any."""
+    lanes = spark.createDataFrame([(f"h{i:03d}", f"h{(i + 1) % 160:03d}", 1) for i in range(160)], "u string, v string, weight long")
+    monkeypatch.setattr(q_graph, "graph_edges", lambda spark, sf: lanes.withColumn("dist", F.lit(1.0)))
+    rows = q_graph.q_betweenness_pivots(spark, SF0001).collect()
+    assert {(r["pivots"], r["error_bound"]) for r in rows} == {(160, 0.0)} and {r["betweenness_centrality"] for r in rows} == {0.5}
