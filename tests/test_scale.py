@@ -1,12 +1,15 @@
 """Steps that the larger tables broke: what is read again, what is shuffled, what memory holds."""
 
+import inspect
 import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from hubflow import schema as S
 from hubflow.operators import features as FE
 from hubflow.operators import ml as ML
 from hubflow.operators import preprocess as PP
@@ -167,3 +170,19 @@ def test_pivots_query_takes_the_operators_error(spark, monkeypatch):
     monkeypatch.setattr(q_graph, "graph_edges", lambda spark, sf: lanes.withColumn("dist", F.lit(1.0)))
     rows = q_graph.q_betweenness_pivots(spark, SF0001).collect()
     assert {(r["pivots"], r["error_bound"]) for r in rows} == {(160, 0.0)} and {r["betweenness_centrality"] for r in rows} == {0.5}
+
+
+@pytest.mark.parametrize("run, fit, whole", [
+    (q_ml.q_train_eta, "train_eta", dict(max_iter=S.GBT_PARAMS["maxIter"], max_depth=S.GBT_PARAMS["maxDepth"], step_size=S.GBT_PARAMS["stepSize"], subsample=S.GBT_PARAMS["subsamplingRate"])),
+    (q_ml.q_model_forest, "model_forest", dict(num_trees=200, max_depth=14, min_leaf=5))])
+def test_fits_have_the_operators_own_settings(spark, monkeypatch, run, fit, whole):
+    """The queries fit as many and as deep trees as production does; the test then fits less."""
+    real, asked = getattr(ML, fit), []
+
+    def small(train, features, label=S.TARGET, **given):
+        call = inspect.signature(real).bind(train, features, label, **given)
+        call.apply_defaults()
+        asked.append({k: call.arguments[k] for k in whole})
+        return ML.model_linear(train, features, label)
+    monkeypatch.setattr(ML, fit, small)
+    assert run(spark, SF0001).count() == 1 and asked == [whole]
